@@ -15,7 +15,7 @@ trades AS (
   SELECT event_type AS symbol, event_id AS trade_id,
          100.0 + value / {div} AS price,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1.0 AS quantity,
-         CAST(1704067200000 + floor((epoch_ms(ts) - 1704067200000) / 50.0) AS BIGINT) AS trade_time_ms
+         CAST(1704067200000 + floor(((epoch_us(ts) // 1000) - 1704067200000) / 50.0) AS BIGINT) AS trade_time_ms
   FROM events
   WHERE event_type IS NOT NULL AND event_id IS NOT NULL AND value IS NOT NULL
     AND json_extract_string(props, '$.k') IS NOT NULL AND ts IS NOT NULL
@@ -45,3 +45,92 @@ def ohlc_sql(size_ms: int, label: str) -> str:
 def candles_cte() -> str:
     parts = " UNION ALL ".join(ohlc_sql(ms, label) for label, ms in P.candle_sizes)
     return f"candles AS ({parts})"
+
+
+def wash_features_cte(div_selective: bool = False) -> str:
+    return f"""{trades_cte(div_selective)},
+wf AS (
+  SELECT *,
+    CASE WHEN low > 0 THEN (high - low) / low * 100 ELSE 0.0 END AS swing_pct,
+    CASE WHEN avg_quantity > 0 THEN quantity / avg_quantity ELSE 0.0 END AS quantity_ratio
+  FROM (SELECT *,
+      count(*) OVER w AS window_trades, max(price) OVER w AS high, min(price) OVER w AS low,
+      avg(quantity) OVER w AS avg_quantity
+    FROM trades
+    WINDOW w AS (PARTITION BY symbol ORDER BY trade_time_ms, trade_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)) x
+)"""
+
+
+WASH_SELECT = """
+SELECT symbol, trade_id, epoch_ms(trade_time_ms) AS detected_at, 'WASH_TRADE' AS pattern_type,
+       CASE WHEN swing_pct > 1.5 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+       low AS price_start, high AS price_end, swing_pct AS price_change_pct, quantity_ratio AS volume_ratio
+FROM wf WHERE window_trades >= 20 AND swing_pct >= 0.3 AND quantity_ratio >= 1.5"""
+
+
+def spike_features_cte(with_trades: bool = True) -> str:
+    head = trades_cte() + "," if with_trades else ""
+    return f"""{head}
+sc AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_time_ms, trade_id)
+          - count(*) OVER (PARTITION BY symbol ORDER BY trade_time_ms
+                           RANGE BETWEEN UNBOUNDED PRECEDING AND 10001 PRECEDING) AS recent_count
+  FROM trades
+),
+sf AS (
+  SELECT *, CASE WHEN avg_count > 0 THEN recent_count / avg_count ELSE 0.0 END AS spike_ratio
+  FROM (SELECT *, count(*) OVER f AS history_len, avg(recent_count) OVER f AS avg_count FROM sc
+        WINDOW f AS (PARTITION BY symbol ORDER BY trade_time_ms, trade_id
+                     ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)) x
+),
+cand AS (SELECT * FROM sf WHERE history_len >= 6 AND spike_ratio >= 2.0)"""
+
+
+# greedy cooldown: first candidate, then the first one more than 30 s later
+SPIKES_CTE = """,
+r AS (
+  SELECT symbol, min(trade_time_ms) AS ts FROM cand GROUP BY symbol
+  UNION ALL
+  SELECT * FROM (SELECT c.symbol, min(c.trade_time_ms) AS ts
+                 FROM r JOIN cand c ON c.symbol = r.symbol AND c.trade_time_ms > r.ts + 30000
+                 GROUP BY c.symbol)
+),
+spikes AS (
+  SELECT c.* FROM cand c JOIN r ON c.symbol = r.symbol AND c.trade_time_ms = r.ts
+  QUALIFY row_number() OVER (PARTITION BY c.symbol, c.trade_time_ms ORDER BY c.trade_id) = 1
+)"""
+
+SPIKE_SELECT = """
+SELECT symbol, trade_id, epoch_ms(trade_time_ms) AS detected_at, 'VOLUME_SPIKE' AS pattern_type,
+       CASE WHEN spike_ratio > 5.0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+       CAST(NULL AS DOUBLE) AS price_start, price AS price_end, CAST(NULL AS DOUBLE) AS price_change_pct,
+       spike_ratio AS volume_ratio
+FROM spikes"""
+
+
+# pump-and-dump state machine as a recursive walk over each symbol's rows
+PUMP_CTE = """,
+s AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_time_ms, trade_id) AS rn FROM trades),
+m AS (
+  SELECT symbol, rn, trade_id, price AS b, trade_time_ms AS bt, price AS pk, false AS fired, false AS watching,
+         price AS p, trade_time_ms AS ts
+  FROM s WHERE rn = 1
+  UNION ALL
+  SELECT symbol, rn, trade_id, b, bt, pk, f, (NOT w) AND (f OR ts - bt > 240000), p, ts FROM (
+    SELECT *, (NOT w) AND (pk - b) / b * 100 >= 0.4 AND (pk - p) / pk * 100 >= 0.3 AND ts - bt <= 240000 AS f
+    FROM (
+      SELECT s.symbol, s.rn, s.trade_id, m.watching AS w, s.price AS p, s.trade_time_ms AS ts,
+             CASE WHEN m.watching THEN s.price ELSE m.b END AS b,
+             CASE WHEN m.watching THEN s.trade_time_ms ELSE m.bt END AS bt,
+             CASE WHEN m.watching THEN s.price ELSE greatest(m.pk, s.price) END AS pk
+      FROM m JOIN s ON s.symbol = m.symbol AND s.rn = m.rn + 1) x) y
+),
+pumps AS (SELECT symbol, trade_id, ts, b, p, pk, (pk - b) / b * 100 AS rise, (pk - p) / pk * 100 AS dr
+          FROM m WHERE fired)"""
+
+PUMP_SELECT = """
+SELECT symbol, trade_id, epoch_ms(ts) AS detected_at, 'PUMP_AND_DUMP' AS pattern_type,
+       CASE WHEN rise + dr > 3.0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+       b AS price_start, p AS price_end, -dr AS price_change_pct,
+       CASE WHEN dr > 0 THEN rise / dr ELSE 0.0 END AS volume_ratio
+FROM pumps"""

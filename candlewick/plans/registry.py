@@ -63,3 +63,58 @@ SELECT epoch_ms(ws) AS window_start, NULL AS symbol, count(*) AS messages, count
 )
 def q_throughput(spark, sf):
     return C.throughput(load_trades(spark, sf), 10)
+
+
+# --------------------------------------------------------------- detectors
+from candlewick.operators import detect as D  # noqa: E402
+from candlewick.operators import features as FE  # noqa: E402
+
+_ALERT_COLS = [c for c in D.ANOMALY_COLUMNS if c != "description"]
+_WASH_FEATURE_COLS = ["symbol", "trade_id", "trade_time_ms", "window_trades", "high", "low", "avg_quantity",
+                      "swing_pct", "quantity_ratio"]
+_SPIKE_FEATURE_COLS = ["symbol", "trade_id", "trade_time_ms", "price", "recent_count", "history_len", "avg_count",
+                       "spike_ratio"]
+
+
+@register("wash_features", f"WITH {O.wash_features_cte()} SELECT {', '.join(_WASH_FEATURE_COLS)} FROM wf")
+def q_wash_features(spark, sf):
+    return FE.wash_features(load_trades(spark, sf)).select(*_WASH_FEATURE_COLS)
+
+
+@register("wash_trades", f"WITH {O.wash_features_cte()} {O.WASH_SELECT}")
+def q_wash_trades(spark, sf):
+    return D.wash_trades(load_trades(spark, sf)).select(*_ALERT_COLS)
+
+
+@register("wash_trades_selective", f"WITH {O.wash_features_cte(True)} {O.WASH_SELECT}")
+def q_wash_trades_selective(spark, sf):
+    return D.wash_trades(load_trades(spark, sf, selective=True)).select(*_ALERT_COLS)
+
+
+@register("spike_features", f"WITH {O.spike_features_cte()} SELECT {', '.join(_SPIKE_FEATURE_COLS)} FROM sf")
+def q_spike_features(spark, sf):
+    return FE.spike_features(load_trades(spark, sf)).select(*_SPIKE_FEATURE_COLS)
+
+
+@register("spike_candidates", f"WITH {O.spike_features_cte()} SELECT {', '.join(_SPIKE_FEATURE_COLS)} FROM cand")
+def q_spike_candidates(spark, sf):
+    return D.spike_candidates(load_trades(spark, sf)).select(*_SPIKE_FEATURE_COLS)
+
+
+@register("volume_spikes", f"WITH RECURSIVE {O.spike_features_cte()}{O.SPIKES_CTE} {O.SPIKE_SELECT}")
+def q_volume_spikes(spark, sf):
+    return D.volume_spikes(load_trades(spark, sf)).select(*_ALERT_COLS)
+
+
+@register("pump_and_dump", f"WITH RECURSIVE {O.trades_cte()}{O.PUMP_CTE} {O.PUMP_SELECT}")
+def q_pump_and_dump(spark, sf):
+    return D.pump_and_dump(load_trades(spark, sf)).select(*_ALERT_COLS)
+
+
+@register(
+    "anomaly_events",
+    f"""WITH RECURSIVE {O.wash_features_cte()}, {O.spike_features_cte(False)}{O.SPIKES_CTE}{O.PUMP_CTE}
+{O.WASH_SELECT} UNION ALL {O.SPIKE_SELECT} UNION ALL {O.PUMP_SELECT}""",
+)
+def q_anomaly_events(spark, sf):
+    return D.anomaly_events(load_trades(spark, sf)).select(*_ALERT_COLS)
