@@ -47,3 +47,26 @@ def iso_utc_string(ms: Column) -> Column:
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     frac = F.date_format(ts, ".SSSSSS")
     return F.concat(whole, F.when(F.pmod(ms, F.lit(1000)) == 0, F.lit("")).otherwise(frac), F.lit("+00:00"))
+
+
+def py_fixed(x: Column | str, digits: int) -> Column:
+    """Python ``f"{x:.Nf}"``: rounds the exact binary value half-to-even.
+
+    ``format_string('%.2f')`` rounds the shortest decimal half-up instead
+    (1.005 -> 1.01 where Python prints 1.00), so use ``format_number`` and
+    drop its grouping commas.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    return F.regexp_replace(F.format_number(x, digits), ",", "")
+
+
+def py_grouped(x: Column | str, digits: int) -> Column:
+    """Python ``f"{x:,.Nf}"`` (thousands separators)."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.format_number(x, digits)
+
+
+def py_align(text: Column, width: int, left: bool) -> Column:
+    """Python ``:<N`` / ``:>N`` padding (never truncates, unlike rpad/lpad)."""
+    padded = F.rpad(text, width, " ") if left else F.lpad(text, width, " ")
+    return F.when(F.length(text) >= width, text).otherwise(padded)

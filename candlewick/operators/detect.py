@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.functions.exprs import guarded_div, ms_to_ts, severity
+from candlewick.functions.exprs import guarded_div, ms_to_ts, py_fixed, severity
 from candlewick.operators.features import spike_features, wash_features, with_chunks
 from candlewick.operators.sequential import SequentialRule, run_sequential
 from candlewick.params import DEFAULT, Params
@@ -53,13 +53,13 @@ def wash_trades(trades: DataFrame, p: Params = DEFAULT, features: DataFrame | No
         F.col("high").alias("price_end"),
         F.col("swing_pct").alias("price_change_pct"),
         F.col("quantity_ratio").alias("volume_ratio"),
-        F.format_string(
-            "Price swung %.2f%% (high=%.2f, low=%.2f) with volume %.1fx average across last %d trades",
-            "swing_pct",
-            "high",
-            "low",
-            "quantity_ratio",
-            "window_trades",
+        F.concat(
+            F.lit("Price swung "), py_fixed("swing_pct", 2),
+            F.lit("% (high="), py_fixed("high", 2),
+            F.lit(", low="), py_fixed("low", 2),
+            F.lit(") with volume "), py_fixed("quantity_ratio", 1),
+            F.lit("x average across last "), F.col("window_trades").cast("string"),
+            F.lit(" trades"),
         ).alias("description"),
     )
 
@@ -132,12 +132,11 @@ def volume_spikes(trades: DataFrame, p: Params = DEFAULT, features: DataFrame |
         F.col("price").alias("price_end"),
         F.lit(None).cast("double").alias("price_change_pct"),
         F.col("spike_ratio").alias("volume_ratio"),
-        F.format_string(
-            "%d trades in last %ds vs avg %.1f (%.1fx normal — 10-min rolling baseline)",
-            "recent_count",
-            F.lit(p.spike_window_ms // 1000),
-            "avg_count",
-            "spike_ratio",
+        F.concat(
+            F.col("recent_count").cast("string"),
+            F.lit(f" trades in last {p.spike_window_ms // 1000}s vs avg "), py_fixed("avg_count", 1),
+            F.lit(" ("), py_fixed("spike_ratio", 1),
+            F.lit("x normal — 10-min rolling baseline)"),
         ).alias("description"),
     )
 

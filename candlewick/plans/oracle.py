@@ -134,3 +134,26 @@ SELECT symbol, trade_id, epoch_ms(ts) AS detected_at, 'PUMP_AND_DUMP' AS pattern
        b AS price_start, p AS price_end, -dr AS price_change_pct,
        CASE WHEN dr > 0 THEN rise / dr ELSE 0.0 END AS volume_ratio
 FROM pumps"""
+
+
+# exchange feed derived from events (candlewick.sources.raw), parsed directly
+FEED_TRADES = """
+feed AS (
+  SELECT upper(event_type) || 'USDT' AS symbol, event_id AS trade_id, 100.0 + value / 100.0 AS price,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1.0 AS quantity,
+         CAST(1704067200000 + floor(((epoch_us(ts) // 1000) - 1704067200000) / 50.0) AS BIGINT) AS trade_time_ms,
+         user_id % 2 = 0 AS is_buyer_mm, event_type, value
+  FROM events
+)"""
+
+ISO_TIME = """strftime(epoch_ms(trade_time_ms), '%Y-%m-%dT%H:%M:%S')
+  || CASE WHEN trade_time_ms % 1000 = 0 THEN '' ELSE '.' || lpad(CAST(trade_time_ms % 1000 AS VARCHAR), 3, '0') || '000' END
+  || '+00:00'"""
+
+FEED_REJECTS = """
+SELECT reason, count(*) AS messages FROM (
+  SELECT CASE event_type WHEN 'click' THEN 'not_json' WHEN 'signup' THEN 'bad_number'
+                         WHEN 'purchase' THEN 'missing_field' WHEN 'view' THEN 'not_trade'
+                         ELSE 'null_field' END AS reason
+  FROM feed WHERE value < 2.0) x
+GROUP BY reason"""

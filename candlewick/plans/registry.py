@@ -118,3 +118,59 @@ def q_pump_and_dump(spark, sf):
 )
 def q_anomaly_events(spark, sf):
     return D.anomaly_events(load_trades(spark, sf)).select(*_ALERT_COLS)
+
+
+# ------------------------------------------------------------------ ingest
+from candlewick.operators import ingest as I  # noqa: E402
+from candlewick.params import Params  # noqa: E402
+from candlewick.sources.raw import raw_messages  # noqa: E402
+from candlewick.sources.tables import read_table  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+# routing table used for the derived feed (ERRORUSDT is left unknown -> 0)
+FEED_PARTITIONS = Params(symbol_partitions=(("CLICKUSDT", 1), ("VIEWUSDT", 2), ("PURCHASEUSDT", 3), ("SIGNUPUSDT", 4)))
+
+
+def _feed(spark, sf):
+    return raw_messages(read_table(spark, sf, "events"))
+
+
+@register(
+    "normalize_trades",
+    f"WITH {O.FEED_TRADES} SELECT symbol, trade_id, price, quantity, trade_time_ms, {O.ISO_TIME} AS trade_time, "
+    "is_buyer_mm FROM feed",
+)
+def q_normalize_trades(spark, sf):
+    return I.normalize_trades(_feed(spark, sf))
+
+
+@register("rejected_trades", f"WITH {O.FEED_TRADES} {O.FEED_REJECTS}")
+def q_rejected_trades(spark, sf):
+    return I.rejected_trades(_feed(spark, sf)).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("parse_trades", f"WITH {O.FEED_TRADES} SELECT symbol, trade_id, price, quantity, trade_time_ms FROM feed")
+def q_parse_trades(spark, sf):
+    msgs = I.serialize_trades(I.normalize_trades(_feed(spark, sf)))
+    return I.parse_trades(msgs).select("symbol", "trade_id", "price", "quantity", "trade_time_ms")
+
+
+@register(
+    "trade_partition_routing",
+    f"""WITH {O.FEED_TRADES} SELECT symbol, trade_id,
+  CAST(CASE symbol WHEN 'CLICKUSDT' THEN 1 WHEN 'VIEWUSDT' THEN 2 WHEN 'PURCHASEUSDT' THEN 3
+                   WHEN 'SIGNUPUSDT' THEN 4 ELSE 0 END AS INTEGER) AS partition FROM feed""",
+)
+def q_routing(spark, sf):
+    return I.route_trades(I.normalize_trades(_feed(spark, sf)), FEED_PARTITIONS).select("symbol", "trade_id", "partition")
+
+
+@register(
+    "trade_preview",
+    f"""WITH {O.FEED_TRADES} SELECT symbol, trade_id,
+  '[dry-run]  ' || CASE WHEN length(symbol) >= 10 THEN symbol ELSE rpad(symbol, 10, ' ') END
+  || '  price=' || lpad(format('{{:,.2f}}', price), 12, ' ') || '  qty=' || lpad(printf('%.6f', quantity), 12, ' ') AS line
+FROM feed""",
+)
+def q_trade_preview(spark, sf):
+    return I.preview_lines(I.normalize_trades(_feed(spark, sf)))
