@@ -64,7 +64,9 @@ wf AS (
 WASH_SELECT = """
 SELECT symbol, trade_id, epoch_ms(trade_time_ms) AS detected_at, 'WASH_TRADE' AS pattern_type,
        CASE WHEN swing_pct > 1.5 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-       low AS price_start, high AS price_end, swing_pct AS price_change_pct, quantity_ratio AS volume_ratio
+       low AS price_start, high AS price_end, swing_pct AS price_change_pct, quantity_ratio AS volume_ratio,
+       printf('Price swung %.2f%% (high=%.2f, low=%.2f) with volume %.1fx average across last %d trades',
+              swing_pct, high, low, quantity_ratio, window_trades) AS description
 FROM wf WHERE window_trades >= 20 AND swing_pct >= 0.3 AND quantity_ratio >= 1.5"""
 
 
@@ -104,7 +106,9 @@ SPIKE_SELECT = """
 SELECT symbol, trade_id, epoch_ms(trade_time_ms) AS detected_at, 'VOLUME_SPIKE' AS pattern_type,
        CASE WHEN spike_ratio > 5.0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        CAST(NULL AS DOUBLE) AS price_start, price AS price_end, CAST(NULL AS DOUBLE) AS price_change_pct,
-       spike_ratio AS volume_ratio
+       spike_ratio AS volume_ratio,
+       printf('%d trades in last 10s vs avg %.1f (%.1fx normal — 10-min rolling baseline)',
+              recent_count, avg_count, spike_ratio) AS description
 FROM spikes"""
 
 
@@ -125,14 +129,15 @@ m AS (
              CASE WHEN m.watching THEN s.price ELSE greatest(m.pk, s.price) END AS pk
       FROM m JOIN s ON s.symbol = m.symbol AND s.rn = m.rn + 1) x) y
 ),
-pumps AS (SELECT symbol, trade_id, ts, b, p, pk, (pk - b) / b * 100 AS rise, (pk - p) / pk * 100 AS dr
+pumps AS (SELECT symbol, trade_id, ts, bt, b, p, pk, (pk - b) / b * 100 AS rise, (pk - p) / pk * 100 AS dr
           FROM m WHERE fired)"""
 
 PUMP_SELECT = """
 SELECT symbol, trade_id, epoch_ms(ts) AS detected_at, 'PUMP_AND_DUMP' AS pattern_type,
        CASE WHEN rise + dr > 3.0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        b AS price_start, p AS price_end, -dr AS price_change_pct,
-       CASE WHEN dr > 0 THEN rise / dr ELSE 0.0 END AS volume_ratio
+       CASE WHEN dr > 0 THEN rise / dr ELSE 0.0 END AS volume_ratio,
+       printf('Pump +%.2f%% to %.2f, then dump -%.2f%% to %.2f in %.0fs', rise, pk, dr, p, (ts - bt) / 1000.0) AS description
 FROM pumps"""
 
 
@@ -157,3 +162,20 @@ SELECT reason, count(*) AS messages FROM (
                          ELSE 'null_field' END AS reason
   FROM feed WHERE value < 2.0) x
 GROUP BY reason"""
+
+
+def alerts_cte() -> str:
+    """All three patterns as ``alerts`` (recursive CTEs inside)."""
+    return (f"{wash_features_cte()}, {spike_features_cte(False)}{SPIKES_CTE}{PUMP_CTE},\n"
+            f"alerts AS ({WASH_SELECT} UNION ALL {SPIKE_SELECT} UNION ALL {PUMP_SELECT})")
+
+
+AS_OF = "(SELECT epoch_ms(max(trade_time_ms)) FROM trades)"
+
+TICKER = """
+ticker AS (
+  SELECT symbol, arg_max(close_price, window_end) AS price, arg_max(chg, window_end) AS price_change_pct,
+         arg_max(trade_volume, window_end) AS volume_1min, max(window_end) AS updated_at
+  FROM (SELECT *, CASE WHEN open_price > 0 THEN (close_price - open_price) / open_price * 100 ELSE 0.0 END AS chg
+        FROM candles WHERE window_size = '1min') c
+  GROUP BY symbol)"""

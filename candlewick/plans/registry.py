@@ -69,7 +69,7 @@ def q_throughput(spark, sf):
 from candlewick.operators import detect as D  # noqa: E402
 from candlewick.operators import features as FE  # noqa: E402
 
-_ALERT_COLS = [c for c in D.ANOMALY_COLUMNS if c != "description"]
+_ALERT_COLS = list(D.ANOMALY_COLUMNS)
 _WASH_FEATURE_COLS = ["symbol", "trade_id", "trade_time_ms", "window_trades", "high", "low", "avg_quantity",
                       "swing_pct", "quantity_ratio"]
 _SPIKE_FEATURE_COLS = ["symbol", "trade_id", "trade_time_ms", "price", "recent_count", "history_len", "avg_count",
@@ -113,8 +113,7 @@ def q_pump_and_dump(spark, sf):
 
 @register(
     "anomaly_events",
-    f"""WITH RECURSIVE {O.wash_features_cte()}, {O.spike_features_cte(False)}{O.SPIKES_CTE}{O.PUMP_CTE}
-{O.WASH_SELECT} UNION ALL {O.SPIKE_SELECT} UNION ALL {O.PUMP_SELECT}""",
+    f"WITH RECURSIVE {O.alerts_cte()} SELECT * FROM alerts",
 )
 def q_anomaly_events(spark, sf):
     return D.anomaly_events(load_trades(spark, sf)).select(*_ALERT_COLS)
@@ -174,3 +173,129 @@ FROM feed""",
 )
 def q_trade_preview(spark, sf):
     return I.preview_lines(I.normalize_trades(_feed(spark, sf)))
+
+
+# ----------------------------------------------------------------- serving
+from candlewick.plans import serving as SV  # noqa: E402
+
+
+def _results(spark, sf, alerts: bool = False):
+    """Result tables derived from the events table, and ``as_of`` = the
+    newest trade time (a scalar subquery, no driver round trip)."""
+    t = load_trades(spark, sf)
+    as_of = SV.as_of_from(t, "event_ts")
+    c = C.candles(t)
+    out = {"trades": t, "candles": c, "ticker": C.price_ticker(c), "as_of": as_of}
+    if alerts:
+        out["alerts"] = D.anomaly_events(t)
+    return out
+
+
+_C = f"WITH {O.trades_cte()}, {O.candles_cte()}"
+_CT = f"{_C}, {O.TICKER}"
+_CA = f"WITH RECURSIVE {O.alerts_cte()}"
+
+
+@register(
+    "ticker_panel",
+    f"""{_CT} SELECT {O.AS_OF} AS time, symbol,
+  symbol || ' $' || CAST(round(CAST(price AS DECIMAL(38,10)), 5) AS VARCHAR) AS ticker, price FROM ticker""",
+)
+def q_ticker_panel(spark, sf):
+    r = _results(spark, sf)
+    return SV.ticker_panel(r["ticker"], None, r["as_of"])
+
+
+@register("ticker_snapshot", f"{_CT} SELECT symbol, price, price_change_pct, volume_1min, updated_at FROM ticker")
+def q_ticker_snapshot(spark, sf):
+    return SV.ticker_snapshot(_results(spark, sf)["ticker"])
+
+
+@register(
+    "candles_last_hour",
+    f"""{_C} SELECT symbol, window_start AS time, open_price AS open, high_price AS high, low_price AS low,
+  close_price AS close, trade_volume AS volume, CASE WHEN close_price >= open_price THEN 'up' ELSE 'down' END AS direction
+FROM candles WHERE window_size = '1min' AND window_start >= {O.AS_OF} - INTERVAL 1 HOUR""",
+)
+def q_candles_last_hour(spark, sf):
+    r = _results(spark, sf)
+    return SV.candles_last_hour(r["candles"], None, "1min", r["as_of"])
+
+
+@register(
+    "volume_series",
+    f"""{_C} SELECT symbol, window_start AS time, trade_volume AS volume FROM candles
+WHERE window_size = '5min' AND window_start BETWEEN {O.AS_OF} - INTERVAL 6 HOUR AND {O.AS_OF}""",
+)
+def q_volume_series(spark, sf):
+    r = _results(spark, sf)
+    return SV.volume_series(r["candles"], None, "5min", r["as_of"] - F.expr("INTERVAL 6 HOUR"), r["as_of"])
+
+
+@register("symbols", f"{_C} SELECT DISTINCT symbol FROM candles")
+def q_symbols(spark, sf):
+    return SV.symbols(_results(spark, sf)["candles"])
+
+
+@register(
+    "latest_candles",
+    f"""{_C} SELECT symbol, window_size, window_end, open_price, high_price, low_price, close_price, trade_count
+FROM candles ORDER BY window_end DESC, window_size DESC, symbol LIMIT 10""",
+)
+def q_latest_candles(spark, sf):
+    return SV.latest_candles(_results(spark, sf)["candles"], 10)
+
+
+_COUNTS_SQL = f"""
+  SELECT symbol,
+    count(*) FILTER (WHERE pattern_type = 'VOLUME_SPIKE' AND detected_at >= {O.AS_OF} - INTERVAL 1 HOUR) AS volume_spikes,
+    count(*) FILTER (WHERE pattern_type = 'WASH_TRADE' AND detected_at >= {O.AS_OF} - INTERVAL 1 HOUR) AS wash_trades,
+    count(*) FILTER (WHERE pattern_type = 'PUMP_AND_DUMP' AND detected_at >= {O.AS_OF} - INTERVAL 1 HOUR) AS pump_and_dumps
+  FROM alerts GROUP BY symbol"""
+
+
+@register("anomaly_counts", f"{_CA} {_COUNTS_SQL}")
+def q_anomaly_counts(spark, sf):
+    r = _results(spark, sf, alerts=True)
+    return SV.anomaly_counts(r["alerts"], None, r["as_of"])
+
+
+@register(
+    "anomaly_count_bands",
+    f"""{_CA}, counts AS ({_COUNTS_SQL}),
+long AS (SELECT symbol, 'VOLUME_SPIKE' AS pattern_type, volume_spikes AS alerts FROM counts
+         UNION ALL SELECT symbol, 'WASH_TRADE', wash_trades FROM counts
+         UNION ALL SELECT symbol, 'PUMP_AND_DUMP', pump_and_dumps FROM counts)
+SELECT symbol, pattern_type, alerts, CASE WHEN alerts >= 5 THEN 'red' WHEN alerts >= 1 THEN 'yellow' ELSE 'green' END AS band
+FROM long""",
+)
+def q_anomaly_count_bands(spark, sf):
+    r = _results(spark, sf, alerts=True)
+    return SV.anomaly_count_bands(SV.anomaly_counts(r["alerts"], None, r["as_of"]))
+
+
+@register(
+    "alert_table",
+    f"""{_CA} SELECT symbol, trade_id, detected_at, pattern_type, severity,
+  CAST(round(CAST(price_change_pct AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_change_pct,
+  CAST(round(CAST(volume_ratio AS DECIMAL(38,10)), 1) AS DOUBLE) AS vol_ratio,
+  CASE severity WHEN 'HIGH' THEN 'red' WHEN 'MEDIUM' THEN 'orange' WHEN 'LOW' THEN 'yellow' END AS severity_colour,
+  CASE severity WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'LOW' THEN 2 END AS severity_rank,
+  description
+FROM alerts WHERE detected_at >= {O.AS_OF} - INTERVAL 1 HOUR
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY detected_at DESC, pattern_type, trade_id) <= 100""",
+)
+def q_alert_table(spark, sf):
+    r = _results(spark, sf, alerts=True)
+    return SV.alert_table(r["alerts"], None, r["as_of"], 100)
+
+
+@register(
+    "recent_alerts",
+    f"""{_CA} SELECT symbol, trade_id, detected_at, pattern_type, severity, description
+FROM alerts WHERE detected_at >= {O.AS_OF} - INTERVAL 1 HOUR
+ORDER BY detected_at DESC, pattern_type, symbol, trade_id LIMIT 20""",
+)
+def q_recent_alerts(spark, sf):
+    r = _results(spark, sf, alerts=True)
+    return SV.recent_alerts(r["alerts"], r["as_of"], 20)
