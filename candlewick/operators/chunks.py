@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.params import DEFAULT, Params
+from candlewick.session import cut_lineage
 
 ORDER = ("trade_time_ms", "trade_id")
 
@@ -60,7 +61,9 @@ def assign_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", t
     its measured size is under the broadcast threshold, and keeps a shuffle
     join otherwise.
     """
-    plan = plan_chunks(trades, p, key, ts)
+    # the plan is small; materialising it once gives AQE exact statistics
+    # (so the join below is a broadcast) and saves re-aggregating per consumer
+    plan = cut_lineage(plan_chunks(trades, p, key, ts), "chunk-plan")
     with_grain = trades.withColumn("_grain", F.floor(F.col(ts) / F.lit(p.grain_ms)))
     return with_grain.join(plan, [key, "_grain"]).drop("_grain")
 
@@ -84,15 +87,26 @@ def rolling_rows(
     base_cols = df.columns
     part = Window.partitionBy(key, chunk)
     ordered = part.orderBy(*order)
-    a = df.withColumn("_rn", F.row_number().over(ordered)).withColumn("_n", F.count(F.lit(1)).over(part))
-
+    # one sort per chunk computes position, chunk size and the frame
+    # aggregates; it is materialised once because both the interior rows and
+    # the (small) edge set are read from it
+    a = cut_lineage(
+        df.select(
+            "*",
+            F.row_number().over(ordered).alias("_rn"),
+            F.count(F.lit(1)).over(part).alias("_n"),
+            *aggs(ordered.rowsBetween(-h, 0)),
+        ),
+        "rolling",
+    )
+    agg_names = [c for c in a.columns if c not in (*base_cols, "_rn", "_n")]
     # rows at least `frame` deep into their chunk: the chunk window is exact
-    interior = a.select(*base_cols, "_rn", *aggs(ordered.rowsBetween(-h, 0))).where(F.col("_rn") > h).drop("_rn")
+    interior = a.where(F.col("_rn") > h).select(*base_cols, *agg_names)
     if h == 0:
         return interior
 
     # chunk heads need rows of earlier chunks; heads and tails are small
-    edges = a.where((F.col("_rn") <= h) | (F.col("_n") - F.col("_rn") < h))
+    edges = a.where((F.col("_rn") <= h) | (F.col("_n") - F.col("_rn") < h)).select(*base_cols, "_rn", "_n")
     sizes = edges.groupBy(key, chunk).agg(F.max("_n").alias("_n"))
     wk = Window.partitionBy(key).orderBy(chunk)
     sizes = sizes.withColumn(

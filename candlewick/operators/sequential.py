@@ -130,13 +130,14 @@ def run_sequential(
     halo = base.where(
         F.col("next_chunk").isNotNull() & (F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.lit(halo_ms))
     ).select(*[F.col("next_chunk").alias("chunk") if c == "chunk" else F.col(c) for c in cols], F.lit(True).alias("_halo"))
-    spec = cut_lineage(own.unionByName(halo).groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, True), schema))
+    spec = cut_lineage(
+        own.unionByName(halo).groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, True), schema), rule.name
+    )
 
     results = [spec.where(F.col("_kind") == "out").withColumn("_round", F.lit(0))]
     states = spec.where(F.col("_kind") == "state").select(
         key, "chunk", "_first_ts", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
     ).withColumn("_round", F.lit(0))
-    states = cut_lineage(states)
     names = [f.name for f in rule.state_fields]
     own_rows = rows.select(*cols)
     rnd = 0
@@ -152,7 +153,8 @@ def run_sequential(
         ).withColumn(
             "_ok", _null_safe_equal([F.col("in_" + n) for n in names], [F.col("exp_" + n) for n in names])
         )
-        checked = cut_lineage(checked)
+        if rnd > 0:
+            checked = cut_lineage(checked, rule.name + "-check")
         bad = checked.where(~F.col("_ok"))
         if bad.limit(1).count() == 0:
             break
@@ -160,13 +162,13 @@ def run_sequential(
         # re-fold only the wrong chunks, from their true incoming state
         starts = bad.select(key, "chunk", *[F.col("exp_" + n).alias("in_" + n) for n in names])
         rerun = own_rows.join(starts, [key, "chunk"])
-        redo = cut_lineage(rerun.groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, False), schema))
+        redo = cut_lineage(rerun.groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, False), schema), rule.name)
         results.append(redo.where(F.col("_kind") == "out").withColumn("_round", F.lit(rnd)))
         new_states = redo.where(F.col("_kind") == "state").select(
             key, "chunk", "_first_ts", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
         ).withColumn("_round", F.lit(rnd))
         keep = checked.where(F.col("_ok")).select(*states.columns)
-        states = cut_lineage(keep.unionByName(new_states))
+        states = cut_lineage(keep.unionByName(new_states), rule.name + "-states")
 
     final_round = states.select(key, "chunk", "_round")
     out = results[0]

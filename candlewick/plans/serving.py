@@ -24,7 +24,10 @@ from candlewick.params import DEFAULT, Params
 SEVERITY_COLOURS = (("HIGH", "red", 0), ("MEDIUM", "orange", 1), ("LOW", "yellow", 2))
 BAND_YELLOW_AT, BAND_RED_AT = 1, 5
 PATTERNS = ("VOLUME_SPIKE", "WASH_TRADE", "PUMP_AND_DUMP")
-ONE_HOUR = F.expr("INTERVAL 1 HOUR")
+
+
+def _one_hour() -> Column:
+    return F.expr("INTERVAL 1 HOUR")
 
 
 def _as_of(as_of) -> Column:
@@ -79,7 +82,7 @@ def candles_last_hour(
     """Candles of the last hour for the chart, oldest first, with direction."""
     validate_size(size, p)
     c = _for_symbol(candles, symbol).where(
-        (F.col("window_size") == F.lit(size)) & (F.col("window_start") >= _as_of(as_of) - ONE_HOUR)
+        (F.col("window_size") == F.lit(size)) & (F.col("window_start") >= _as_of(as_of) - _one_hour())
     )
     return c.select(
         "symbol",
@@ -105,7 +108,7 @@ def volume_series(
     (default: the hour before now)."""
     validate_size(size, p)
     to = _as_of(time_to)
-    frm = _as_of(time_from) if time_from is not None else to - ONE_HOUR
+    frm = _as_of(time_from) if time_from is not None else to - _one_hour()
     c = _for_symbol(candles, symbol).where(
         (F.col("window_size") == F.lit(size)) & F.col("window_start").between(frm, to)
     )
@@ -133,7 +136,7 @@ def anomaly_counts(alerts: DataFrame, symbol: str | None = None, as_of=None) ->
     With a symbol: exactly one row (zeros when nothing fired). Without: one
     row per symbol present in ``alerts``.
     """
-    recent = F.col("detected_at") >= _as_of(as_of) - ONE_HOUR
+    recent = F.col("detected_at") >= _as_of(as_of) - _one_hour()
     counts = [
         F.count_if(recent & (F.col("pattern_type") == F.lit(pt))).alias(name)
         for pt, name in zip(PATTERNS, ("volume_spikes", "wash_trades", "pump_and_dumps"))
@@ -177,7 +180,7 @@ def alert_table(
     limit is deterministic. Per symbol this is a window top-k, which Spark
     evaluates as a group limit before the shuffle.
     """
-    recent = _for_symbol(alerts, symbol).where(F.col("detected_at") >= _as_of(as_of) - ONE_HOUR)
+    recent = _for_symbol(alerts, symbol).where(F.col("detected_at") >= _as_of(as_of) - _one_hour())
     order = [F.col("detected_at").desc(), F.col("pattern_type"), F.col("trade_id")]
     w = Window.partitionBy("symbol").orderBy(*order)
     top = recent.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
@@ -200,7 +203,7 @@ def alert_table(
 
 def recent_alerts(alerts: DataFrame, as_of=None, limit: int = 20, with_description: bool = True) -> DataFrame:
     """Newest alerts of all symbols in the last hour (top ``limit``)."""
-    recent = alerts.where(F.col("detected_at") >= _as_of(as_of) - ONE_HOUR)
+    recent = alerts.where(F.col("detected_at") >= _as_of(as_of) - _one_hour())
     cols: Sequence = ["symbol", "trade_id", "detected_at", "pattern_type", "severity"]
     if with_description:
         cols = [*cols, "description"]

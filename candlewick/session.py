@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a shared folder before running sequential detectors")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as parquet under the shared checkpoint folder and
+    read it back: one computation (a reliable ``checkpoint()`` of an
+    unpersisted plan computes it twice), durable across executor loss, and
+    later reads get column pruning and filter pushdown."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/candlewick/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
