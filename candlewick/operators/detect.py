@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
 from candlewick.functions.exprs import guarded_div, ms_to_ts, py_fixed, severity
-from candlewick.operators.features import spike_features, wash_features, with_chunks
-from candlewick.operators.sequential import SequentialRule, run_sequential
+from candlewick.operators.features import all_features, spike_features, wash_features, with_chunks
+from candlewick.operators.sequential import SequentialRule, combine_rules, run_sequential
 from candlewick.params import DEFAULT, Params
 
 ANOMALY_COLUMNS = [
@@ -65,10 +65,14 @@ def wash_trades(trades: DataFrame, p: Params = DEFAULT, features: DataFrame | No
 
 
 # ----------------------------------------------------------------- spike
+def spike_test(p: Params = DEFAULT):
+    return (F.col("history_len") >= p.spike_warmup) & (F.col("spike_ratio") >= p.spike_mult)
+
+
 def spike_candidates(trades: DataFrame, p: Params = DEFAULT, features: DataFrame | None = None) -> DataFrame:
     """Trades where the spike test holds before the cooldown is applied."""
     f = features if features is not None else spike_features(trades, p)
-    return f.where((F.col("history_len") >= p.spike_warmup) & (F.col("spike_ratio") >= p.spike_mult))
+    return f.where(spike_test(p))
 
 
 def cooldown_rule(p: Params = DEFAULT) -> SequentialRule:
@@ -121,7 +125,10 @@ def cooldown_rule(p: Params = DEFAULT) -> SequentialRule:
 def volume_spikes(trades: DataFrame, p: Params = DEFAULT, features: DataFrame | None = None) -> DataFrame:
     """VOLUME_SPIKE after the per-symbol greedy 30 s cooldown."""
     cands = spike_candidates(trades, p, features)
-    accepted = run_sequential(cands, cooldown_rule(p), p.seq_halo_ms)
+    return _spike_alerts(run_sequential(cands, cooldown_rule(p), p.seq_halo_ms), p)
+
+
+def _spike_alerts(accepted: DataFrame, p: Params) -> DataFrame:
     return accepted.select(
         "symbol",
         "trade_id",
@@ -235,7 +242,10 @@ def pump_rule(p: Params = DEFAULT) -> SequentialRule:
 
 def pump_and_dump(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """PUMP_AND_DUMP alerts (state machine per symbol, exact, chunk-parallel)."""
-    fired = run_sequential(with_chunks(trades, p), pump_rule(p), p.seq_halo_ms)
+    return _pump_alerts(run_sequential(with_chunks(trades, p), pump_rule(p), p.seq_halo_ms), p)
+
+
+def _pump_alerts(fired: DataFrame, p: Params) -> DataFrame:
     return fired.select(
         "symbol",
         "trade_id",
@@ -254,12 +264,21 @@ def pump_and_dump(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
 def anomaly_events(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """One alert relation for all patterns (``unionByName``).
 
-    Trades are chunked once and shared by the three detectors.
+    Trades are chunked once; wash and spike features come from one sort per
+    chunk, and the two sequential rules (pump state machine over all trades,
+    spike cooldown over candidates) are folded in one pass.
     """
-    t = with_chunks(trades, p)
+    f = all_features(trades, p)
+    rule = combine_rules([(pump_rule(p), None), (cooldown_rule(p), "_spike_candidate")], "alerts")
+    folded = run_sequential(f.withColumn("_spike_candidate", spike_test(p)), rule, p.seq_halo_ms)
+
+    def part(i: int, r: SequentialRule) -> DataFrame:
+        cols = [F.col(f"{r.name}__{x.name}").alias(x.name) for x in r.out_fields]
+        return folded.where(F.col("_rule") == i).select("symbol", *cols)
+
     return (
-        wash_trades(t, p)
-        .unionByName(volume_spikes(t, p))
-        .unionByName(pump_and_dump(t, p))
+        wash_trades(None, p, features=f)
+        .unionByName(_spike_alerts(part(1, cooldown_rule(p)), p))
+        .unionByName(_pump_alerts(part(0, pump_rule(p)), p))
         .select(*ANOMALY_COLUMNS)
     )

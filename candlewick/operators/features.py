@@ -16,6 +16,46 @@ def with_chunks(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return assign_chunks(trades, p)
 
 
+def _wash_aggs(w):
+    return [
+        F.count(F.lit(1)).over(w).alias("window_trades"),
+        F.max("price").over(w).alias("high"),
+        F.min("price").over(w).alias("low"),
+        F.avg("quantity").over(w).alias("avg_quantity"),
+    ]
+
+
+def _spike_aggs(w):
+    return [
+        F.count(F.lit(1)).over(w).alias("history_len"),
+        F.avg("recent_count").over(w).alias("avg_count"),
+    ]
+
+
+def _wash_derived(f: DataFrame) -> DataFrame:
+    return f.withColumn("swing_pct", pct_of(F.col("high") - F.col("low"), F.col("low"))).withColumn(
+        "quantity_ratio", guarded_div(F.col("quantity"), F.col("avg_quantity"))
+    )
+
+
+def _spike_derived(f: DataFrame) -> DataFrame:
+    return f.withColumn("spike_ratio", guarded_div(F.col("recent_count").cast("double"), F.col("avg_count")))
+
+
+def all_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Wash and spike features in one pass: the 10 s count needs its own
+    window, then one sort per chunk evaluates both 60-trade frames (two
+    chained passes when the frame lengths differ)."""
+    if p.grain_ms < p.spike_window_ms:
+        raise ValueError("grain_ms must be at least spike_window_ms")
+    c = recent_count(with_chunks(trades, p), p.spike_window_ms)
+    if p.wash_frame == p.spike_frame:
+        f = rolling_rows(c, p.wash_frame, lambda w: _wash_aggs(w) + _spike_aggs(w))
+    else:
+        f = rolling_rows(rolling_rows(c, p.wash_frame, _wash_aggs), p.spike_frame, _spike_aggs)
+    return _spike_derived(_wash_derived(f))
+
+
 def wash_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Last-``wash_frame``-trades statistics per trade.
 
@@ -23,20 +63,7 @@ def wash_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     ``low``, ``avg_quantity``, ``swing_pct`` ((high-low)/low*100, 0 if
     low <= 0) and ``quantity_ratio`` (quantity/avg, 0 if avg <= 0).
     """
-    t = with_chunks(trades, p)
-
-    def aggs(w):
-        return [
-            F.count(F.lit(1)).over(w).alias("window_trades"),
-            F.max("price").over(w).alias("high"),
-            F.min("price").over(w).alias("low"),
-            F.avg("quantity").over(w).alias("avg_quantity"),
-        ]
-
-    f = rolling_rows(t, p.wash_frame, aggs)
-    return f.withColumn("swing_pct", pct_of(F.col("high") - F.col("low"), F.col("low"))).withColumn(
-        "quantity_ratio", guarded_div(F.col("quantity"), F.col("avg_quantity"))
-    )
+    return _wash_derived(rolling_rows(with_chunks(trades, p), p.wash_frame, _wash_aggs))
 
 
 def spike_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -49,14 +76,5 @@ def spike_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """
     if p.grain_ms < p.spike_window_ms:
         raise ValueError("grain_ms must be at least spike_window_ms")
-    t = with_chunks(trades, p)
-    c = recent_count(t, p.spike_window_ms)
-
-    def aggs(w):
-        return [
-            F.count(F.lit(1)).over(w).alias("history_len"),
-            F.avg("recent_count").over(w).alias("avg_count"),
-        ]
-
-    f = rolling_rows(c, p.spike_frame, aggs)
-    return f.withColumn("spike_ratio", guarded_div(F.col("recent_count").cast("double"), F.col("avg_count")))
+    c = recent_count(with_chunks(trades, p), p.spike_window_ms)
+    return _spike_derived(rolling_rows(c, p.spike_frame, _spike_aggs))

@@ -176,3 +176,66 @@ def run_sequential(
         out = out.unionByName(r)
     out = out.join(final_round, [key, "chunk", "_round"], "left_semi")
     return out.select(key, *[f.name for f in rule.out_fields])
+
+
+def combine_rules(rules: Sequence[tuple[SequentialRule, str | None]], name: str = "combined") -> SequentialRule:
+    """Fold several rules in one pass over the same rows.
+
+    ``rules`` pairs each rule with an optional boolean column selecting the
+    rows it sees (``None``: all rows). State is the concatenation of the
+    states; output rows carry ``_rule`` (index) and the rule's fields
+    prefixed ``<rule name>__`` (other rules' fields NULL).
+    """
+    from pyspark.sql.types import IntegerType
+
+    sizes = [len(r.state_fields) for r, _ in rules]
+    offsets = [sum(sizes[:i]) for i in range(len(sizes))]
+    outs = [[StructField(f"{r.name}__{f.name}", f.dataType, True) for f in r.out_fields] for r, _ in rules]
+    width = sum(len(o) for o in outs)
+    out_off = [sum(len(o) for o in outs[:i]) for i in range(len(outs))]
+
+    def split(state):
+        return [tuple(state[o : o + n]) for o, n in zip(offsets, sizes)]
+
+    def step(state, rows, emit):
+        parts = split(state)
+        new = []
+        for i, ((rule, col), st) in enumerate(zip(rules, parts)):
+            sub = rows if col is None else rows[rows[col].astype(bool)]
+            if emit is None:
+                new.append(rule.step(st, sub, None))
+                continue
+
+            def emit_i(r, i=i):
+                row = [None] * width
+                row[out_off[i] : out_off[i] + len(r)] = list(r)
+                emit((i, *row))
+
+            new.append(rule.step(st, sub, emit_i))
+        return tuple(v for st in new for v in st)
+
+    def normalize(state, first_ts):
+        return tuple(v for (rule, _), st in zip(rules, split(state)) for v in rule.normalize(st, first_ts))
+
+    def normalize_cols(cols, first_ts):
+        out = []
+        for (rule, _), o, n in zip(rules, offsets, sizes):
+            out += rule.normalize_cols(cols[o : o + n], first_ts)
+        return out
+
+    input_cols = []
+    for rule, col in rules:
+        input_cols += list(rule.input_cols) + ([col] if col else [])
+    state_fields = []
+    for rule, _ in rules:
+        state_fields += [StructField(f"{rule.name}__{f.name}", f.dataType, True) for f in rule.state_fields]
+    return SequentialRule(
+        name=name,
+        input_cols=list(dict.fromkeys(input_cols)),
+        state_fields=state_fields,
+        out_fields=[StructField("_rule", IntegerType(), True)] + [f for o in outs for f in o],
+        initial=tuple(v for rule, _ in rules for v in rule.initial),
+        step=step,
+        normalize=normalize,
+        normalize_cols=normalize_cols,
+    )
