@@ -113,19 +113,57 @@ def stream_candles(trades: DataFrame, p: Params = DEFAULT, delay: str = "3 secon
 
 
 # -------------------------------------------------------------------- sinks
+NOT_NULL = {
+    "candles": ("symbol", "window_start", "window_end", "window_size", "open_price", "high_price", "low_price",
+                "close_price", "trade_volume", "trade_count"),
+    "alerts": ("symbol", "detected_at", "pattern_type", "severity", "description"),
+}
+
+
+def split_not_null(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows meeting the NOT NULL contract, the others with a reason)."""
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull()
+    bad_reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in cols])
+    return df.where(ok), df.where(~ok).withColumn("reason", bad_reason)
+
+
 class BatchParquetSink:
     """Idempotent append: micro-batch ``b`` is written (overwrite) to
     ``path/batch_id=b``, partitioned by ``partition_cols`` and sorted within
-    files for min/max skipping. Replaying a batch id rewrites the same rows."""
-
-    def __init__(self, path: str, partition_cols: Sequence[str] = ("symbol",), sort_cols: Sequence[str] = ()):
+    files for min/max skipping. Replaying a batch id rewrites the same rows.
+
+    ``not_null`` rows failing the contract go to ``path/_quarantine``;
+    ``created_at`` (write time, like a column default) is added only here.
+    """
+
+    def __init__(
+        self,
+        path: str,
+        partition_cols: Sequence[str] = ("symbol",),
+        sort_cols: Sequence[str] = (),
+        not_null: Sequence[str] = (),
+        stamp: str | None = None,
+    ):
         self.path = path.rstrip("/")
         self.partition_cols = list(partition_cols)
         self.sort_cols = list(sort_cols)
+        self.not_null = list(not_null)
+        self.stamp = stamp
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        out = df.sortWithinPartitions(*self.sort_cols) if self.sort_cols else df
+        src = df.persist() if self.not_null else df  # read twice: contract split
+        good = src
+        if self.not_null:
+            good, bad = split_not_null(src, self.not_null)
+            bad.write.mode("overwrite").parquet(f"{self.path}/_quarantine/batch_id={batch_id}")
+        if self.stamp:
+            good = good.withColumn(self.stamp, F.current_timestamp())
+        out = good.sortWithinPartitions(*self.sort_cols) if self.sort_cols else good
         out.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(f"{self.path}/batch_id={batch_id}")
+        if self.not_null:
+            src.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("batch_id")
@@ -173,7 +211,9 @@ def start_candle_query(
     p: Params = DEFAULT,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    candle_sink = BatchParquetSink(candle_path, ("window_size", "symbol"), ("window_start",))
+    candle_sink = BatchParquetSink(
+        candle_path, ("window_size", "symbol"), ("window_start",), NOT_NULL["candles"], stamp="created_at"
+    )
     ticker_sink = TickerUpsertSink(ticker_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -189,7 +229,9 @@ def start_candle_query(
 def start_alert_query(
     trades: DataFrame, alert_path: str, checkpoint: str, p: Params = DEFAULT, trigger: dict | None = None
 ) -> StreamingQuery:
-    sink = BatchParquetSink(alert_path, ("pattern_type",), ("symbol", "detected_at"))
+    sink = BatchParquetSink(
+        alert_path, ("pattern_type",), ("symbol", "detected_at"), NOT_NULL["alerts"], stamp="created_at"
+    )
     w = stream_alerts(trades, p).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return w.foreachBatch(sink).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
