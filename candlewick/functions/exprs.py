@@ -70,3 +70,19 @@ def py_align(text: Column, width: int, left: bool) -> Column:
     """Python ``:<N`` / ``:>N`` padding (never truncates, unlike rpad/lpad)."""
     padded = F.rpad(text, width, " ") if left else F.lpad(text, width, " ")
     return F.when(F.length(text) >= width, text).otherwise(padded)
+
+
+def order_key(ts: Column | str, tie: Column | str) -> Column:
+    """Single ``DECIMAL(38,0)`` ordering ``(ts, tie)`` lexicographically:
+    ``ts * 2^64 + (tie + 2^63)``, exact for any long ``tie`` and |ts| < 10^19.
+
+    ``min_by/max_by`` over a struct key has a non-fixed-width buffer, which
+    forces a sort-based aggregate (a full sort of the input); a decimal key
+    keeps the aggregation hash-based and partial.
+    """
+    from decimal import Decimal
+
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    tie = F.col(tie) if isinstance(tie, str) else tie
+    d = "decimal(38,0)"
+    return ts.cast(d) * F.lit(Decimal(2**64)).cast(d) + (tie.cast(d) + F.lit(Decimal(2**63)).cast(d))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import ms_to_ts, pct_of
+from candlewick.functions.exprs import ms_to_ts, order_key, pct_of, ts_to_ms
 from candlewick.params import DEFAULT, Params
 
 CANDLE_COLUMNS = [
@@ -38,7 +38,7 @@ def _bucket_start(ms_col: str, size_ms: int):
 
 def ohlc(trades: DataFrame, label: str = "1min", size_ms: int = 60_000) -> DataFrame:
     """One candle per (symbol, tumbling window); empty windows yield no row."""
-    order = F.struct("trade_time_ms", "trade_id")
+    order = order_key("trade_time_ms", "trade_id")
     agg = trades.groupBy("symbol", _bucket_start("trade_time_ms", size_ms).alias("_ws")).agg(
         F.min_by("price", order).alias("open_price"),
         F.max("price").alias("high_price"),
@@ -117,18 +117,14 @@ def price_ticker(candles_df: DataFrame, source_sizes: Sequence[str] = ("1min",))
     for size, i in rank.items():
         rank_col = F.when(F.col("window_size") == size, F.lit(i)).otherwise(rank_col)
     src = with_change_pct(candles_df.where(F.col("window_size").isin(list(source_sizes))))
+    key = order_key(ts_to_ms(F.col("window_end")), rank_col)
     latest = src.groupBy("symbol").agg(
-        F.max_by(
-            F.struct(
-                F.col("close_price").alias("price"),
-                "price_change_pct",
-                F.col("trade_volume").alias("volume_1min"),
-                F.col("window_end").alias("updated_at"),
-            ),
-            F.struct(F.col("window_end"), rank_col),
-        ).alias("t")
+        F.max_by("close_price", key).alias("price"),
+        F.max_by("price_change_pct", key).alias("price_change_pct"),
+        F.max_by("trade_volume", key).alias("volume_1min"),
+        F.max("window_end").alias("updated_at"),
     )
-    return latest.select("symbol", "t.price", "t.price_change_pct", "t.volume_1min", "t.updated_at")
+    return latest
 
 
 def throughput(trades: DataFrame, seconds: int = 10) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from candlewick.functions.exprs import ms_to_ts
+from candlewick.functions.exprs import ms_to_ts, order_key
 from candlewick.operators.candles import CANDLE_COLUMNS, price_ticker
 from candlewick.operators.ingest import normalize_trades, parse_trades
 from candlewick.params import DEFAULT, Params
@@ -86,7 +86,7 @@ def stream_candles(trades: DataFrame, p: Params = DEFAULT, delay: str = "3 secon
 
     Late trades of a closed window are dropped, as in the reference."""
     ev = trades.withColumn("_ets", F.timestamp_millis("trade_time_ms")).withWatermark("_ets", delay)
-    order = F.struct("trade_time_ms", "trade_id")
+    order = order_key("trade_time_ms", "trade_id")
     parts = []
     for label, ms in p.candle_sizes:
         agg = ev.groupBy("symbol", F.window("_ets", f"{ms // 1000} seconds").alias("w")).agg(
