@@ -68,6 +68,17 @@ def assign_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", t
     return with_grain.join(plan, [key, "_grain"]).drop("_grain")
 
 
+def with_halo_copies(df: DataFrame, is_halo: Column, chunk: str = "chunk") -> DataFrame:
+    """Every row once in its own chunk (``_halo`` false) and, where
+    ``is_halo`` holds, once more in the next chunk (``_halo`` true) — one
+    scan, a one-to-two ``explode`` instead of a union of two reads."""
+    copies = F.when(F.col("next_chunk").isNotNull() & is_halo, F.array(F.lit(False), F.lit(True))).otherwise(
+        F.array(F.lit(False))
+    )
+    out = df.select("*", F.explode(copies).alias("_halo"))
+    return out.withColumn(chunk, F.when(F.col("_halo"), F.col("next_chunk")).otherwise(F.col(chunk)))
+
+
 AggBuilder = Callable[[Window], list[Column]]
 
 
@@ -152,13 +163,7 @@ def recent_count(
     chunk as halo (chunks span at least one grain >= ``window_ms``).
     """
     base_cols = df.columns
-    own = df.withColumn("_halo", F.lit(False))
-    halo = (
-        df.where(F.col("next_chunk").isNotNull() & (F.col(ts) >= F.col("next_chunk_start_ms") - F.lit(window_ms)))
-        .withColumn(chunk, F.col("next_chunk"))
-        .withColumn("_halo", F.lit(True))
-    )
-    both = own.unionByName(halo)
+    both = with_halo_copies(df, F.col(ts) >= F.col("next_chunk_start_ms") - F.lit(window_ms), chunk)
     rows_w = Window.partitionBy(key, chunk).orderBy(*order)
     old_w = Window.partitionBy(key, chunk).orderBy(ts).rangeBetween(Window.unboundedPreceding, -(window_ms + 1))
     counted = both.withColumn(

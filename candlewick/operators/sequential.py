@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from candlewick.operators.chunks import with_halo_copies
 from candlewick.session import cut_lineage
 
 
@@ -126,12 +127,11 @@ def run_sequential(
     schema = _schema(rule, key)
     cols = list(dict.fromkeys([key, "chunk", "trade_time_ms", "trade_id", *rule.input_cols]))
     base = rows.select(*cols, "next_chunk", "next_chunk_start_ms")
-    own = base.select(*cols, F.lit(False).alias("_halo"))
-    halo = base.where(
-        F.col("next_chunk").isNotNull() & (F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.lit(halo_ms))
-    ).select(*[F.col("next_chunk").alias("chunk") if c == "chunk" else F.col(c) for c in cols], F.lit(True).alias("_halo"))
+    both = with_halo_copies(base, F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.lit(halo_ms)).select(
+        *cols, "_halo"
+    )
     spec = cut_lineage(
-        own.unionByName(halo).groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, True), schema), rule.name
+        both.groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, True), schema), rule.name
     )
 
     results = [spec.where(F.col("_kind") == "out").withColumn("_round", F.lit(0))]
