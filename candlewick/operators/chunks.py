@@ -34,6 +34,16 @@ from candlewick.session import cut_lineage
 ORDER = ("trade_time_ms", "trade_id")
 
 
+def chunk_size(grains: DataFrame, p: Params = DEFAULT) -> Column:
+    """Rows per chunk: ``p.chunk_rows`` if set, else total rows over twice the
+    cluster's parallelism (a scalar subquery), clamped to the min/max."""
+    if p.chunk_rows:
+        return F.lit(p.chunk_rows)
+    total = grains.select(F.sum("_cnt")).scalar()
+    slots = 2 * grains.sparkSession.sparkContext.defaultParallelism
+    return F.greatest(F.lit(p.min_chunk_rows), F.least(F.lit(p.max_chunk_rows), F.ceil(total / F.lit(slots))))
+
+
 def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
     """Small table ``(key, _grain, chunk, chunk_start_ms, next_chunk, next_chunk_start_ms)``.
 
@@ -45,7 +55,7 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     )
     wk = Window.partitionBy(key).orderBy("_grain")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    g = grains.withColumn("chunk", F.floor(before / F.lit(p.chunk_rows)).cast("bigint"))
+    g = grains.withColumn("chunk", F.floor(before / chunk_size(grains, p)).cast("bigint"))
     firsts = g.groupBy(key, "chunk").agg((F.min("_grain") * F.lit(p.grain_ms)).alias("chunk_start_ms"))
     wc = Window.partitionBy(key).orderBy("chunk")
     firsts = firsts.withColumn("next_chunk", F.lead("chunk").over(wc)).withColumn(

@@ -45,9 +45,13 @@ class Params:
     candle_sizes: tuple[tuple[str, int], ...] = (("1min", 60_000), ("5min", 300_000))
     # routing
     symbol_partitions: tuple[tuple[str, int], ...] = DEFAULT_SYMBOL_PARTITIONS
-    # scale-out: time grain of the chunk planner and target rows per chunk
+    # scale-out: time grain of the chunk planner and rows per chunk. With
+    # chunk_rows=None the size adapts: total rows / (2 x cluster parallelism),
+    # clamped to [min_chunk_rows, max_chunk_rows]
     grain_ms: int = 60_000
-    chunk_rows: int = 2_000_000
+    chunk_rows: int | None = None
+    min_chunk_rows: int = 20_000
+    max_chunk_rows: int = 2_000_000
     # speculative look-back for the sequential detectors (ms of the
     # previous chunk replayed before a chunk's own rows)
     seq_halo_ms: int = 600_000
