@@ -103,6 +103,21 @@ def route_trades(messages: DataFrame, p: Params = DEFAULT) -> DataFrame:
     )
 
 
+def restrict_symbols(df: DataFrame, symbols) -> DataFrame:
+    """Keep only a configured symbol universe (a filter Catalyst pushes to the
+    scan / partition pruning when the source is partitioned by symbol)."""
+    return df.where(F.col("symbol").isin(list(symbols)))
+
+
+def publish_trades(routed: DataFrame, path: str) -> None:
+    """File twin of the keyed, explicitly partitioned log sink: JSON lines
+    under ``path/partition=N`` (the Kafka sink takes ``key, value, partition``
+    columns as they are)."""
+    routed.select(F.col("key").cast("string").alias("key"), "value", "partition").write.mode("append").partitionBy(
+        "partition"
+    ).json(path)
+
+
 def parse_trades(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Trade message JSON -> engine trades.
 

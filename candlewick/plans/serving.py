@@ -70,6 +70,12 @@ def ticker_panel(ticker: DataFrame, symbol: str | None = None, as_of=None) -> Da
     return newest.select(_as_of(as_of).alias("time"), "symbol", label.alias("ticker"), F.col("price"))
 
 
+def last_not_null(df: DataFrame, value: str, order: str, by: str = "symbol") -> DataFrame:
+    """Panel reducer "last non-null": the latest non-null ``value`` per key
+    (a partial ``max_by`` over non-null rows, no sort)."""
+    return df.where(F.col(value).isNotNull()).groupBy(by).agg(F.max_by(value, order).alias(value))
+
+
 def ticker_snapshot(ticker: DataFrame) -> DataFrame:
     """Every symbol's latest price, ordered by symbol."""
     return ticker.select("symbol", "price", "price_change_pct", "volume_1min", "updated_at").orderBy("symbol")

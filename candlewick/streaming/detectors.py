@@ -45,17 +45,20 @@ def _naive_mean(values: list[float]) -> float:
 class DetectorProcessor(StatefulProcessor):
     """WASH_TRADE, VOLUME_SPIKE and PUMP_AND_DUMP for one symbol's stream."""
 
-    def __init__(self, p: Params = DEFAULT):
+    def __init__(self, p: Params = DEFAULT, state_ttl_ms: int | None = None):
         self.p = p
         self.pump = pump_rule(p)
+        # optional: forget symbols that have been silent this long (processing time)
+        self.ttl = state_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.wash = handle.getListState("wash", "price double, quantity double")
-        self.counts = handle.getListState("spike_counts", "n long")
-        self.recent = handle.getListState("spike_recent", "ts long")
-        self.last_alert = handle.getValueState("spike_last_alert", "ts long")
+        ttl = self.ttl
+        self.wash = handle.getListState("wash", "price double, quantity double", ttl)
+        self.counts = handle.getListState("spike_counts", "n long", ttl)
+        self.recent = handle.getListState("spike_recent", "ts long", ttl)
+        self.last_alert = handle.getValueState("spike_last_alert", "ts long", ttl)
         self.pump_state = handle.getValueState(
-            "pump", "phase string, start_price double, start_time long, peak_price double"
+            "pump", "phase string, start_price double, start_time long, peak_price double", ttl
         )
 
     # ------------------------------------------------------------ helpers
@@ -139,14 +142,16 @@ class DetectorProcessor(StatefulProcessor):
         pass
 
 
-def stream_alerts(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Streaming (or batch) trades -> alert rows in the ``anomaly_events``
-    schema, via the stateful processor. No watermark: late trades count."""
+def stream_alerts(trades: DataFrame, p: Params = DEFAULT, state_ttl_ms: int | None = None) -> DataFrame:
+    """Streaming trades -> alert rows in the ``anomaly_events`` schema, via
+    the stateful processor. No watermark: late trades count. A micro-batch's
+    rows of one symbol are sorted together, so bound batch size with the
+    source's ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``."""
     t = trades.select("symbol", "trade_id", "price", "quantity", "trade_time_ms")
     out = t.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=DetectorProcessor(p),
+        statefulProcessor=DetectorProcessor(p, state_ttl_ms),
         outputStructType=ALERT_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if state_ttl_ms else "None",
     )
     return out.withColumn("detected_at", ms_to_ts("trade_time_ms")).select(*ANOMALY_COLUMNS)

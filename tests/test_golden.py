@@ -341,3 +341,18 @@ def test_backfill_is_idempotent_and_exact(spark, tmp):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
     assert got.count() > 0
     assert spark.read.parquet(f"{tmp}/ohlc_candles").where("window_size = '1min'").count() == 10
+
+
+def test_symbol_universe_publish_and_last_not_null(spark, tmp):
+    msgs = spark.createDataFrame(
+        [("BTCUSDT", 1, 1.5, 2.0, 1_700_000_000_000, "t", False), ("DOGEUSDT", 2, 3.0, 1.0, 1_700_000_000_001, "t", True),
+         ("ZZZ", 3, 3.0, 1.0, 1_700_000_000_002, "t", True)],
+        "symbol string, trade_id long, price double, quantity double, trade_time_ms long, trade_time string, "
+        "is_buyer_mm boolean",
+    )
+    kept = I.restrict_symbols(msgs, ["BTCUSDT", "DOGEUSDT"])
+    I.publish_trades(I.route_trades(kept), f"{tmp}/log")
+    back = spark.read.json(f"{tmp}/log")
+    assert {(r.key, r.partition) for r in back.collect()} == {("BTCUSDT", 0), ("DOGEUSDT", 4)}
+    ser = spark.createDataFrame([("S", 1.0, 1), ("S", None, 2), ("T", 2.0, 1)], "symbol string, v double, o long")
+    assert {r.symbol: r.v for r in SV.last_not_null(ser, "v", "o").collect()} == {"S": 1.0, "T": 2.0}
