@@ -34,10 +34,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+import logging
+
 from candlewick.operators.chunks import with_halo_copies
 from candlewick.session import cut_lineage
 
 
+log = logging.getLogger("candlewick.sequential")
+
+
 @dataclass
 class SequentialRule:
     """A left fold over a key's rows in ``(trade_time_ms, trade_id)`` order.
@@ -158,6 +163,7 @@ def run_sequential(
         bad = checked.where(~F.col("_ok"))
         if bad.limit(1).count() == 0:
             break
+        log.info("%s: round %d re-folds chunks whose assumed incoming state was wrong", rule.name, rnd + 1)
         rnd += 1
         # re-fold only the wrong chunks, from their true incoming state
         starts = bad.select(key, "chunk", *[F.col("exp_" + n).alias("in_" + n) for n in names])
