@@ -16,10 +16,12 @@ REQUIRED = ("s", "t", "p", "q", "T", "m")
 TRADE_MESSAGE_COLUMNS = ["symbol", "trade_id", "price", "quantity", "trade_time_ms", "trade_time", "is_buyer_mm"]
 
 
-def classify_raw(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def classify_raw(raw: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
     """Parse every raw exchange message; adds the trade message columns and
     ``reason`` (NULL for a good trade, else not_json / not_trade /
-    missing_field / null_field / bad_number).
+    missing_field / null_field / bad_number, and with ``strict`` also
+    not_positive for NaN, infinite, zero or negative price / quantity,
+    which Python's ``float()`` would accept).
 
     Each message is parsed once into ``map<string,string>`` (map keys stay
     case-sensitive, so ``t`` and ``T`` are distinct), the envelope's
@@ -56,6 +58,12 @@ def classify_raw(raw: DataFrame, value_col: str = "value") -> DataFrame:
         .when(nulls, F.lit("null_field"))
         .when(bad_num, F.lit("bad_number"))
     )
+    if strict:
+        # Spark orders NaN above +inf, so "c < inf" also rejects NaN
+        finite_pos = lambda c: (c > 0) & (c < F.lit(float("inf")))
+        reason = F.when(reason.isNull() & ~(finite_pos(price) & finite_pos(qty)), F.lit("not_positive")).otherwise(
+            reason
+        )
     return f.select(
         value_col,
         val["s"].alias("symbol"),
@@ -69,14 +77,14 @@ def classify_raw(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def normalize_trades(raw: DataFrame) -> DataFrame:
+def normalize_trades(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Good exchange trades as trade messages (``TRADE_MESSAGE_COLUMNS``)."""
-    return classify_raw(raw).where(F.col("reason").isNull()).select(*TRADE_MESSAGE_COLUMNS)
+    return classify_raw(raw, strict=strict).where(F.col("reason").isNull()).select(*TRADE_MESSAGE_COLUMNS)
 
 
-def rejected_trades(raw: DataFrame) -> DataFrame:
+def rejected_trades(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Quarantine: raw text plus the reason it was not a usable trade."""
-    return classify_raw(raw).where(F.col("reason").isNotNull()).select("value", "reason")
+    return classify_raw(raw, strict=strict).where(F.col("reason").isNotNull()).select("value", "reason")
 
 
 def serialize_trades(messages: DataFrame) -> DataFrame:

@@ -356,3 +356,14 @@ def test_symbol_universe_publish_and_last_not_null(spark, tmp):
     assert {(r.key, r.partition) for r in back.collect()} == {("BTCUSDT", 0), ("DOGEUSDT", 4)}
     ser = spark.createDataFrame([("S", 1.0, 1), ("S", None, 2), ("T", 2.0, 1)], "symbol string, v double, o long")
     assert {r.symbol: r.v for r in SV.last_not_null(ser, "v", "o").collect()} == {"S": 1.0, "T": 2.0}
+
+
+def test_strict_ingest_rejects_non_positive_and_non_finite(spark):
+    def msg(p, q):
+        return '{"e":"trade","s":"X","t":1,"p":"%s","q":"%s","T":1700000000000,"m":false}' % (p, q)
+
+    rows = [msg("1.5", "2"), msg("NaN", "1"), msg("1", "Infinity"), msg("0", "1"), msg("-2", "1")]
+    raw = spark.createDataFrame([(m,) for m in rows], "value string")
+    assert I.normalize_trades(raw).count() == 5  # Python float() accepts them all
+    assert I.normalize_trades(raw, strict=True).count() == 1
+    assert {r.reason for r in I.rejected_trades(raw, strict=True).collect()} == {"not_positive"}
