@@ -56,12 +56,24 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     wk = Window.partitionBy(key).orderBy("_grain")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     g = grains.withColumn("chunk", F.floor(before / chunk_size(grains, p)).cast("bigint"))
-    firsts = g.groupBy(key, "chunk").agg((F.min("_grain") * F.lit(p.grain_ms)).alias("chunk_start_ms"))
-    wc = Window.partitionBy(key).orderBy("chunk")
-    firsts = firsts.withColumn("next_chunk", F.lead("chunk").over(wc)).withColumn(
-        "next_chunk_start_ms", F.lead("chunk_start_ms").over(wc)
+    # one more pass with the same window spec (no new shuffle): where chunks
+    # start, the start of this grain's chunk, and the next chunk
+    start = F.coalesce(F.lag("chunk").over(wk) != F.col("chunk"), F.lit(True))
+    g = g.withColumn("_start", F.when(start, F.col("_grain")))
+    g = g.select(
+        key,
+        "_grain",
+        "chunk",
+        (F.max("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0)) * F.lit(p.grain_ms)).alias(
+            "chunk_start_ms"
+        ),
+        F.min(F.when(F.col("_start").isNotNull(), F.col("chunk"))).over(wk.rowsBetween(1, Window.unboundedFollowing))
+        .alias("next_chunk"),
+        (F.min("_start").over(wk.rowsBetween(1, Window.unboundedFollowing)) * F.lit(p.grain_ms)).alias(
+            "next_chunk_start_ms"
+        ),
     )
-    return g.select(key, "_grain", "chunk").join(firsts, [key, "chunk"])
+    return g
 
 
 def assign_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
