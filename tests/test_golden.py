@@ -367,3 +367,19 @@ def test_strict_ingest_rejects_non_positive_and_non_finite(spark):
     assert I.normalize_trades(raw).count() == 5  # Python float() accepts them all
     assert I.normalize_trades(raw, strict=True).count() == 1
     assert {r.reason for r in I.rejected_trades(raw, strict=True).collect()} == {"not_positive"}
+
+
+def test_adaptive_chunk_size_splits_a_hot_symbol(spark):
+    from candlewick.operators.chunks import plan_chunks
+
+    rows = [("HOT", i, 100.0, 1.0, T0 + i * 50) for i in range(6000)] + [("COLD", 10_000 + i, 1.0, 1.0, T0 + i) for i in range(10)]
+    t = trades(spark, rows)
+    plan = plan_chunks(t, Params(min_chunk_rows=500))
+    n = {r.symbol: r.n for r in plan.groupBy("symbol").agg(F.countDistinct("chunk").alias("n")).collect()}
+    assert n["COLD"] == 1 and n["HOT"] >= 4  # 6000 rows / max(500, 6010 / (2 x 8 cores))
+    # chunk starts are grain-aligned, increasing, and chain to the next chunk
+    ch = plan.where("symbol = 'HOT'").select("chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms").distinct()
+    ch = sorted(ch.collect())
+    for a, b in zip(ch, ch[1:]):
+        assert a.next_chunk == b.chunk and a.next_chunk_start_ms == b.chunk_start_ms > a.chunk_start_ms
+    assert ch[-1].next_chunk is None

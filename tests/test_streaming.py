@@ -1,6 +1,7 @@
 """Stream/batch parity, idempotent sinks and late-data handling."""
 
 import os
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -75,8 +76,19 @@ def test_candle_stream_matches_batch_and_replay_is_idempotent(spark, tmp):
         fh.write('{"symbol":"ZZZ","trade_id":1,"price":1.0,"quantity":1.0,"trade_time_ms":%d}\n' % last)
     _stamp(f"{feed}/part-999.json", 999)
     trades = Q.parse_trades(Q.read_text_values(spark, feed, max_files_per_trigger=1))
+    listener = Q.ThroughputListener()
+    spark.streams.addListener(listener)
     q = Q.start_candle_query(trades, f"{tmp}/candles", f"{tmp}/ticker", f"{tmp}/ck", trigger={"availableNow": True})
     q.awaitTermination()
+    # each candle size is its own stateful aggregation over the source, so
+    # the listener sees every input row once per size
+    want_rows = (len(pdf) + 1) * 2
+    for _ in range(50):  # listener events arrive asynchronously
+        if sum(p["rows"] for p in listener.progress) >= want_rows:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert sum(p["rows"] for p in listener.progress) == want_rows and not listener.terminated
     sink = Q.BatchParquetSink(f"{tmp}/candles")
     got = sink.read(spark).where("symbol <> 'ZZZ'")
     want = C.candles(Q.parse_trades(spark.read.schema("value string").text(feed)).where("symbol <> 'ZZZ'"))
