@@ -51,6 +51,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a shared folder before running sequential detectors")
 
 
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every intermediate written by ``cut_lineage`` so far (call once
+    the results that read them have been consumed). Uses the Hadoop
+    FileSystem of each path, so it works on any shared store."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            n += 1
+    return n
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as parquet under the shared checkpoint folder and
     read it back: one computation (a reliable ``checkpoint()`` of an
@@ -59,4 +76,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/candlewick/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _SCRATCH.append(path)
     return df.sparkSession.read.parquet(path)

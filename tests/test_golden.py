@@ -383,3 +383,15 @@ def test_adaptive_chunk_size_splits_a_hot_symbol(spark):
     for a, b in zip(ch, ch[1:]):
         assert a.next_chunk == b.chunk and a.next_chunk_start_ms == b.chunk_start_ms > a.chunk_start_ms
     assert ch[-1].next_chunk is None
+
+
+def test_release_scratch_deletes_intermediates(spark, tmp):
+    import os
+
+    from candlewick.session import _SCRATCH, cut_lineage, release_scratch
+
+    release_scratch(spark)
+    df = cut_lineage(spark.range(10), "t")
+    path = _SCRATCH[-1].replace("file:", "")
+    assert df.count() == 10 and os.path.exists(path)
+    assert release_scratch(spark) == 1 and not os.path.exists(path)
