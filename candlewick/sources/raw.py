@@ -43,7 +43,7 @@ def _trade_fields(events: DataFrame) -> DataFrame:
     )
 
 
-def _data(e: Column, p: Column | None, with_t: bool = True) -> Column:
+def _data(p: Column | None, with_t: bool = True) -> Column:
     fields = [
         F.lit("trade").alias("e"),
         F.col("s").alias("s"),
@@ -64,15 +64,16 @@ def _wrap(data: Column) -> Column:
 def raw_messages(events: DataFrame) -> DataFrame:
     """``value STRING`` exchange messages (good ones plus malformed extras)."""
     f = _trade_fields(events)
-    good_data = _data(F.lit("trade"), None)
-    good = f.select(F.when(F.col("event_type") == "view", good_data).otherwise(_wrap(good_data)).alias("value"))
+    good_data = _data(None)
+    good_value = F.when(F.col("event_type") == "view", good_data).otherwise(_wrap(good_data))
     et = F.col("event_type")
     bad_value = (
         F.when(et == "click", F.substring(_wrap(good_data), 1, 40))
-        .when(et == "signup", _wrap(_data(F.lit("trade"), F.lit("n/a"))))
-        .when(et == "purchase", _wrap(_data(F.lit("trade"), None, with_t=False)))
+        .when(et == "signup", _wrap(_data(F.lit("n/a"))))
+        .when(et == "purchase", _wrap(_data(None, with_t=False)))
         .when(et == "view", F.concat(F.lit('{"result":null,"id":'), F.col("event_id").cast("string"), F.lit("}")))
-        .otherwise(_wrap(_data(F.lit("trade"), F.lit(None).cast("string"))))
+        .otherwise(_wrap(_data(F.lit(None).cast("string"))))
     )
-    bad = f.where(F.col("value") < BAD_VALUE_BELOW).select(bad_value.alias("value"))
-    return good.unionByName(bad)
+    # one scan: each event yields its message, plus a malformed one when value < 2
+    msgs = F.when(F.col("value") < BAD_VALUE_BELOW, F.array(good_value, bad_value)).otherwise(F.array(good_value))
+    return f.select(F.explode(msgs).alias("value"))
