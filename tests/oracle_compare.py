@@ -11,6 +11,10 @@ import time
 
 import duckdb
 
+import os
+
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -26,7 +30,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ")
     return v
