@@ -179,9 +179,21 @@ class TickerUpsertSink:
     (version before ``b``) and the batch's candles. One row per symbol, so
     the merge is small; replaying ``b`` rewrites version ``b`` identically."""
 
-    def __init__(self, path: str, source_sizes: Sequence[str] = ("1min",)):
+    def __init__(self, path: str, source_sizes: Sequence[str] = ("1min",), keep_versions: int = 5):
         self.path = path.rstrip("/")
         self.source_sizes = tuple(source_sizes)
+        self.keep_versions = keep_versions
+
+    def _prune(self, spark: SparkSession, batch_id: int) -> None:
+        """Drop versions older than the last ``keep_versions`` (a replayed
+        batch only needs the version just before it)."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("version=") and int(name.split("=", 1)[1]) < batch_id - self.keep_versions:
+                fs.delete(st.getPath(), True)
 
     def _versions(self, spark: SparkSession) -> DataFrame | None:
         try:
@@ -201,6 +213,7 @@ class TickerUpsertSink:
             F.max_by(F.struct("price", "price_change_pct", "volume_1min", "updated_at"), F.struct("updated_at", "_rank")).alias("t")
         ).select("symbol", "t.*")
         latest.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+        self._prune(spark, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         allv = spark.read.parquet(self.path)

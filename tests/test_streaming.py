@@ -187,3 +187,23 @@ def test_alert_stream_resumes_from_checkpoint(spark, tmp):
     want = D.anomaly_events(Q.parse_trades(spark.read.schema("value string").text(full)))
     want = want.toPandas().sort_values(ALERT_KEY).reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want, check_dtype=False)
+
+
+def test_ticker_upsert_keeps_latest_and_prunes_versions(spark, tmp):
+    import datetime as dt
+
+    sink = Q.TickerUpsertSink(f"{tmp}/ticker", keep_versions=2)
+    schema = ("symbol string, window_start timestamp_ntz, window_end timestamp_ntz, window_size string, "
+              "open_price double, high_price double, low_price double, close_price double, trade_volume double, "
+              "trade_count int")
+    t0 = dt.datetime(2024, 1, 1)
+    for b in range(6):
+        end = t0 + dt.timedelta(minutes=b + 1)
+        rows = [("A", end - dt.timedelta(minutes=1), end, "1min", 1.0, 2.0, 1.0, float(b), 3.0, 1)]
+        if b == 0:
+            rows.append(("B", t0, t0 + dt.timedelta(minutes=1), "1min", 5.0, 5.0, 5.0, 5.0, 1.0, 1))
+        sink(spark.createDataFrame(rows, schema), b)
+    got = {r.symbol: r.price for r in sink.read(spark).collect()}
+    assert got == {"A": 5.0, "B": 5.0}  # B untouched since batch 0 survives the upserts
+    versions = sorted(n for n in os.listdir(f"{tmp}/ticker") if n.startswith("version="))
+    assert versions == ["version=3", "version=4", "version=5"]
