@@ -49,49 +49,78 @@ def chunk_size(grains: DataFrame, p: Params = DEFAULT) -> Column:
 
 
 def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
-    """Small table ``(key, _grain, chunk, chunk_start_ms, next_chunk, next_chunk_start_ms)``.
-
-    Size is symbols x non-empty grains (independent of row count); the
-    running sum over it is a window on that small table only.
+    """Unit table ``(key, _grain, _ms, chunk, chunk_start_ms, next_chunk,
+    next_chunk_start_ms, _spec_halo_ms)``.
+
+    A unit is a whole time grain, or — inside a grain holding more rows than
+    one chunk — a single millisecond (``_ms`` set). Units are numbered into
+    consecutive chunks of ~``chunk_size`` rows with a running sum over the
+    unit table, whose size is symbols x grains plus the milliseconds of hot
+    grains (independent of the row count otherwise). Only one millisecond of
+    one symbol is never split.
     """
-    grains = trades.groupBy(key, F.floor(F.col(ts) / F.lit(p.grain_ms)).alias("_grain")).agg(
-        F.count(F.lit(1)).alias("_cnt")
+    grain = F.floor(F.col(ts) / F.lit(p.grain_ms))
+    grains = trades.groupBy(key, grain.alias("_grain")).agg(F.count(F.lit(1)).alias("_cnt"))
+    size = chunk_size(grains, p)
+    hot = grains.where(F.col("_cnt") > size).select(key, "_grain")
+    fine = (
+        trades.select(key, ts, grain.alias("_grain"))
+        .join(hot, [key, "_grain"], "left_semi")
+        .groupBy(key, "_grain", F.col(ts).alias("_ms"))
+        .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    wk = Window.partitionBy(key).orderBy("_grain")
+    coarse = grains.join(hot, [key, "_grain"], "left_anti").withColumn("_ms", F.lit(None).cast("bigint"))
+    units = coarse.unionByName(fine).withColumn("_lo", F.coalesce("_ms", F.col("_grain") * F.lit(p.grain_ms)))
+    units = units.withColumn("_hi", F.col("_lo") + F.when(F.col("_ms").isNull(), F.lit(p.grain_ms)).otherwise(1))
+    wk = Window.partitionBy(key).orderBy("_lo")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    g = grains.withColumn("chunk", F.floor(before / chunk_size(grains, p)).cast("bigint"))
-    # one more pass with the same window spec (no new shuffle): where chunks
-    # start, the start of this grain's chunk, and the next chunk
-    start = F.coalesce(F.lag("chunk").over(wk) != F.col("chunk"), F.lit(True))
-    g = g.withColumn("_start", F.when(start, F.col("_grain")))
-    g = g.select(
+    u = units.withColumn("chunk", F.floor(before / size).cast("bigint"))
+    # same window spec (no new shuffle): where chunks start, the start of this
+    # unit's chunk, and the next chunk
+    starts = F.coalesce(F.lag("chunk").over(wk) != F.col("chunk"), F.lit(True))
+    u = u.withColumn("_start", F.when(starts, F.col("_lo")))
+    u = u.select(
         key,
         "_grain",
+        "_ms",
+        "_cnt",
+        "_hi",
         "chunk",
-        (F.max("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0)) * F.lit(p.grain_ms)).alias(
-            "chunk_start_ms"
-        ),
+        F.max("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0)).alias("chunk_start_ms"),
         F.min(F.when(F.col("_start").isNotNull(), F.col("chunk"))).over(wk.rowsBetween(1, Window.unboundedFollowing))
         .alias("next_chunk"),
-        (F.min("_start").over(wk.rowsBetween(1, Window.unboundedFollowing)) * F.lit(p.grain_ms)).alias(
-            "next_chunk_start_ms"
-        ),
+        F.min("_start").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("next_chunk_start_ms"),
     )
-    return g
+    # speculative look-back for sequential folds: seq_halo_ms, but no more
+    # than about seq_halo_rows rows at this chunk's density
+    wc = Window.partitionBy(key, "chunk")
+    span = F.max("_hi").over(wc) - F.col("chunk_start_ms")
+    rows = F.sum("_cnt").over(wc)
+    halo = F.least(F.lit(p.seq_halo_ms), F.greatest(F.lit(1), F.floor(span * F.lit(p.seq_halo_rows) / rows)))
+    return u.withColumn("_spec_halo_ms", halo.cast("bigint")).drop("_cnt", "_hi")
+
+
+CHUNK_COLUMNS = ["chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms", "_spec_halo_ms"]
 
 
 def assign_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
-    """Trades plus ``chunk``, ``chunk_start_ms``, ``next_chunk``, ``next_chunk_start_ms``.
+    """Trades plus ``CHUNK_COLUMNS``.
 
-    The plan is small; AQE turns this join into a broadcast at run time when
-    its measured size is under the broadcast threshold, and keeps a shuffle
-    join otherwise.
+    The plan is small and materialised once (exact statistics), so AQE
+    turns both lookups into broadcast joins when it measures them under the
+    broadcast threshold, and keeps shuffle joins otherwise. Rows of normal
+    grains match by grain; rows of hot grains by millisecond.
     """
-    # the plan is small; materialising it once gives AQE exact statistics
-    # (so the join below is a broadcast) and saves re-aggregating per consumer
     plan = cut_lineage(plan_chunks(trades, p, key, ts), "chunk-plan")
-    with_grain = trades.withColumn("_grain", F.floor(F.col(ts) / F.lit(p.grain_ms)))
-    return with_grain.join(plan, [key, "_grain"]).drop("_grain")
+    by_grain = plan.where(F.col("_ms").isNull()).drop("_ms")
+    by_ms = plan.where(F.col("_ms").isNotNull()).select(
+        key, F.col("_ms").alias(ts), *[F.col(c).alias("_m" + c) for c in CHUNK_COLUMNS]
+    )
+    t = trades.withColumn("_grain", F.floor(F.col(ts) / F.lit(p.grain_ms)))
+    t = t.join(by_grain, [key, "_grain"], "left").join(by_ms, [key, ts], "left")
+    return t.select(
+        *trades.columns, *[F.coalesce(F.col(c), F.col("_m" + c)).alias(c) for c in CHUNK_COLUMNS]
+    )
 
 
 def with_halo_copies(df: DataFrame, is_halo: Column, chunk: str = "chunk") -> DataFrame:
@@ -183,16 +212,33 @@ def recent_count(
     """Trades of the same key with ``ts >= ts_i - window_ms`` that come at or
     before row i in ``order`` (row i included).
 
-    A RANGE frame alone would also count later rows with the same ms, so the
-    count is ``row_number - rows with ts <= ts_i - window_ms - 1``. Rows of
-    the last ``window_ms`` before the next chunk start are copied into that
-    chunk as halo (chunks span at least one grain >= ``window_ms``).
+    Inside a chunk: ``running count - rows with ts <= ts_i - window_ms - 1``
+    (a RANGE frame alone would also count later rows with the same ms).
+    Earlier chunks contribute through *per-millisecond counts* of their last
+    ``window_ms``: each later chunk starting within ``window_ms`` receives
+    them, at most ``window_ms`` rows per chunk whatever the trade density
+    (copying raw trades would not be bounded in a dense burst). A
+    millisecond never straddles two chunks, so nothing is counted twice.
     """
+    w = F.lit(window_ms)
     base_cols = df.columns
-    both = with_halo_copies(df, F.col(ts) >= F.col("next_chunk_start_ms") - F.lit(window_ms), chunk)
-    rows_w = Window.partitionBy(key, chunk).orderBy(*order)
-    old_w = Window.partitionBy(key, chunk).orderBy(ts).rangeBetween(Window.unboundedPreceding, -(window_ms + 1))
-    counted = both.withColumn(
-        out, (F.row_number().over(rows_w) - F.coalesce(F.count(F.lit(1)).over(old_w), F.lit(0))).cast("bigint")
+    tail = df.where(F.col("next_chunk").isNotNull() & (F.col(ts) >= F.col("next_chunk_start_ms") - w))
+    per_ms = tail.groupBy(key, F.col(ts).alias("_hts")).agg(F.count(F.lit(1)).alias("_hcnt"))
+    # later chunks starting in (ms, ms + window]: equi-join on window-sized buckets
+    bucket = F.floor(F.col("_hts") / w)
+    per_ms = per_ms.select("*", F.explode(F.array(bucket, bucket + 1)).alias("_b"))
+    starts = df.select(key, chunk, "chunk_start_ms").distinct()
+    starts = starts.withColumn("_b", F.floor(F.col("chunk_start_ms") / w))
+    halo = per_ms.join(starts, [key, "_b"]).where(
+        (F.col("chunk_start_ms") > F.col("_hts")) & (F.col("chunk_start_ms") <= F.col("_hts") + w)
     )
-    return counted.where(~F.col("_halo")).select(*base_cols, out)
+    halo = halo.select(key, chunk, F.col("_hts").alias(ts), "_hcnt", F.lit(0).alias("_own"))
+    own = df.select("*", F.lit(0).cast("bigint").alias("_hcnt"), F.lit(1).alias("_own"))
+    both = own.unionByName(halo, allowMissingColumns=True)
+    rows_w = Window.partitionBy(key, chunk).orderBy(*order)
+    range_w = Window.partitionBy(key, chunk).orderBy(ts)
+    running = F.sum("_own").over(rows_w.rowsBetween(Window.unboundedPreceding, 0))
+    older = F.coalesce(F.sum("_own").over(range_w.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))), F.lit(0))
+    carried = F.coalesce(F.sum("_hcnt").over(range_w.rangeBetween(-window_ms, 0)), F.lit(0))
+    counted = both.withColumn(out, (running - older + carried).cast("bigint"))
+    return counted.where(F.col("_own") == 1).select(*base_cols, out)

@@ -131,8 +131,12 @@ def run_sequential(
     ``key``), exactly as one sequential pass per key would."""
     schema = _schema(rule, key)
     cols = list(dict.fromkeys([key, "chunk", "trade_time_ms", "trade_id", *rule.input_cols]))
-    base = rows.select(*cols, "next_chunk", "next_chunk_start_ms")
-    both = with_halo_copies(base, F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.lit(halo_ms)).select(
+    # look back halo_ms, or less where the plan says that would be too many rows
+    look_back = F.lit(halo_ms)
+    if "_spec_halo_ms" in rows.columns:
+        look_back = F.least(look_back, F.col("_spec_halo_ms"))
+    base = rows.select(*cols, "next_chunk", "next_chunk_start_ms", look_back.alias("_look_back"))
+    both = with_halo_copies(base, F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.col("_look_back")).select(
         *cols, "_halo"
     )
     spec = cut_lineage(

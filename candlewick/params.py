@@ -55,6 +55,7 @@ class Params:
     # speculative look-back for the sequential detectors (ms of the
     # previous chunk replayed before a chunk's own rows)
     seq_halo_ms: int = 600_000
+    seq_halo_rows: int = 50_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 

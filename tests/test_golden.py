@@ -395,3 +395,19 @@ def test_release_scratch_deletes_intermediates(spark, tmp):
     path = _SCRATCH[-1].replace("file:", "")
     assert df.count() == 10 and os.path.exists(path)
     assert release_scratch(spark) == 1 and not os.path.exists(path)
+
+
+def test_burst_inside_one_grain_is_split_exactly(spark):
+    from candlewick.operators.chunks import plan_chunks
+    from seqloop import run
+
+    # one symbol: a quiet hour, then 3000 trades within one minute (many in the same ms)
+    rows = [("B", i + 1, 100.0 + (i % 7) / 10, 1.0, T0 + i * 60_000) for i in range(60)]
+    rows += [("B", 1000 + i, 100.0 + ((i * 13) % 17) / 10, float(1 + i % 9), T0 + 3_600_000 + (i * 7) // 3) for i in range(3000)]
+    t = trades(spark, rows)
+    p = Params(chunk_rows=400)
+    plan = plan_chunks(t, p)
+    assert plan.where("_ms is not null").count() > 0  # the burst minute is split by millisecond
+    assert plan.select("chunk").distinct().count() >= 7
+    got = {(r.symbol, r.pattern_type, r.trade_id) for r in D.anomaly_events(t, p).collect()}
+    assert got == run(rows) and len(got) > 0

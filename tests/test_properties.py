@@ -26,10 +26,12 @@ def sequences(draw):
         rows.append((s, i + 1, price[s], float(qtys[i]), ms))
     chunk_rows = draw(st.sampled_from([3, 11, 50, 2_000_000]))
     halo = draw(st.sampled_from([0, 30_000, 600_000]))
-    return rows, Params(chunk_rows=chunk_rows, seq_halo_ms=halo)
+    # hour-long grains make every grain "hot", so chunks split at milliseconds
+    grain = draw(st.sampled_from([1_000, 60_000, 3_600_000]))
+    return rows, Params(chunk_rows=chunk_rows, seq_halo_ms=halo, grain_ms=grain, seq_halo_rows=draw(st.sampled_from([5, 50_000])))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(sequences())
 def test_batch_detectors_equal_sequential_loop(spark, case):
     rows, p = case
