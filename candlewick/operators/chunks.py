@@ -6,19 +6,18 @@ symbol becomes one task, and a symbol holding a third of all rows would be
 sorted and scanned by a single core. Instead:
 
 * ``plan_chunks`` counts rows per (symbol, time grain) — a partial
-  aggregation whose output is tiny (symbols x grains) — and cuts each
-  symbol's grains into consecutive chunks of about ``chunk_size`` rows
-  (adaptive to data size and cluster parallelism, see ``chunk_size``).
-  Chunks are time ranges, so time order across chunks is chunk order. A
-  chunk holds whole grains: one 60 s grain is the smallest unit.
+  aggregation whose output is tiny (symbols x grains) — re-counts hot
+  grains per millisecond, and cuts each symbol's units into consecutive
+  chunks of about ``chunk_size`` rows (adaptive to data size and cluster
+  parallelism). Chunks are time ranges, so time order across chunks is
+  chunk order; one millisecond of one symbol is the smallest unit.
 * ``rolling_rows`` evaluates a ROWS frame of ``frame`` rows exactly: every
   row deeper than ``frame-1`` into its chunk is computed inside the chunk;
   the first ``frame-1`` rows of each chunk are recomputed on a small side
   relation holding only chunk heads plus the tails of earlier chunks
   (at most ``2*(frame-1)`` rows per chunk).
-* ``recent_count`` counts trades of the last ``window_ms`` "seen so far"
-  with a time halo copied from the previous chunk (generated in the same
-  scan).
+* ``recent_count`` counts trades of the last ``window_ms`` "seen so far";
+  earlier chunks contribute per-millisecond counts (a bounded halo).
 
 Everything is DataFrame/Window code; the only shuffle of full data is the
 one keyed by ``(symbol, chunk)``; windows keyed by symbol alone run over the
