@@ -222,12 +222,18 @@ def recent_count(
     w = F.lit(window_ms)
     base_cols = df.columns
     tail = df.where(F.col("next_chunk").isNotNull() & (F.col(ts) >= F.col("next_chunk_start_ms") - w))
-    per_ms = tail.groupBy(key, F.col(ts).alias("_hts")).agg(F.count(F.lit(1)).alias("_hcnt"))
+    # a millisecond lies in one chunk, so it has one next chunk
+    per_ms = tail.groupBy(key, F.col(ts).alias("_hts"), "next_chunk", "next_chunk_start_ms").agg(
+        F.count(F.lit(1)).alias("_hcnt")
+    )
+    # Every chunk that can receive counts is the next chunk of some tail row
+    # (the last rows before it are within its window), so the chunk starts
+    # come from the small aggregated tail, not from a pass over all rows.
+    starts = per_ms.select(key, F.col("next_chunk").alias(chunk), F.col("next_chunk_start_ms").alias("chunk_start_ms"))
+    starts = starts.distinct().withColumn("_b", F.floor(F.col("chunk_start_ms") / w))
     # later chunks starting in (ms, ms + window]: equi-join on window-sized buckets
     bucket = F.floor(F.col("_hts") / w)
-    per_ms = per_ms.select("*", F.explode(F.array(bucket, bucket + 1)).alias("_b"))
-    starts = df.select(key, chunk, "chunk_start_ms").distinct()
-    starts = starts.withColumn("_b", F.floor(F.col("chunk_start_ms") / w))
+    per_ms = per_ms.select(key, "_hts", "_hcnt", F.explode(F.array(bucket, bucket + 1)).alias("_b"))
     halo = per_ms.join(starts, [key, "_b"]).where(
         (F.col("chunk_start_ms") > F.col("_hts")) & (F.col("chunk_start_ms") <= F.col("_hts") + w)
     )
