@@ -59,17 +59,21 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     one symbol is never split.
     """
     grain = F.floor(F.col(ts) / F.lit(p.grain_ms))
-    grains = trades.groupBy(key, grain.alias("_grain")).agg(F.count(F.lit(1)).alias("_cnt"))
+    # the grain table is small; materialised so the checks below are cheap
+    grains = cut_lineage(trades.groupBy(key, grain.alias("_grain")).agg(F.count(F.lit(1)).alias("_cnt")), "grains")
     size = chunk_size(grains, p)
     hot = grains.where(F.col("_cnt") > size).select(key, "_grain")
-    fine = (
-        trades.select(key, ts, grain.alias("_grain"))
-        .join(hot, [key, "_grain"], "left_semi")
-        .groupBy(key, "_grain", F.col(ts).alias("_ms"))
-        .agg(F.count(F.lit(1)).alias("_cnt"))
-    )
-    coarse = grains.join(hot, [key, "_grain"], "left_anti").withColumn("_ms", F.lit(None).cast("bigint"))
-    units = coarse.unionByName(fine).withColumn("_lo", F.coalesce("_ms", F.col("_grain") * F.lit(p.grain_ms)))
+    units = grains.withColumn("_ms", F.lit(None).cast("bigint"))
+    if not hot.isEmpty():
+        # re-count only the hot grains per millisecond
+        fine = (
+            trades.select(key, ts, grain.alias("_grain"))
+            .join(hot, [key, "_grain"], "left_semi")
+            .groupBy(key, "_grain", F.col(ts).alias("_ms"))
+            .agg(F.count(F.lit(1)).alias("_cnt"))
+        )
+        units = units.join(hot, [key, "_grain"], "left_anti").unionByName(fine)
+    units = units.withColumn("_lo", F.coalesce("_ms", F.col("_grain") * F.lit(p.grain_ms)))
     units = units.withColumn("_hi", F.col("_lo") + F.when(F.col("_ms").isNull(), F.lit(p.grain_ms)).otherwise(1))
     wk = Window.partitionBy(key).orderBy("_lo")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
