@@ -37,7 +37,7 @@ from pyspark.sql.types import StructField, StructType
 import logging
 
 from candlewick.operators.chunks import with_halo_copies
-from candlewick.session import cut_lineage
+from candlewick.session import cut_lineage, ship_package
 
 
 log = logging.getLogger("candlewick.sequential")
@@ -129,6 +129,7 @@ def run_sequential(
     """Fold ``rule`` over ``rows`` (which carry ``chunk``, ``next_chunk`` and
     ``next_chunk_start_ms``) and return the emitted rows (``out_fields`` plus
     ``key``), exactly as one sequential pass per key would."""
+    ship_package(rows.sparkSession)
     schema = _schema(rule, key)
     cols = list(dict.fromkeys([key, "chunk", "trade_time_ms", "trade_id", *rule.input_cols]))
     # look back halo_ms, or less where the plan says that would be too many rows

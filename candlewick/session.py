@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,36 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candlewick`` importable in the Python workers (applyInPandas,
+    transformWithStateInPandas): zip the package once per application and
+    ``addPyFile`` it, as ``--py-files`` would. Workers do not see the
+    driver's ``sys.path``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="candlewick-pyfiles-"), "candlewick.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    # the driver-side worker of transformWithState gets no py-files, only
+    # the functions' environment: put the package root on its PYTHONPATH
+    root = os.path.dirname(pkg)
+    current = sc.environment.get("PYTHONPATH", "")
+    if root not in current.split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, current) if x)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint`` has a directory.
 

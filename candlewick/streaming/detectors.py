@@ -24,6 +24,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from candlewick.functions.exprs import ms_to_ts
 from candlewick.operators.detect import ANOMALY_COLUMNS, WATCHING, pump_rule
 from candlewick.params import DEFAULT, Params
+from candlewick.session import ship_package
 
 ALERT_SCHEMA = (
     "symbol string, trade_id long, trade_time_ms long, pattern_type string, severity string, "
@@ -141,11 +142,23 @@ class DetectorProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def require_rocksdb(spark) -> None:
+    """transformWithState runs only on the RocksDB state store; select it for
+    queries started from now on (a query keeps the provider of its checkpoint)."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def stream_alerts(trades: DataFrame, p: Params = DEFAULT, state_ttl_ms: int | None = None) -> DataFrame:
     """Streaming trades -> alert rows in the ``anomaly_events`` schema, via
     the stateful processor. No watermark: late trades count. A micro-batch's
     rows of one symbol are sorted together, so bound batch size with the
     source's ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``."""
+    require_rocksdb(trades.sparkSession)
+    ship_package(trades.sparkSession)
     t = trades.select("symbol", "trade_id", "price", "quantity", "trade_time_ms")
     out = t.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=DetectorProcessor(p, state_ttl_ms),

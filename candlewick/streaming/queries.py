@@ -20,8 +20,6 @@ from candlewick.operators.ingest import normalize_trades, parse_trades
 from candlewick.params import DEFAULT, Params
 from candlewick.streaming.detectors import stream_alerts
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 # ------------------------------------------------------------------ sources
 # Fixed log settings: topic raw-trades, 6 partitions, 2 h retention; producer
 # acks=1, linger.ms=20, batch.size=65536, compression lz4, retries 5,
