@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,3 +88,30 @@ def order_key(ts: Column | str, tie: Column | str) -> Column:
     tie = F.col(tie) if isinstance(tie, str) else tie
     d = "decimal(38,0)"
     return ts.cast(d) * F.lit(Decimal(2**64)).cast(d) + (tie.cast(d) + F.lit(Decimal(2**63)).cast(d))
+
+
+_FIELD = re.compile(r"\{(\w+)(?::([<>])?(\d+)?(,)?(?:\.(\d+)f)?)?\}")
+
+
+def render(template: str, **cols: Column | str) -> Column:
+    """A Python format string (``{name}``, ``{name:.2f}``, ``{name:>12,.2f}``,
+    ``{name:<10}``) as one string column, formatted exactly as Python would."""
+    parts: list[Column] = []
+    pos = 0
+    for m in _FIELD.finditer(template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos : m.start()]))
+        name, align, width, comma, prec = m.groups()
+        c = cols[name]
+        c = F.col(c) if isinstance(c, str) else c
+        if prec is not None:
+            c = py_grouped(c, int(prec)) if comma else py_fixed(c, int(prec))
+        else:
+            c = c.cast("string")
+        if width:
+            c = py_align(c, int(width), left=align == "<")
+        parts.append(c)
+        pos = m.end()
+    if pos < len(template):
+        parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.functions.exprs import guarded_div, ms_to_ts, py_fixed, severity
+from candlewick.functions.exprs import guarded_div, ms_to_ts, render, severity
 from candlewick.operators.features import all_features, spike_features, wash_features, with_chunks
 from candlewick.operators.sequential import SequentialRule, combine_rules, run_sequential
-from candlewick.params import DEFAULT, Params
+from candlewick.params import DEFAULT, PUMP_TEXT, SPIKE_TEXT, WASH_TEXT, Params
 
 ANOMALY_COLUMNS = [
     "symbol",
@@ -53,13 +53,8 @@ def wash_trades(trades: DataFrame, p: Params = DEFAULT, features: DataFrame | No
         F.col("high").alias("price_end"),
         F.col("swing_pct").alias("price_change_pct"),
         F.col("quantity_ratio").alias("volume_ratio"),
-        F.concat(
-            F.lit("Price swung "), py_fixed("swing_pct", 2),
-            F.lit("% (high="), py_fixed("high", 2),
-            F.lit(", low="), py_fixed("low", 2),
-            F.lit(") with volume "), py_fixed("quantity_ratio", 1),
-            F.lit("x average across last "), F.col("window_trades").cast("string"),
-            F.lit(" trades"),
+        render(
+            WASH_TEXT, swing="swing_pct", high="high", low="low", ratio="quantity_ratio", n="window_trades"
         ).alias("description"),
     )
 
@@ -139,12 +134,7 @@ def _spike_alerts(accepted: DataFrame, p: Params) -> DataFrame:
         F.col("price").alias("price_end"),
         F.lit(None).cast("double").alias("price_change_pct"),
         F.col("spike_ratio").alias("volume_ratio"),
-        F.concat(
-            F.col("recent_count").cast("string"),
-            F.lit(f" trades in last {p.spike_window_ms // 1000}s vs avg "), py_fixed("avg_count", 1),
-            F.lit(" ("), py_fixed("spike_ratio", 1),
-            F.lit("x normal — 10-min rolling baseline)"),
-        ).alias("description"),
+        render(SPIKE_TEXT, count="recent_count", avg="avg_count", ratio="spike_ratio").alias("description"),
     )
 
 
@@ -179,10 +169,7 @@ def pump_rule(p: Params = DEFAULT) -> SequentialRule:
             drop = (peak - price) / peak * 100 if peak > 0 else 0.0
             if rise >= rise_min and drop >= drop_min and elapsed <= timeout:
                 if emit is not None:
-                    text = (
-                        f"Pump +{rise:.2f}% to {peak:.2f}, then dump -{drop:.2f}% to {price:.2f} "
-                        f"in {elapsed / 1000:.0f}s"
-                    )
+                    text = PUMP_TEXT.format(rise=rise, peak=peak, drop=drop, price=price, seconds=elapsed / 1000)
                     emit((tid, ts, float(start_price), float(price), float(peak), rise, drop, int(elapsed), text))
                 phase = WATCHING
             elif elapsed > timeout:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import iso_utc_string, ms_to_ts, py_align, py_fixed, py_grouped
-from candlewick.params import DEFAULT, Params
+from candlewick.functions.exprs import iso_utc_string, ms_to_ts, render
+from candlewick.params import DEFAULT, PREVIEW_TEXT, Params
 
 REQUIRED = ("s", "t", "p", "q", "T", "m")
 TRADE_MESSAGE_COLUMNS = ["symbol", "trade_id", "price", "quantity", "trade_time_ms", "trade_time", "is_buyer_mm"]
@@ -158,12 +158,5 @@ def parse_trades(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
 def preview_lines(messages: DataFrame) -> DataFrame:
     """Console preview of each trade (the producer's dry-run line)."""
-    line = F.concat(
-        F.lit("[dry-run]  "),
-        py_align(F.col("symbol"), 10, left=True),
-        F.lit("  price="),
-        py_align(py_grouped("price", 2), 12, left=False),
-        F.lit("  qty="),
-        py_align(py_fixed("quantity", 6), 12, left=False),
-    )
+    line = render(PREVIEW_TEXT, symbol="symbol", price="price", qty="quantity")
     return messages.select("symbol", "trade_id", line.alias("line"))

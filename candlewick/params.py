@@ -11,6 +11,15 @@ from dataclasses import dataclass, field
 # timeout 240 000 ms; severity cut-offs wash 1.5, pump 3.0, spike 5.0.
 # Symbols and their log partitions: BTCUSDT 0, ETHUSDT 1, BNBUSDT 2,
 # SOLUSDT 3, DOGEUSDT 4, XRPUSDT 5; unknown symbols go to partition 0.
+# Fixed text formats (Python format syntax) of alert descriptions and of the
+# producer's preview line:
+WASH_TEXT = (
+    "Price swung {swing:.2f}% (high={high:.2f}, low={low:.2f}) "
+    "with volume {ratio:.1f}x average across last {n} trades"
+)
+SPIKE_TEXT = "{count} trades in last 10s vs avg {avg:.1f} ({ratio:.1f}x normal — 10-min rolling baseline)"
+PUMP_TEXT = "Pump +{rise:.2f}% to {peak:.2f}, then dump -{drop:.2f}% to {price:.2f} in {seconds:.0f}s"
+PREVIEW_TEXT = "[dry-run]  {symbol:<10}  price={price:>12,.2f}  qty={qty:>12.6f}"
 DEFAULT_SYMBOL_PARTITIONS = (
     ("BTCUSDT", 0),
     ("ETHUSDT", 1),

@@ -23,7 +23,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from candlewick.functions.exprs import ms_to_ts
 from candlewick.operators.detect import ANOMALY_COLUMNS, WATCHING, pump_rule
-from candlewick.params import DEFAULT, Params
+from candlewick.params import DEFAULT, SPIKE_TEXT, WASH_TEXT, Params
 from candlewick.session import ship_package
 
 ALERT_SCHEMA = (
@@ -78,10 +78,7 @@ class DetectorProcessor(StatefulProcessor):
             avg = _naive_mean(vols)
             ratio = qty / avg if avg > 0 else 0.0
             if swing >= p.wash_swing_pct and ratio >= p.wash_volume_mult:
-                text = (
-                    f"Price swung {swing:.2f}% (high={high:.2f}, low={low:.2f}) "
-                    f"with volume {ratio:.1f}x average across last {len(prices)} trades"
-                )
+                text = WASH_TEXT.format(swing=swing, high=high, low=low, ratio=ratio, n=len(prices))
                 sev = "HIGH" if swing > p.wash_high_swing else "MEDIUM"
                 out.append((sym, int(tid), int(ts), "WASH_TRADE", sev, low, high, swing, ratio, text))
         self.wash.put(list(zip(prices, vols)))
@@ -103,10 +100,7 @@ class DetectorProcessor(StatefulProcessor):
             ratio = n / avg if avg > 0 else 0.0
             if ratio >= p.spike_mult and ts - (last or 0) > p.spike_cooldown_ms:
                 last = ts
-                text = (
-                    f"{n} trades in last {p.spike_window_ms // 1000}s vs avg {avg:.1f} "
-                    f"({ratio:.1f}x normal — 10-min rolling baseline)"
-                )
+                text = SPIKE_TEXT.format(count=n, avg=avg, ratio=ratio)
                 sev = "HIGH" if ratio > p.spike_high_ratio else "MEDIUM"
                 out.append((sym, int(tid), int(ts), "VOLUME_SPIKE", sev, None, price, None, ratio, text))
         self.counts.put([(int(c),) for c in counts])
