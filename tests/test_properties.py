@@ -39,3 +39,24 @@ def test_batch_detectors_equal_sequential_loop(spark, case):
     df = df.withColumn("event_ts", ms_to_ts("trade_time_ms"))
     got = {(r.symbol, r.pattern_type, r.trade_id) for r in D.anomaly_events(df, p).collect()}
     assert got == run(rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False),
+            st.integers(min_value=-10**6, max_value=10**6).map(lambda k: k / 8),  # exact binary ties
+            st.integers(min_value=0, max_value=10**5).map(lambda k: k / 1000 + 100),
+        ),
+        min_size=20,
+        max_size=200,
+    )
+)
+def test_render_matches_python_format(spark, values):
+    from candlewick.functions.exprs import render
+
+    template = "a={x:.2f} b={x:.1f} c={x:.0f} d={x:>12,.2f} e={x:<14.6f}|"
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [r.t for r in df.select(render(template, x="x").alias("t")).collect()]
+    assert got == [template.format(x=float(v)) for v in values]
