@@ -87,7 +87,9 @@ def order_key(ts: Column | str, tie: Column | str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
     tie = F.col(tie) if isinstance(tie, str) else tie
     d = "decimal(38,0)"
-    return ts.cast(d) * F.lit(Decimal(2**64)).cast(d) + (tie.cast(d) + F.lit(Decimal(2**63)).cast(d))
+    # a missing tie-break sorts first, as NULLs do in Spark's ascending windows
+    tie = F.coalesce(tie.cast(d), F.lit(Decimal(-(2**63))).cast(d))
+    return ts.cast(d) * F.lit(Decimal(2**64)).cast(d) + (tie + F.lit(Decimal(2**63)).cast(d))
 
 
 _FIELD = re.compile(r"\{(\w+)(?::([<>])?(\d+)?(,)?(?:\.(\d+)f)?)?\}")

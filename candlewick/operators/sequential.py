@@ -90,7 +90,7 @@ def _fold_fn(rule: SequentialRule, key: str, speculative: bool):
         own = pdf[~pdf["_halo"]] if speculative else pdf
         if own.empty:
             return pd.DataFrame(columns=[f.name for f in _schema(rule, key).fields])
-        pdf = pdf.sort_values(["trade_time_ms", "trade_id"], kind="stable")
+        pdf = pdf.sort_values(["trade_time_ms", "trade_id"], kind="stable", na_position="first")
         k = own[key].iloc[0]
         chunk = int(own["chunk"].iloc[0])
         if speculative:

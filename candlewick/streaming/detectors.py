@@ -124,7 +124,9 @@ class DetectorProcessor(StatefulProcessor):
         self.pump_state.update((phase, sp, st, pk))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["trade_time_ms", "trade_id"], kind="stable")
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(
+            ["trade_time_ms", "trade_id"], kind="stable", na_position="first"
+        )
         sym = key[0]
         out: list[tuple] = []
         self._wash(sym, batch, out)

@@ -411,3 +411,9 @@ def test_burst_inside_one_grain_is_split_exactly(spark):
     assert plan.select("chunk").distinct().count() >= 7
     got = {(r.symbol, r.pattern_type, r.trade_id) for r in D.anomaly_events(t, p).collect()}
     assert got == run(rows) and len(got) > 0
+
+
+def test_missing_trade_id_sorts_first_in_candles(spark):
+    t = trades(spark, [("S", 5, 7.0, 1.0, T0), ("S", None, 3.0, 1.0, T0), ("S", 9, 4.0, 1.0, T0)])
+    r = C.ohlc(t).first()
+    assert (r.open_price, r.close_price, r.trade_count) == (3.0, 4.0, 3)
