@@ -207,3 +207,4 @@ def test_ticker_upsert_keeps_latest_and_prunes_versions(spark, tmp):
     assert got == {"A": 5.0, "B": 5.0}  # B untouched since batch 0 survives the upserts
     versions = sorted(n for n in os.listdir(f"{tmp}/ticker") if n.startswith("version="))
     assert versions == ["version=3", "version=4", "version=5"]
+
