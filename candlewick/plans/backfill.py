@@ -36,7 +36,9 @@ def backfill(
     p: Params = DEFAULT,
     lookback_ms: int | None = None,
 ) -> None:
-    """Recompute candles and alerts for ``[start_ms, end_ms)``.
+    """Recompute candles and alerts for ``[start_ms, end_ms)`` widened to whole
+    UTC days: output partitions are (symbol, day) and are replaced whole, so a
+    partial day would drop that day's other rows (and cut boundary candles).
 
     Detectors need history before ``start_ms`` (59 trades for the frames, the
     running state for the sequential rules). ``lookback_ms=None`` uses all
@@ -44,6 +46,9 @@ def backfill(
     bounds the history read (exact once it covers the frames and the state
     machine has re-synchronised, which the caller must judge).
     """
+    day = 86_400_000
+    start_ms = start_ms - start_ms % day
+    end_ms = end_ms + (-end_ms) % day
     hist = trades.where(F.col("trade_time_ms") < end_ms)
     if lookback_ms is not None:
         hist = hist.where(F.col("trade_time_ms") >= F.lit(start_ms - lookback_ms))
