@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe_pieces, exact_dedup, language_id, mixing, simhash, token_orc, url_filter
+from candlewick.llm import bpe_pieces, ctw, exact_dedup, language_id, mixing, multi_index, pseudonyms, simhash, token_orc, url_filter
 from candlewick.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,9 +69,9 @@ e AS (SELECT d.*, CASE WHEN d.s = '' THEN 0.0 ELSE sc.score END AS score FROM d
 hist AS (SELECT floor(score * {grid}) AS b, count(*) FILTER (says = 'allow') AS a, count(*) FILTER (says = 'block') AS r
          FROM e WHERE fold = 0 AND says IS NOT NULL GROUP BY 1),
 gain AS (SELECT b, (sum(a) OVER () - coalesce(sum(a) OVER under, 0)) / nullif(sum(a) OVER (), 0)
-              + coalesce(sum(r) OVER under, 0) / nullif(sum(r) OVER (), 0) AS g
+              + coalesce(sum(r) OVER under, 0) / nullif(sum(r) OVER (), 0) AS g, (coalesce(lag(b) OVER (ORDER BY b) + 1, b) + b) / 2 AS edge
          FROM hist WINDOW under AS (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-bar AS (SELECT coalesce((SELECT b / {grid} FROM gain WHERE g IS NOT NULL ORDER BY g DESC, b LIMIT 1), 0.0) AS t)
+bar AS (SELECT coalesce((SELECT edge / {grid} FROM gain WHERE g IS NOT NULL ORDER BY g DESC, b LIMIT 1), 0.0) AS t)
 SELECT page_id, host, path, rule, coalesce(says, CASE WHEN score >= (SELECT t FROM bar) THEN 'allow' ELSE 'block' END) AS verdict, score FROM e"""
 
 
@@ -80,12 +80,27 @@ def op1(spark, sf):
     return url_filter.judge_urls(table(spark, sf, "pages"))
 
 
+PSEUDONYM_KEY = "corpus-key-1"  # a secret in production: a parameter of the operator
+
+
+@register("op2_pseudonyms")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    return out.withColumnsRenamed({"_in0": "doc_id", "_in1": "text"})
+
+
 @register("op3_simhash")
 def op3(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op4_context_tree")
+def op4(spark, sf):
+    return ctw.score_documents(table(spark, sf, "documents"))
+
+
 @register("op5_language_id")
 def op5(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -111,6 +126,11 @@ def op7(spark, sf):
     return token_orc.id_checksums(token_orc.read_documents(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@register("op8_multi_index")
+def op8(spark, sf):
+    return multi_index.nearest_neighbours(table(spark, sf, "embeddings"))
+
+
 MIX_CTES = r"""t AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
       CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
 s0 AS (SELECT source, sum(size) AS source_size FROM t GROUP BY source),

@@ -87,73 +87,65 @@ def variants(open_bits: list[int], k: int) -> list[tuple[list[int], int | None]]
     return out
 
 
-class Paths:
-    """The index variants of a level: what is compared, which bits must
-    differ, and what is left to differ in the remaining bits."""
+def _mask(bits) -> int:
+    return _signed(sum(1 << b for b in bits))
 
-    def __init__(self, k: int):
-        self.level = [(fixed, (wild,) if wild is not None else (), k - (wild is not None)) for fixed, wild in variants(list(range(63, -1, -1)), k)]
 
-    def deeper(self, number: int) -> list[tuple[list[int], tuple[int, ...], int]]:
-        fixed, wild, k = self.level[number]
-        rest = [b for b in range(63, -1, -1) if b not in fixed and b not in wild]
-        if not rest or k < 1 or len(rest) <= 4:
-            return []  # at most 2 ** (4 + wildcards) members: joined whole
-        if k == 1:  # one of two halves is equal
-            half = len(rest) // 2
-            return [(fixed + rest[:half], wild, k), (fixed + rest[half:], wild, k)]
-        return [(fixed + seg, wild + ((w,) if w is not None else ()), k - (w is not None)) for seg, w in variants(rest, k)]
+#: Buckets that leave so few bits open hold few fingerprints: 2 ** (bits + wildcards).
+FEW_BITS = 4
 
 
-def _mask(bits) -> int:
-    return _signed(sum(1 << b for b in bits))
+def deeper(fixed: int, wild: int, k: int) -> list[tuple[int, int, int]]:
+    """The index variants of a bucket's remaining bits: (bits compared,
+    wildcard bits, how many remaining bits may differ)."""
+    rest = [b for b in range(63, -1, -1) if not (fixed | wild) >> b & 1]
+    if k == 1:  # one of two halves is equal
+        half = len(rest) // 2
+        return [(_signed((fixed | _mask(r)) % (1 << 64)), wild, k) for r in (rest[:half], rest[half:])]
+    return [
+        (_signed((fixed | _mask(seg)) % (1 << 64)), wild if w is None else _signed((wild | 1 << w) % (1 << 64)), k - (w is not None))
+        for seg, w in variants(rest, k)
+    ]
 
 
 def near_pairs(fps: DataFrame, k: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """``fps`` has distinct ``fp``. Pairs ``a < b`` within ``k`` bits, each
     once: all of them, whatever the bucket sizes."""
-    spark = fps.sparkSession
     if k < 1:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    paths = Paths(k)
-    variant = F.array(
-        *[F.struct(F.lit(i).alias("path"), F.col("fp").bitwiseAND(F.lit(_mask(fixed))).alias("key")) for i, (fixed, _, _) in enumerate(paths.level)]
-    )
-    keyed = fps.select("fp", F.explode(variant).alias("v")).select("fp", "v.path", "v.key")
-    found, wilds = [], [_mask(w) for _, w, _ in paths.level]
+    ship_package(fps.sparkSession)
+    path = ["fixed", "wild", "key"]
+    first = [F.struct(F.lit(f).alias("fixed"), F.lit(w).alias("wild"), F.lit(left).alias("k")) for f, w, left in deeper(0, 0, k)]
+    keyed = fps.select("fp", F.explode(F.array(*first)).alias("v")).select("fp", "v.*").withColumn("key", F.col("fp").bitwiseAND(F.col("fixed")))
+    closed = (F.bit_count(F.col("fixed").bitwiseOR(F.col("wild"))) >= 64 - FEW_BITS) | (F.col("k") < 1)
+    apart, found = F.col("fp").bitwiseXOR(F.col("b")), []
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(*old, *new) for old in zip(*(c.to_pylist() for c in batch.columns)) for new in deeper(*old)]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([(n, pa.int64()) for n in names]))
+
+    names = ["fixed", "wild", "k", "fixed2", "wild2", "k2"]
     while True:
-        shared = cut_lineage(keyed.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-buckets")
-        deeper = [paths.deeper(i) for i in range(len(paths.level))]
-        ends = [i for i, d in enumerate(deeper) if not d]
-        whole = (F.col("n") <= bucket) | F.col("path").isin(ends) if ends else F.col("n") <= bucket
+        shared = keyed.groupBy(*path).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = cut_lineage(
-            keyed.join(shared.withColumn("whole", whole).drop("n"), ["path", "key"]), "simhash-members"
-        )
-        small = members.where("whole").withColumn("wild", F.element_at(F.array(*[F.lit(w) for w in wilds]), F.col("path") + 1))
-        other = members.where("whole").select(F.col("path").alias("_path"), F.col("key").alias("_key"), F.col("fp").alias("b"))
-        apart = F.col("fp").bitwiseXOR(F.col("b"))
-        found.append(
-            small.join(
-                other,
-                (F.col("path") == F.col("_path"))
-                & (F.col("key") == F.col("_key"))
-                & (F.col("fp") < F.col("b"))
-                & (apart.bitwiseAND(F.col("wild")) == F.col("wild"))
-                & (F.bit_count(apart) <= k),
-            ).select(F.col("fp").alias("a"), "b")
+            keyed.join(cut_lineage(shared, "simhash-buckets"), path).withColumn("whole", (F.col("n") <= bucket) | closed).drop("n"),
+            "simhash-members",
         )
+        other = members.where("whole").select(*[F.col(c).alias("_" + c) for c in path], F.col("fp").alias("b"))
+        same = reduce(lambda x, y: x & y, [F.col(c) == F.col("_" + c) for c in path])
+        within = (F.col("fp") < F.col("b")) & (apart.bitwiseAND(F.col("wild")) == F.col("wild")) & (F.bit_count(apart) <= k)
+        found.append(members.where("whole").join(other, same & within).select(F.col("fp").alias("a"), "b"))
         hot = members.where("NOT whole")
         if hot.isEmpty():
             break
-        steps = [(i, d) for i, ds in enumerate(deeper) for d in ds]
-        table = spark.createDataFrame(  # one row per variant of a variant: fixed by k alone
-            [(i, n, _mask(fixed)) for n, (i, (fixed, _, _)) in enumerate(steps)], "path int, next int, mask long"
-        )
-        keyed = hot.join(table, "path").select(
-            "fp", F.col("next").alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("key")
-        )
-        paths.level = [d for _, d in steps]
-        wilds = [_mask(w) for _, w, _ in paths.level]
+        steps = hot.select("fixed", "wild", F.col("k").cast("long").alias("k")).distinct().mapInArrow(refine, ", ".join(f"{n} long" for n in names))
+        keyed = (
+            hot.drop("k", "key", "whole").join(steps, ["fixed", "wild"])
+            .select("fp", F.col("fixed2").alias("fixed"), F.col("wild2").alias("wild"), F.col("k2").alias("k"))
+            .withColumn("key", F.col("fp").bitwiseAND(F.col("fixed")))
+            .distinct()
+        )
     return reduce(DataFrame.unionByName, found).distinct()
 
 

@@ -105,20 +105,21 @@ def ratio_model(grams: DataFrame, order: int) -> DataFrame:
 
 
 def calibrate(scored: DataFrame, grid: int = GRID) -> DataFrame:
-    """One row, ``threshold``: the multiple of 1/``grid`` with the best balanced
-    accuracy on the labelled, unseen URLs (``label, score``); the smallest on
-    a tie, 0 without both labels. Works on a histogram of scores."""
+    """One row, ``threshold``: between the two steps of a 1/``grid`` histogram
+    of scores where the balanced accuracy on the labelled, unseen URLs
+    (``label, score``) is best, midway across the gap; the lowest such place on
+    a tie, 0 without both labels."""
     hist = scored.groupBy(F.floor(F.col("score") * grid).alias("b")).agg(
         F.count_if(F.col("label") == "allow").alias("a"), F.count_if(F.col("label") == "block").alias("r")
     )
     under = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    gain = (F.sum("a").over(everything) - F.coalesce(F.sum("a").over(under), F.lit(0))) / F.sum("a").over(everything) + F.coalesce(
-        F.sum("r").over(under), F.lit(0)
-    ) / F.sum("r").over(everything)
-    best = hist.withColumn("gain", F.try_divide(gain, F.lit(1.0))).where("gain IS NOT NULL")
-    best = best.agg(F.min(F.struct((-F.col("gain")).alias("g"), F.col("b").alias("b"))).alias("m"))
-    return best.select(F.coalesce(F.col("m.b") / grid, F.lit(0.0)).alias("threshold"))
+    all_a, all_r = (F.nullif(F.sum(c).over(everything), F.lit(0)) for c in ("a", "r"))
+    gain = (all_a - F.coalesce(F.sum("a").over(under), F.lit(0))) / all_a + F.coalesce(F.sum("r").over(under), F.lit(0)) / all_r
+    edge = (F.coalesce(F.lag("b").over(Window.orderBy("b")) + 1, F.col("b")) + F.col("b")) / 2
+    best = hist.withColumn("gain", gain).withColumn("edge", edge).where("gain IS NOT NULL")
+    best = best.agg(F.min(F.struct((-F.col("gain")).alias("g"), "b", "edge")).alias("m"))
+    return best.select(F.coalesce(F.col("m.edge") / grid, F.lit(0.0)).alias("threshold"))
 
 
 def judge_urls(
