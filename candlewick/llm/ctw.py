@@ -35,8 +35,8 @@ from candlewick.llm.common import fold, pick
 from candlewick.session import cut_lineage, ship_package
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
-CHUNK_BYTES = 2 << 20
+BLOCK_BYTES = 22 << 20
+CHUNK_BYTES = 1 << 20
 END = b"\n"
 GRAMS_PER_TASK = 100_000
 _LN2 = math.log(2.0)
@@ -354,6 +354,8 @@ def score_documents(
         codes, logp = gram_rows.column("gram").to_numpy().astype(np.uint64), gram_rows.column("value").to_numpy()
         order = np.argsort(codes)
         tokens, known, base, score = score_block(texts, words, codes[order], logp[order], depth)
+        del words, codes, logp, found, word_rows, gram_rows
+        pa.default_memory_pool().release_unused()  # the worker lives on
         lengths = np.array([len(_body(words_of(t.as_py()))) for t in texts.column("text")])
         return pa.table(
             {
