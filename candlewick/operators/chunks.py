@@ -78,29 +78,24 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     wk = Window.partitionBy(key).orderBy("_lo")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     u = units.withColumn("chunk", F.floor(before / size).cast("bigint"))
-    # same window spec (no new shuffle): where chunks start, the start of this
-    # unit's chunk, and the next chunk
-    starts = F.coalesce(F.lag("chunk").over(wk) != F.col("chunk"), F.lit(True))
-    u = u.withColumn("_start", F.when(starts, F.col("_lo")))
-    u = u.select(
-        key,
-        "_grain",
-        "_ms",
-        "_cnt",
-        "_hi",
-        "chunk",
-        F.max("_start").over(wk.rowsBetween(Window.unboundedPreceding, 0)).alias("chunk_start_ms"),
-        F.min(F.when(F.col("_start").isNotNull(), F.col("chunk"))).over(wk.rowsBetween(1, Window.unboundedFollowing))
-        .alias("next_chunk"),
-        F.min("_start").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("next_chunk_start_ms"),
+    # one row per chunk; its successor is the next row
+    chunks = u.groupBy(key, "chunk").agg(
+        F.min("_lo").alias("chunk_start_ms"), F.max("_hi").alias("_end"), F.sum("_cnt").alias("_rows")
     )
+    wc = Window.partitionBy(key).orderBy("chunk")
     # speculative look-back for sequential folds: seq_halo_ms, but no more
     # than about seq_halo_rows rows at this chunk's density
-    wc = Window.partitionBy(key, "chunk")
-    span = F.max("_hi").over(wc) - F.col("chunk_start_ms")
-    rows = F.sum("_cnt").over(wc)
-    halo = F.least(F.lit(p.seq_halo_ms), F.greatest(F.lit(1), F.floor(span * F.lit(p.seq_halo_rows) / rows)))
-    return u.withColumn("_spec_halo_ms", halo.cast("bigint")).drop("_cnt", "_hi")
+    span = F.col("_end") - F.col("chunk_start_ms")
+    halo = F.least(F.lit(p.seq_halo_ms), F.greatest(F.lit(1), F.floor(span * F.lit(p.seq_halo_rows) / F.col("_rows"))))
+    chunks = chunks.select(
+        key,
+        "chunk",
+        "chunk_start_ms",
+        F.lead("chunk").over(wc).alias("next_chunk"),
+        F.lead("chunk_start_ms").over(wc).alias("next_chunk_start_ms"),
+        halo.cast("bigint").alias("_spec_halo_ms"),
+    )
+    return u.select(key, "_grain", "_ms", "chunk").join(chunks, [key, "chunk"])
 
 
 CHUNK_COLUMNS = ["chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms", "_spec_halo_ms"]
@@ -248,6 +243,9 @@ def recent_count(
     range_w = Window.partitionBy(key, chunk).orderBy(ts)
     running = F.sum("_own").over(rows_w.rowsBetween(Window.unboundedPreceding, 0))
     older = F.coalesce(F.sum("_own").over(range_w.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))), F.lit(0))
-    carried = F.coalesce(F.sum("_hcnt").over(range_w.rangeBetween(-window_ms, 0)), F.lit(0))
+    # halo rows all lie before the chunk: those still inside the window are all but the older ones
+    halo_total = F.sum("_hcnt").over(Window.partitionBy(key, chunk))
+    halo_older = F.coalesce(F.sum("_hcnt").over(range_w.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))), F.lit(0))
+    carried = halo_total - halo_older
     counted = both.withColumn(out, (running - older + carried).cast("bigint"))
     return counted.where(F.col("_own") == 1).select(*base_cols, out)

@@ -6,7 +6,7 @@ never raises under ANSI, it gets a reject reason instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import iso_utc_string, ms_to_ts, render
@@ -15,6 +15,16 @@ from candlewick.params import DEFAULT, PREVIEW_TEXT, Params
 REQUIRED = ("s", "t", "p", "q", "T", "m")
 TRADE_MESSAGE_COLUMNS = ["symbol", "trade_id", "price", "quantity", "trade_time_ms", "trade_time", "is_buyer_mm"]
 
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+FLOAT_TEXT = rf"^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))\s*$"
+
+
+def number(text: Column) -> Column:
+    """A double from text by the producer's rules: no type suffixes or
+    hexadecimals, as a plain cast would take, but underscores between digits."""
+    plain = F.regexp_replace(text, "_", "")
+    return F.when(F.regexp_like(text, F.lit(FLOAT_TEXT)), plain.try_cast("double"))
+
 
 def classify_raw(raw: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
     """Parse every raw exchange message; adds the trade message columns and
@@ -36,14 +46,21 @@ def classify_raw(raw: DataFrame, value_col: str = "value", strict: bool = False)
         value_col,
         F.col("_w").isNotNull().alias("_json"),
         F.explode(
-            F.array(F.from_json(F.coalesce(F.try_element_at("_w", F.lit("data")), F.col(value_col)), as_map))
+            # a present but null "data" is no bare trade
+            F.array(
+                F.from_json(
+                    F.when(F.map_contains_key("_w", F.lit("data")), F.try_element_at("_w", F.lit("data"))).otherwise(F.col(value_col)),
+                    as_map,
+                )
+            )
         ).alias("_d"),
     )
     d = F.col("_d")
     val = {k: F.try_element_at(d, F.lit(k)) for k in (*REQUIRED, "e")}
-    price = val["p"].try_cast("double")
-    qty = val["q"].try_cast("double")
-    ms = val["T"].try_cast("bigint")
+    price, qty = number(val["p"]), number(val["q"])
+    # an unquoted JSON float is truncated, a quoted one rejected
+    unquoted_ms = F.regexp_like(F.col(value_col), F.lit('"T"\\s*:\\s*-?[0-9]'))
+    ms = F.coalesce(val["T"].try_cast("bigint"), F.when(unquoted_ms, number(val["T"]).try_cast("bigint")))
     tid = val["t"].try_cast("bigint")
     mm = val["m"].try_cast("boolean")
     missing = F.lit(False)
@@ -144,8 +161,8 @@ def parse_trades(messages: DataFrame, value_col: str = "value") -> DataFrame:
     out = r.select(
         "symbol",
         F.expr("try_cast(trade_id AS BIGINT)").alias("trade_id"),
-        F.expr("try_cast(price AS DOUBLE)").alias("price"),
-        F.expr("try_cast(quantity AS DOUBLE)").alias("quantity"),
+        number(F.col("price")).alias("price"),
+        number(F.col("quantity")).alias("quantity"),
         ms.alias("trade_time_ms"),
     ).where(
         F.col("symbol").isNotNull()

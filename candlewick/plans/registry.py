@@ -299,3 +299,16 @@ ORDER BY detected_at DESC, pattern_type, symbol, trade_id LIMIT 20""",
 def q_recent_alerts(spark, sf):
     r = _results(spark, sf, alerts=True)
     return SV.recent_alerts(r["alerts"], r["as_of"], 20)
+
+
+# ------------------------------------------- the same results across chunk edges
+# chunks of about 200 trades: ten or more per symbol at sf0.01, so halos, chunk
+# heads and (without a look-back) re-folds all take part
+@register("anomaly_events_chunked", ORACLE["anomaly_events"])
+def q_anomaly_events_chunked(spark, sf):
+    return D.anomaly_events(load_trades(spark, sf), Params(chunk_rows=200))
+
+
+@register("pump_and_dump_chunked", ORACLE["pump_and_dump"])
+def q_pump_and_dump_chunked(spark, sf):
+    return D.pump_and_dump(load_trades(spark, sf), Params(chunk_rows=200, seq_halo_ms=0))

@@ -144,12 +144,13 @@ def anomaly_counts(alerts: DataFrame, symbol: str | None = None, as_of=None) ->
     """
     recent = F.col("detected_at") >= _as_of(as_of) - _one_hour()
     counts = [
-        F.count_if(recent & (F.col("pattern_type") == F.lit(pt))).alias(name)
+        F.count_if(F.col("pattern_type") == F.lit(pt)).alias(name)
         for pt, name in zip(PATTERNS, ("volume_spikes", "wash_trades", "pump_and_dumps"))
     ]
     if symbol is not None:
-        return _for_symbol(alerts, symbol).agg(*counts).select(F.lit(symbol).alias("symbol"), "*")
-    return alerts.groupBy("symbol").agg(*counts)
+        return _for_symbol(alerts, symbol).where(recent).agg(*counts).select(F.lit(symbol).alias("symbol"), "*")
+    counted = alerts.where(recent).groupBy("symbol").agg(*counts)  # the time filter reaches the scan
+    return alerts.select("symbol").distinct().join(counted, "symbol", "left").na.fill(0)
 
 
 def count_band(n: Column) -> Column:

@@ -1,45 +1,35 @@
-"""The dashboard's SQL, as Spark SQL text with named parameters.
+"""The serving queries by name, over the stored result tables.
 
-``run(spark, name, **args)`` executes over temp views ``ohlc_candles``,
-``anomaly_events`` and ``price_ticker`` (see ``serving.register_views``);
-parameters are bound by ``spark.sql(text, args=...)``, never spliced into
-the text. ``:as_of`` stands in for ``NOW()``.
+``run(spark, name, **parameters)`` reads the temp views ``ohlc_candles``,
+``anomaly_events`` and ``price_ticker`` (see ``serving.register_views``) and
+applies the serving function of that name; parameters are its keyword
+arguments.
 """
 
 from __future__ import annotations
 
+import inspect
+
 from pyspark.sql import DataFrame, SparkSession
 
-DASHBOARD_SQL = {
-    "ticker_panel": """
-        SELECT :as_of AS time, symbol || ' $' || CAST(round(CAST(price AS DECIMAL(38,10)), 5) AS STRING) AS ticker,
-               price
-        FROM price_ticker WHERE symbol = :symbol ORDER BY updated_at DESC LIMIT 1""",
-    "candles_last_hour": """
-        SELECT window_start AS time, open_price AS open, high_price AS high, low_price AS low,
-               close_price AS close, trade_volume AS volume
-        FROM ohlc_candles
-        WHERE symbol = :symbol AND window_size = :candle_size AND window_start >= :as_of - INTERVAL 1 HOUR
-        ORDER BY window_start ASC""",
-    "volume_series": """
-        SELECT window_start AS time, trade_volume AS volume FROM ohlc_candles
-        WHERE symbol = :symbol AND window_size = :candle_size
-          AND window_start >= :time_from AND window_start <= :time_to
-        ORDER BY window_start ASC""",
-    "anomaly_counts": """
-        SELECT count(*) FILTER (WHERE pattern_type = 'VOLUME_SPIKE') AS volume_spikes,
-               count(*) FILTER (WHERE pattern_type = 'WASH_TRADE') AS wash_trades,
-               count(*) FILTER (WHERE pattern_type = 'PUMP_AND_DUMP') AS pump_and_dumps
-        FROM anomaly_events WHERE detected_at >= :as_of - INTERVAL 1 HOUR AND symbol = :symbol""",
-    "alert_table": """
-        SELECT detected_at, pattern_type, severity,
-               CAST(round(CAST(price_change_pct AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_change_pct,
-               CAST(round(CAST(volume_ratio AS DECIMAL(38,10)), 1) AS DOUBLE) AS vol_ratio, description
-        FROM anomaly_events WHERE detected_at >= :as_of - INTERVAL 1 HOUR AND symbol = :symbol
-        ORDER BY detected_at DESC, pattern_type, trade_id LIMIT 100""",
-    "symbols": "SELECT DISTINCT symbol FROM ohlc_candles ORDER BY symbol",
+from candlewick.plans import serving
+
+#: name -> (the view it reads, the serving function)
+NAMED = {
+    "ticker_panel": ("price_ticker", serving.ticker_panel),
+    "candles_last_hour": ("ohlc_candles", serving.candles_last_hour),
+    "volume_series": ("ohlc_candles", serving.volume_series),
+    "anomaly_counts": ("anomaly_events", serving.anomaly_counts),
+    "alert_table": ("anomaly_events", serving.alert_table),
+    "symbols": ("ohlc_candles", serving.symbols),
 }
 
 
+def parameters(name: str) -> list[str]:
+    """The parameters a named query takes."""
+    return list(inspect.signature(NAMED[name][1]).parameters)[1:]
+
+
 def run(spark: SparkSession, name: str, **args) -> DataFrame:
-    return spark.sql(DASHBOARD_SQL[name], args=args)
+    view, query = NAMED[name]
+    return query(spark.table(view), **args)

@@ -8,9 +8,10 @@ so a micro-batch replayed after a failure leaves the tables unchanged.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -130,10 +131,19 @@ def split_not_null(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataF
     return df.where(ok), df.where(~ok).withColumn("reason", bad_reason)
 
 
+def run_of(df: DataFrame) -> str:
+    """The id of the streaming query that runs this micro-batch (one per
+    checkpoint), or ``direct`` outside a query."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 class BatchParquetSink:
-    """Idempotent append: micro-batch ``b`` is written (overwrite) to
-    ``path/batch_id=b``, partitioned by ``partition_cols`` and sorted within
-    files for min/max skipping. Replaying a batch id rewrites the same rows.
+    """Idempotent append: micro-batch ``b`` of a query is written (overwrite) to
+    ``path/run=<query>/batch_id=b``, partitioned by ``partition_cols`` and
+    sorted within files for min/max skipping. Replaying a batch rewrites the
+    same rows; a query with a new checkpoint has a new id and overwrites
+    nothing. ``key_cols`` name the natural key: ``read`` returns one row per
+    key, the last written, so a replay from a new checkpoint adds no copies.
 
     ``not_null`` rows failing the contract go to ``path/_quarantine``;
     ``created_at`` (write time, like a column default) is added only here.
@@ -146,76 +156,89 @@ class BatchParquetSink:
         sort_cols: Sequence[str] = (),
         not_null: Sequence[str] = (),
         stamp: str | None = None,
+        key_cols: Sequence[str] = (),
     ):
         self.path = path.rstrip("/")
         self.partition_cols = list(partition_cols)
         self.sort_cols = list(sort_cols)
         self.not_null = list(not_null)
         self.stamp = stamp
+        self.key_cols = list(key_cols)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         # the contract split reads the batch twice: cache it unless the caller did
         own_cache = bool(self.not_null) and not df.is_cached
         src = df.persist() if own_cache else df
-        good = src
+        good, at = src, f"run={run_of(df)}/batch_id={batch_id}"
         if self.not_null:
             good, bad = split_not_null(src, self.not_null)
-            bad.write.mode("overwrite").parquet(f"{self.path}/_quarantine/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{self.path}/_quarantine/{at}")
         if self.stamp:
             good = good.withColumn(self.stamp, F.current_timestamp())
         out = good.sortWithinPartitions(*self.sort_cols) if self.sort_cols else good
-        out.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(f"{self.path}/batch_id={batch_id}")
+        out.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(f"{self.path}/{at}")
         if own_cache:
             src.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("batch_id")
+        rows = spark.read.parquet(self.path)
+        if self.key_cols:
+            newest = [F.col(c).desc() for c in ([self.stamp] if self.stamp else []) + ["run", "batch_id"]]
+            last = Window.partitionBy(*self.key_cols).orderBy(*newest)
+            rows = rows.withColumn("_last", F.row_number().over(last)).where("_last = 1").drop("_last")
+        return rows.drop("run", "batch_id")
 
 
 class TickerUpsertSink:
-    """Latest-price table kept by upsert: version ``b`` = latest of
-    (version before ``b``) and the batch's candles. One row per symbol, so
-    the merge is small; replaying ``b`` rewrites version ``b`` identically."""
+    """Latest-price table kept by upsert: each call writes the next version, the
+    latest of (the version before, the batch's candles) per symbol. The merge
+    keeps the newest ``updated_at``, so replaying a batch, also from a new
+    checkpoint, changes nothing. Only versions whose write was committed
+    count; a failure to read one fails the batch.
+    """
 
     def __init__(self, path: str, source_sizes: Sequence[str] = ("1min",), keep_versions: int = 5):
         self.path = path.rstrip("/")
         self.source_sizes = tuple(source_sizes)
         self.keep_versions = keep_versions
 
-    def _prune(self, spark: SparkSession, batch_id: int) -> None:
-        """Drop versions older than the last ``keep_versions`` (a replayed
-        batch only needs the version just before it)."""
+    def _versions(self, spark: SparkSession) -> tuple[list[int], list[int]]:
+        """Committed and all version numbers, found through the store."""
         jvm = spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("version=") and int(name.split("=", 1)[1]) < batch_id - self.keep_versions:
-                fs.delete(st.getPath(), True)
-
-    def _versions(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.path)
-        except Exception:  # no version written yet
-            return None
+        if not fs.exists(root):
+            return [], []
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        every = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+        done = [v for v in every if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/version={v}/_SUCCESS"))]
+        return done, every
+
+    def _prune(self, spark: SparkSession, committed: list[int]) -> None:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for v in committed[: -(self.keep_versions + 1)]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/version={v}"), True)
 
     def __call__(self, candles: DataFrame, batch_id: int) -> None:
         spark = candles.sparkSession
         new = price_ticker(candles, self.source_sizes).withColumn("_rank", F.lit(1))
-        allv = self._versions(spark)
-        if allv is not None:
-            older = allv.where(F.col("version") < batch_id)
-            cur = older.where(F.col("version") == older.select(F.max("version")).scalar()).drop("version")
-            new = new.unionByName(cur.withColumn("_rank", F.lit(0)))
+        done, every = self._versions(spark)
+        if done:
+            new = new.unionByName(spark.read.parquet(f"{self.path}/version={done[-1]}").withColumn("_rank", F.lit(0)))
         latest = new.groupBy("symbol").agg(
             F.max_by(F.struct("price", "price_change_pct", "volume_1min", "updated_at"), F.struct("updated_at", "_rank")).alias("t")
         ).select("symbol", "t.*")
-        latest.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        self._prune(spark, batch_id)
+        version = every[-1] + 1 if every else 0
+        latest.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        self._prune(spark, [*done, version])
 
     def read(self, spark: SparkSession) -> DataFrame:
-        allv = spark.read.parquet(self.path)
-        return allv.where(F.col("version") == allv.select(F.max("version")).scalar()).drop("version")
+        done, _ = self._versions(spark)
+        if not done:
+            raise FileNotFoundError(f"no ticker version under {self.path}")
+        return spark.read.parquet(f"{self.path}/version={done[-1]}")
 
 
 # ------------------------------------------------------------------ queries
@@ -228,7 +251,8 @@ def start_candle_query(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     candle_sink = BatchParquetSink(
-        candle_path, ("window_size", "symbol"), ("window_start",), NOT_NULL["candles"], stamp="created_at"
+        candle_path, ("window_size", "symbol"), ("window_start",), NOT_NULL["candles"], stamp="created_at",
+        key_cols=("symbol", "window_size", "window_start"),
     )
     ticker_sink = TickerUpsertSink(ticker_path)
 
@@ -246,24 +270,31 @@ def start_alert_query(
     trades: DataFrame, alert_path: str, checkpoint: str, p: Params = DEFAULT, trigger: dict | None = None
 ) -> StreamingQuery:
     sink = BatchParquetSink(
-        alert_path, ("pattern_type",), ("symbol", "detected_at"), NOT_NULL["alerts"], stamp="created_at"
+        alert_path, ("pattern_type",), ("symbol", "detected_at"), NOT_NULL["alerts"], stamp="created_at",
+        key_cols=("symbol", "pattern_type", "detected_at", "trade_id"),
     )
     w = stream_alerts(trades, p).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return w.foreachBatch(sink).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 class ThroughputListener(StreamingQueryListener):
-    """Rows/s and batch sizes of running queries (the producer's stats line)."""
+    """Rows/s and batch sizes of running queries: the last ``keep`` progress
+    lines and failures, and running totals."""
 
-    def __init__(self):
-        self.progress: list[dict] = []
-        self.terminated: list[str] = []
+    def __init__(self, keep: int = 1000):
+        self.progress: deque[dict] = deque(maxlen=keep)
+        self.terminated: deque[str] = deque(maxlen=keep)
+        self.rows = 0
+        self.batches = 0
+        self.failures = 0
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         pr = event.progress
+        self.rows += pr.numInputRows
+        self.batches += 1
         self.progress.append(
             {
                 "name": pr.name,
@@ -279,4 +310,5 @@ class ThroughputListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         if event.exception:
+            self.failures += 1
             self.terminated.append(event.exception)

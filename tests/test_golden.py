@@ -311,7 +311,7 @@ def test_serving_single_symbol_paths(spark):
     assert {"ohlc_candles", "anomaly_events"} <= set(views)
 
 
-def test_dashboard_sql_with_named_parameters(spark):
+def test_serving_queries_by_name(spark):
     from candlewick.plans import sql as Q
 
     t = one(spark, [100.0, 100.5, 100.1] * 30, step=1000)
@@ -321,7 +321,8 @@ def test_dashboard_sql_with_named_parameters(spark):
     counts = Q.run(spark, "anomaly_counts", symbol="S", as_of=as_of).first()
     assert counts.pump_and_dumps > 0
     assert Q.run(spark, "alert_table", symbol="S", as_of=as_of).count() == counts.pump_and_dumps + counts.wash_trades + counts.volume_spikes
-    assert Q.run(spark, "candles_last_hour", symbol="S", candle_size="1min", as_of=as_of).count() == 2
+    assert Q.run(spark, "candles_last_hour", symbol="S", size="1min", as_of=as_of).count() == 2
+    assert Q.parameters("symbols") == []
     assert Q.run(spark, "ticker_panel", symbol="S", as_of=as_of).first().ticker.startswith("S $100.")
 
 
@@ -343,6 +344,53 @@ def test_backfill_is_idempotent_and_exact(spark, tmp):
     assert spark.read.parquet(f"{tmp}/ohlc_candles").where("window_size = '1min'").count() == 20
 
 
+def test_backfill_replaces_days_that_come_out_empty(spark, tmp):
+    from candlewick.plans.backfill import backfill
+
+    MID = Params(chunk_rows=100)
+    day = 86_400_000
+    rows = [("S", i + 1, 100.0 + (i * 37 % 11) / 10, float(i % 7 + 1), T0 + i * 3_000) for i in range(200)]
+    later = [("S", i + 1000, p, q, ms + day) for (_, i, p, q, ms) in rows]
+    backfill(trades(spark, rows + later), T0, T0 + 2 * day, tmp, MID)
+    first = spark.read.parquet(f"{tmp}/anomaly_events").groupBy("event_date").count().collect()
+    assert len(first) == 2
+    backfill(trades(spark, later), T0, T0 + 1, tmp, MID)  # the first day's trades were withdrawn
+    left = spark.read.parquet(f"{tmp}/anomaly_events").groupBy("event_date").count().collect()
+    assert [r for r in first if r in left] == left and len(left) == 1
+    assert spark.read.parquet(f"{tmp}/ohlc_candles").select("event_date").distinct().count() == 1
+
+
+def test_numbers_follow_the_producer(spark):
+    good = ["1.5", " 2 ", "1e3", "1_000.5", ".5", "5.", "-3", "inf", "NaN"]
+    bad = ["1.5d", "2f", "0x1p3", "", "1__0", "_1", "1e", "abc", None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "x string")
+    got = {r[0]: r[1] for r in df.select("x", I.number(F.col("x"))).collect()}
+    assert all(got[x] == float(x) or x == "NaN" for x in good) and all(got[x] is None for x in bad)
+
+    def raw(**d):
+        import json
+
+        return json.dumps({"stream": "s", "data": {"e": "trade", "s": "A", "t": 1, "p": "1.5", "q": "2", "T": 1700000000000, "m": True, **d}})
+
+    lines = [raw(), raw(p="1.5d"), raw(q="2f"), raw(T=1700000000000.5), raw(T="1700000000000.5"), '{"data":null,"e":"trade"}']
+    out = I.classify_raw(spark.createDataFrame([(x,) for x in lines], "value string")).select("value", "reason", "trade_time_ms").collect()
+    reasons = {r.value: (r.reason, r.trade_time_ms) for r in out}
+    assert reasons[lines[0]] == (None, 1700000000000) and reasons[lines[3]] == (None, 1700000000000)
+    assert all(reasons[lines[i]][0] == "bad_number" for i in (1, 2, 4)) and reasons[lines[5]][0] == "not_trade"
+
+
+def test_chunk_plan_has_one_successor_per_chunk(spark):
+    from candlewick.operators.chunks import plan_chunks
+
+    t = trades(spark, [("S", i, 1.0, 1.0, T0 + i * 20_000) for i in range(600)])
+    plan = plan_chunks(t, Params(chunk_rows=50)).select("chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms").distinct()
+    rows = sorted(map(tuple, plan.collect()))
+    assert len(rows) > 5
+    for now, after in zip(rows, rows[1:]):
+        assert now[2:] == after[:2]
+    assert rows[-1][2:] == (None, None)
+
+
 def test_symbol_universe_publish_and_last_not_null(spark, tmp):
     msgs = spark.createDataFrame(
         [("BTCUSDT", 1, 1.5, 2.0, 1_700_000_000_000, "t", False), ("DOGEUSDT", 2, 3.0, 1.0, 1_700_000_000_001, "t", True),
