@@ -15,7 +15,10 @@ invert them.
 * IPv4 addresses: the four octets as one number
 * dates ``yyyy-mm-dd`` (or ``/``), ``dd.mm.yyyy``, ``dd/mm/yyyy`` and
   ``mm/dd/yyyy`` (read day first if both fit) of 1900-2099: the day, so the
-  same date links across notations
+  same date links across notations; days of the month above 12 stay above 12,
+  so a month-first date is read back as one. A day or month of one digit keeps
+  that width (such a date is walked on to one that fits, and need not link to
+  its two-digit notation)
 * e-mail addresses: letters and digits in place; the top-level domain stays
 
 A value that its format's check rejects is left alone.
@@ -158,7 +161,7 @@ class Pseudonymiser:
     def _iban(self, text: str, back: bool) -> str | None:
         plain = text.replace(" ", "")
         number = lambda s: int("".join(str(int(c, 36)) for c in s))
-        if not 15 <= len(plain) <= 34 or number(plain[4:] + plain[:4]) % 97 != 1:
+        if not 15 <= len(plain) <= 34 or not 2 <= int(plain[2:4]) <= 98 or number(plain[4:] + plain[:4]) % 97 != 1:
             return None
         value, size = _mixed(plain[4:])
         shape = re.sub("[0-9]", "0", re.sub("[A-Z]", "A", plain[4:]))
@@ -170,8 +173,18 @@ class Pseudonymiser:
         if found is None:
             return None
         day, layout = found
-        moved = FIRST_DAY + self.net.permute(day.toordinal() - FIRST_DAY, DAYS, "date", back)
-        return datetime.date.fromordinal(moved).strftime(layout)
+        order = [c for c in layout if c in "dmY"]
+        width = dict(zip(order, map(len, re.findall("[0-9]+", text))))
+
+        def same_form(n: int) -> bool:
+            other = datetime.date.fromordinal(FIRST_DAY + n)
+            fits = (width["d"] > 1 or other.day < 10) and (width["m"] > 1 or other.month < 10)
+            return fits and (other.day > 12) == (day.day > 12)  # reads day first or month first as before
+
+        moved = datetime.date.fromordinal(FIRST_DAY + self.net.within(day.toordinal() - FIRST_DAY, DAYS, "date", same_form, back))
+        value = {"d": moved.day, "m": moved.month, "Y": moved.year}
+        numbers = iter([f"{value[c]:0{width[c]}d}" for c in order])
+        return re.sub("[0-9]+", lambda _: next(numbers), text)
 
     def _ssn(self, text: str, back: bool) -> str | None:
         value = int(text.replace("-", ""))

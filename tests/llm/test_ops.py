@@ -67,6 +67,9 @@ def test_exact_dedup(docs, empty):
     assert rows_of(weak, "_in0", "keep_id", "group_size", "kept") == sorted((w[:4] for w in want), key=repr)
     kept = exact_dedup.deduplicate(docs)
     assert kept.columns == docs.columns and kept.count() == sum(w[3] for w in want)
+    stay = sorted((r[:2] for r in ROWS if r[0] == max((i for i in by[r[1] or ""] if i is not None), default=None)), key=repr)
+    for some in (kept, exact_dedup.deduplicate(docs, digest=lambda t: F.length(t) % 3)):
+        assert sorted(((r[0], r[1]) for r in some.collect()), key=repr) == stay
     assert exact_dedup.mark_duplicates(empty).count() == 0 and exact_dedup.deduplicate(empty).count() == 0
 
 
@@ -106,6 +109,7 @@ def test_simhash(docs, empty):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert kept.count() == sum(d == c for (d, *_), c in zip(ROWS, comp))
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted((r[:2] for r, c in zip(ROWS, comp) if r[0] == c), key=repr)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
@@ -357,6 +361,24 @@ def test_pseudonyms(spark):
     assert pseudonyms.Pseudonymiser("other").rewrite(TEXTS[0])[0] != new[0][0]
 
 
+def test_date_pseudonyms_invert_and_stay_distinct():
+    import datetime
+
+    tool, first = pseudonyms.Pseudonymiser("dates"), datetime.date(1990, 1, 1)
+    days = [first + datetime.timedelta(n) for n in range(400)]
+    padded = {d: [d.strftime(f) for f in ("%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y")] for d in days}
+    for d in days:
+        if d.day > 12:
+            padded[d].append(d.strftime("%m/%d/%Y"))
+        new = [tool.rewrite(t)[0] for t in padded[d]]
+        assert len({pseudonyms._calendar(t)[0] for t in new}) == 1  # linked
+        assert [tool.rewrite(t, back=True)[0] for t in new] == padded[d]
+    short = sorted({f"{d.day}.{d.month}.{d.year}" for d in days})
+    new = [tool.rewrite(t)[0] for t in short]
+    assert len(set(new)) == len(short) and [tool.rewrite(t, back=True)[0] for t in new] == short
+    assert [len(t) for t in new] == [len(t) for t in short]
+
+
 def test_feistel_is_a_permutation():
     net = pseudonyms.Feistel(b"k")
     for size in (1, 2, 7, 100, 1000, 1021):
