@@ -76,9 +76,43 @@ def mark_duplicates(
     return out.withColumn("kept", doc_id.eqNullSafe(F.col("keep_id")))
 
 
-def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", salts: int = 16) -> DataFrame:
-    """The rows of ``docs`` that stay, with the columns of ``docs``. The rows
-    that go are found on narrow columns; texts are not joined."""
-    _, names = hidden(docs)
-    marked = mark_duplicates(docs, text_col, id_col, salts).where("kept")
-    return marked.select(*[f"_in{i}" for i in range(len(names))]).toDF(*names)
+def deduplicate(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    salts: int = 16,
+    digest: Callable[[Column], Column] = sha256_digest,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with the columns of ``docs``; ties,
+    nulls and repeated rows as in ``mark_duplicates``.
+
+    The winners carry their other columns through the same local, salted and
+    global stages, so whole rows are shuffled by those alone and never meet a
+    join. Only texts whose winning id is null or comes more than once (found
+    on narrow columns) are handed back to all rows of that id, by a join.
+    """
+    raw, names = hidden(docs)
+    doc_id, own = position(names, id_col), position(names, text_col)
+    rest = [c for c in raw.columns if c not in (doc_id, own)]
+    rows = raw.withColumn("text", F.coalesce(F.col(own), F.lit(""))).withColumn("digest", digest(F.col("text")))
+    again = cut_lineage(
+        rows.groupBy(F.col(doc_id).alias("_id"), F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1 OR _id IS NULL").select("_id", "_digest"),
+        "exact-again",
+    )
+    carried = F.struct(F.col(own).isNull().alias("empty"), *rest)
+    salted = rows.select(
+        "digest", F.pmod(F.xxhash64(doc_id), F.lit(salts)).alias("salt"), "text", F.col(doc_id).alias("id"), carried.alias("carried")
+    )
+    best = (F.max("id").alias("id"), F.max_by("carried", "id").alias("carried"))
+    winners = salted.groupBy("digest", "salt", "text").agg(*best).groupBy("digest", "text").agg(*best).where("id IS NOT NULL")
+    plain = {doc_id: F.col("id"), own: F.when(~F.col("carried.empty"), F.col("text"))}
+    out = [plain[c] if c in plain else F.col("carried." + c) for c in raw.columns]
+    if again.isEmpty():
+        return winners.select(*out).toDF(*names)
+    same = lambda i: F.col(i).eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    kept = winners.join(again, same("id"), "left_anti").select(*out).toDF(*raw.columns)
+    open_ = rows.join(again, same(doc_id), "left_semi")
+    base = rows.select(F.col(doc_id).alias("doc_id"), "text", "digest").join(again.select(F.col("_digest").alias("digest")), "digest", "left_semi")
+    decided = open_.join(content_classes(base, salts), ["digest", "text"]).where(F.col(doc_id).eqNullSafe(F.col("keep_id")))
+    return kept.unionByName(decided.select(*raw.columns)).toDF(*names)
