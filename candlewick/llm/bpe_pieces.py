@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import NOT_PLAIN, PLAIN_LETTERS, pick
+from candlewick.llm.workers import release_memory
 from candlewick.session import ship_package
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 LONGEST_CACHED = 64
 STEP_ROWS = 128
 FIRST_CHAR = 0x100  # byte b is written as chr(0x100 + b)
@@ -205,6 +206,7 @@ def encode_documents(
                 if ids:
                     cols.append(pa.array(lists, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+        release_memory()
 
     return small.mapInArrow(run, T.StructType(fields))
 

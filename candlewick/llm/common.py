@@ -47,6 +47,7 @@ def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (a null id counts as empty)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
+
 #: Letters of the plain texts that tokenizers split on a fast path: ASCII and
 #: the Latin-1 letters (each is one code point in composed form).
 PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"

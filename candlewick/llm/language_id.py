@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import fold, hidden, pick, position
+from candlewick.llm.workers import release_memory
 from candlewick.session import ship_package
 
 TOP = 300
 UNDETERMINED = "und"
 MAX_LANGUAGES = 1000
-CHUNK_CHARS, FLUSH_GRAMS = 1 << 20, 1 << 19
+CHUNK_CHARS, FLUSH_GRAMS = 1 << 18, 1 << 19
 _SPACE = 32
 
 
@@ -114,6 +115,7 @@ def train_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
         for lang in list(waiting):
             add(lang)
         yield from out()
+        release_memory()
 
     counts = small.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
@@ -180,6 +182,7 @@ def predict_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=schema.names
             )
+        release_memory()
 
     return raw.mapInArrow(run, schema)
 
