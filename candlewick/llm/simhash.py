@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import hidden, pick, position
+from candlewick.llm.workers import release_memory
 from candlewick.session import cut_lineage, ship_package
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
@@ -64,6 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             fps = [fingerprint(t.as_py(), words) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=schema.names)
+        release_memory()
 
     return small.mapInArrow(run, schema)
 
@@ -200,12 +202,15 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose id names their component (the smallest id of
-    each group stays), with the columns of ``docs``. The ids that stay are
-    written first; texts meet them in one equality join."""
+    each group stays), with the columns of ``docs``. The ids that go are
+    written first; whole rows meet them in one null-safe anti join, which
+    Spark broadcasts only while the written ids are under the session's
+    threshold. Rows that repeat an id stay together if one of them does."""
     marked = near_duplicates(docs, **options)
-    stay = cut_lineage(
-        marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "simhash-keep"
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = cut_lineage(
+        marked.groupBy("doc_id").agg(stays.alias("stays")).where("NOT stays").select(F.col("doc_id").alias("_id")), "simhash-gone"
     )
     raw, names = hidden(docs)
     id_col = F.col(position(names, options.get("id_col", "doc_id")))
-    return raw.join(stay, id_col.eqNullSafe(F.col("_id")), "left_semi").toDF(*names)
+    return raw.join(gone, id_col.eqNullSafe(F.col("_id")), "left_anti").toDF(*names)
