@@ -4,15 +4,23 @@
 * ``volume_spikes`` — rolling features give candidates; the 30 s cooldown
   (accept when more than 30 s after the last *accepted* alert) is a fold,
   run with ``run_sequential`` over candidates only.
-* ``pump_and_dump`` — a per-symbol state machine folded with
-  ``run_sequential`` over all trades.
+* ``pump_and_dump`` — per symbol, from baseline to baseline: a baseline ends
+  with the first dump after a rise or with the timeout, and the trade after
+  that is the next one; ``run_sequential`` over all trades.
+
+Both folds jump with array searches: Python runs per accepted alert or
+baseline, never per trade.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField
 
 from candlewick.functions.exprs import guarded_div, ms_to_ts, render, severity
 from candlewick.operators.features import all_features, spike_features, wash_features, with_chunks
@@ -70,23 +78,27 @@ def spike_candidates(trades: DataFrame, p: Params = DEFAULT, features: DataFrame
     return f.where(spike_test(p))
 
 
+def cooled(ts: np.ndarray, last: int, gap: int) -> list[int]:
+    """Positions of rising ``ts`` that are each more than ``gap`` after the
+    one accepted before (``last`` at first): one jump per accepted time."""
+    out, at = [], int(np.searchsorted(ts, last + gap, "right"))
+    while at < len(ts):
+        out.append(at)
+        at = int(np.searchsorted(ts, ts[at] + gap, "right"))
+    return out
+
+
 def cooldown_rule(p: Params = DEFAULT) -> SequentialRule:
     gap = p.spike_cooldown_ms
 
     def step(state, rows, emit):
-        last = state[0] or 0
-        ts = rows["trade_time_ms"].tolist()
-        if emit is None:
-            for t in ts:
-                if t - last > gap:
-                    last = t
-            return (last or None,)
-        cols = [rows[c].tolist() for c in ("trade_id", "price", "recent_count", "avg_count", "spike_ratio")]
-        for i, t in enumerate(ts):
-            if t - last > gap:
-                last = t
-                emit((cols[0][i], t, cols[1][i], cols[2][i], cols[3][i], cols[4][i]))
-        return (last or None,)
+        ts = rows["trade_time_ms"].to_numpy(np.int64)
+        hits = cooled(ts, int(state[0] or 0), gap)
+        if emit is not None:
+            told = rows.iloc[hits][["trade_id", "trade_time_ms", "price", "recent_count", "avg_count", "spike_ratio"]]
+            for r in told.itertuples(index=False, name=None):
+                emit(r)
+        return (int(ts[hits[-1]]) if hits else state[0],)
 
     def normalize(state, first_ts):
         last = state[0]
@@ -139,75 +151,95 @@ def _spike_alerts(accepted: DataFrame, p: Params) -> DataFrame:
 
 
 # ------------------------------------------------------------------ pump
-WATCHING, CONFIRMED, STALE = "WATCHING", "PUMP_CONFIRMED", "STALE"
+LOOK_AHEAD = 256  # rows searched at first after a baseline; doubled while nothing is found
+
+
+class Dump(NamedTuple):
+    start_price: float
+    price: float
+    peak: float
+    rise: float
+    drop: float
+    elapsed: int
+
+
+def follow_baseline(
+    prices: np.ndarray, ts: np.ndarray, at: int, base: float, since: int, peak: float, p: Params = DEFAULT
+) -> tuple[int, Dump | None, float]:
+    """Search the rows from ``at`` on (rising ``ts``) for the end of one
+    baseline: the row that ends it (``len(ts)`` if none does), the dump if it
+    is one (else it is the first row past the timeout) and the peak so far.
+
+    A baseline price of 0 measures each trade against itself; a start time of
+    0 counts as unset and never runs out."""
+    end = len(ts) if since == 0 else max(at, int(np.searchsorted(ts, since + p.pump_timeout_ms, "right")))
+    size = LOOK_AHEAD
+    while at < end:
+        some = prices[at : min(at + size, end)]
+        peaks = np.fmax.accumulate(np.append(peak or -np.inf, some))[1:]
+        start = np.full(len(some), base) if base else some
+        rise = np.divide(peaks - start, start, out=np.zeros(len(some)), where=start > 0) * 100
+        drop = np.divide(peaks - some, peaks, out=np.zeros(len(some)), where=peaks > 0) * 100
+        hits = np.flatnonzero((rise >= p.pump_rise_pct) & (drop >= p.pump_drop_pct))
+        if len(hits):
+            i = int(hits[0])
+            elapsed = int(ts[at + i]) - since if since else 0
+            return at + i, Dump(*(float(x[i]) for x in (start, some, peaks, rise, drop)), elapsed), float(peaks[i])
+        peak, at, size = float(peaks[-1]), at + len(some), size * 2
+    return end, None, peak
 
 
 def pump_rule(p: Params = DEFAULT) -> SequentialRule:
-    rise_min, drop_min, timeout = p.pump_rise_pct, p.pump_drop_pct, p.pump_timeout_ms
+    """State: the baseline's price and time and the peak since (null: the next
+    trade is a baseline), and whether it has run out (the next trade only ends it)."""
+    timeout = p.pump_timeout_ms
 
     def step(state, rows, emit):
-        phase, sp, st, pk = state
-        phase = phase or WATCHING
-        prices = rows["price"].tolist()
-        tss = rows["trade_time_ms"].tolist()
-        ids = rows["trade_id"].tolist()
-        for price, ts, tid in zip(prices, tss, ids):
-            if phase == WATCHING:
-                # this trade is the baseline
-                phase, sp, st, pk = CONFIRMED, price, ts, price
-                continue
-            if phase == STALE:
-                # a baseline older than the timeout: this trade only resets
-                phase = WATCHING
+        base, since, peak, expired = state
+        prices, ts = rows["price"].to_numpy(float), rows["trade_time_ms"].to_numpy(np.int64)
+        at = 0
+        if expired and len(ts):
+            at, expired = 1, False
+        while at < len(ts):
+            if since is None:
+                base, since, peak = float(prices[at]), int(ts[at]), float(prices[at])
+                at += 1
                 continue
-            start_price = sp or price
-            start_time = st or ts
-            peak = max(pk or price, price)
-            pk = peak
-            elapsed = ts - start_time
-            rise = (peak - start_price) / start_price * 100 if start_price > 0 else 0.0
-            drop = (peak - price) / peak * 100 if peak > 0 else 0.0
-            if rise >= rise_min and drop >= drop_min and elapsed <= timeout:
-                if emit is not None:
-                    text = PUMP_TEXT.format(rise=rise, peak=peak, drop=drop, price=price, seconds=elapsed / 1000)
-                    emit((tid, ts, float(start_price), float(price), float(peak), rise, drop, int(elapsed), text))
-                phase = WATCHING
-            elif elapsed > timeout:
-                phase = WATCHING
-        if phase == WATCHING:
-            return (WATCHING, None, None, None)
-        return (phase, sp, st, pk)
+            end, dump, peak = follow_baseline(prices, ts, at, base, int(since), peak, p)
+            if end == len(ts):
+                break
+            if dump is not None and emit is not None:
+                text = PUMP_TEXT.format(
+                    rise=dump.rise, peak=dump.peak, drop=dump.drop, price=dump.price, seconds=dump.elapsed / 1000
+                )
+                tid = rows["trade_id"].iloc[end]
+                emit((None if pd.isna(tid) else int(tid), int(ts[end]), *dump, text))
+            base, since, peak, at = None, None, None, end + 1
+        return (base, since, peak, bool(expired))
 
     def normalize(state, first_ts):
-        phase, sp, st, pk = state
-        if phase is None or phase == WATCHING:
-            return (WATCHING, None, None, None)
-        if phase == STALE or (st and first_ts - st > timeout):
-            return (STALE, None, None, None)
-        return (phase, float(sp), int(st), float(pk))
+        base, since, peak, expired = state
+        if expired or (since and first_ts - since > timeout):
+            return (None, None, None, True)
+        if since is None:
+            return (None, None, None, False)
+        return (float(base), int(since), float(peak), False)
 
     def normalize_cols(cols, first_ts):
-        phase, sp, st, pk = cols
-        watching = phase.isNull() | (phase == F.lit(WATCHING))
-        stale = (phase == F.lit(STALE)) | (st.isNotNull() & (st != 0) & (first_ts - st > F.lit(timeout)))
-        new_phase = F.when(watching, F.lit(WATCHING)).when(stale, F.lit(STALE)).otherwise(phase)
-        keep = ~watching & ~stale
-        null_d, null_l = F.lit(None).cast("double"), F.lit(None).cast("bigint")
-        return [
-            new_phase,
-            F.when(keep, sp).otherwise(null_d),
-            F.when(keep, st).otherwise(null_l),
-            F.when(keep, pk).otherwise(null_d),
-        ]
+        base, since, peak, expired = cols
+        gone = F.coalesce(expired, F.lit(False)) | F.coalesce(
+            (since != 0) & (first_ts - since > F.lit(timeout)), F.lit(False)
+        )
+        return [*(F.when(~gone, c) for c in (base, since, peak)), gone]
 
     return SequentialRule(
         name="pump_and_dump",
         input_cols=["price"],
         state_fields=[
-            StructField("phase", StringType()),
-            StructField("start_price", DoubleType()),
-            StructField("start_time", LongType()),
+            StructField("base_price", DoubleType()),
+            StructField("base_ms", LongType()),
             StructField("peak_price", DoubleType()),
+            StructField("expired", BooleanType()),
         ],
         out_fields=[
             StructField("trade_id", LongType()),
@@ -220,7 +252,7 @@ def pump_rule(p: Params = DEFAULT) -> SequentialRule:
             StructField("elapsed_ms", LongType()),
             StructField("description", StringType()),
         ],
-        initial=(None, None, None, None),
+        initial=(None, None, None, False),
         step=step,
         normalize=normalize,
         normalize_cols=normalize_cols,

@@ -7,22 +7,23 @@ sorted by ``(trade_time_ms, trade_id)``; between batches arrival order rules.
 
 State per symbol (all bounded):
 
-* wash: last ``wash_frame`` prices and quantities (ListState);
-* spike: last ``spike_frame`` recent-counts, trade times of the last
-  ``spike_window_ms`` (ListState) and the last alert time (ValueState);
-* pump: phase, start price, start time and peak (ValueState).
+* wash: the ``wash_frame - 1`` last prices and quantities (ListState);
+* spike: the ``spike_frame - 1`` last recent-counts, trades per millisecond of
+  the last ``spike_window_ms`` (ListState) and the last alert time (ValueState);
+* pump: baseline price and time, peak since (ValueState).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from candlewick.functions.exprs import ms_to_ts
-from candlewick.operators.detect import ANOMALY_COLUMNS, WATCHING, pump_rule
+from candlewick.operators.detect import ANOMALY_COLUMNS, cooled, pump_rule
 from candlewick.params import DEFAULT, SPIKE_TEXT, WASH_TEXT, Params
 from candlewick.session import ship_package
 
@@ -33,17 +34,67 @@ ALERT_SCHEMA = (
 _OUT_COLS = [f.strip().split(" ")[0] for f in ALERT_SCHEMA.split(",")]
 
 
-def _naive_mean(values: list[float]) -> float:
-    # left-to-right float sum, as Spark's window avg and the reference do
-    # (Python >= 3.12 ``sum`` compensates rounding and can differ)
-    total = 0.0
-    for v in values:
-        total += v
-    return total / len(values)
+class Trailing:
+    """The last ``frame`` values up to each of ``new``, continued from
+    ``before`` (the values ahead of them, oldest first)."""
+
+    def __init__(self, before: np.ndarray, new: np.ndarray, frame: int):
+        self.frame, self.n = frame, len(new)
+        self.known = before[max(0, len(before) - frame + 1) :]
+        self.values = np.concatenate([self.known, new])
+        #: how many values each frame holds
+        self.length = np.minimum(len(self.known) + np.arange(1, self.n + 1), frame)
+
+    def fold(self, op: np.ufunc, start) -> np.ndarray:
+        """``op`` over every frame, oldest value first, so sums round as a
+        window aggregate's do: one array operation per place in the frame."""
+        padded = np.concatenate([np.full(self.frame - 1 - len(self.known), start, self.values.dtype), self.values])
+        out = np.full(self.n, start, self.values.dtype)
+        for k in range(self.frame):
+            out = op(out, padded[k : k + self.n])
+        return out
+
+    def tail(self) -> list:
+        """What the next batch continues from."""
+        return self.values[max(0, len(self.values) - self.frame + 1) :].tolist()
+
+
+def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a / b, 0 where b is not positive."""
+    return np.divide(a, b, out=np.zeros(len(b)), where=b > 0)
+
+
+class RecentCounts:
+    """How many trades of the last ``window`` ms were seen, as counts per
+    millisecond (``at`` rising), so a burst does not grow the state."""
+
+    def __init__(self, at: np.ndarray, n: np.ndarray, window: int):
+        self.at, self.n, self.window = at, n, window
+
+    def add(self, ts: np.ndarray) -> np.ndarray:
+        """Counts at each of ``ts`` (rising), itself included."""
+        first = ts - self.window
+        ahead = np.concatenate([[0], np.cumsum(self.n)])
+        carried = ahead[-1] - ahead[np.searchsorted(self.at, first)]
+        own = np.arange(1, len(ts) + 1) - np.searchsorted(ts, first)
+        at, back = np.unique(np.concatenate([self.at, ts]), return_inverse=True)
+        n = np.bincount(back, np.concatenate([self.n, np.ones(len(ts))])).astype(np.int64)
+        fresh = at >= first[-1]
+        self.at, self.n = at[fresh], n[fresh]
+        return carried + own
+
+
+def _columns(state, types: tuple) -> list[np.ndarray]:
+    """A list state as one array per field."""
+    rows = list(state.get()) if state.exists() else []
+    return [np.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
 
 
 class DetectorProcessor(StatefulProcessor):
-    """WASH_TRADE, VOLUME_SPIKE and PUMP_AND_DUMP for one symbol's stream."""
+    """WASH_TRADE, VOLUME_SPIKE and PUMP_AND_DUMP for one symbol's stream.
+
+    Each micro-batch is evaluated as arrays behind the values carried in the
+    state; Python runs per alert (and per pump baseline), not per trade."""
 
     def __init__(self, p: Params = DEFAULT):
         self.p = p
@@ -52,89 +103,72 @@ class DetectorProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.wash = handle.getListState("wash", "price double, quantity double")
         self.counts = handle.getListState("spike_counts", "n long")
-        self.recent = handle.getListState("spike_recent", "ts long")
+        self.recent = handle.getListState("spike_recent", "ts long, n long")
         self.last_alert = handle.getValueState("spike_last_alert", "ts long")
-        self.pump_state = handle.getValueState(
-            "pump", "phase string, start_price double, start_time long, peak_price double"
-        )
+        self.pump_state = handle.getValueState("pump", "base_price double, base_ms long, peak_price double, expired boolean")
 
-    # ------------------------------------------------------------ helpers
-    def _wash(self, sym, rows: pd.DataFrame, out: list) -> None:
+    def wash_alerts(self, prices: np.ndarray, quantities: np.ndarray) -> Iterator[tuple]:
+        """(row, fields of the alert)"""
         p = self.p
-        hist = [(r[0], r[1]) for r in self.wash.get()] if self.wash.exists() else []
-        prices = [h[0] for h in hist]
-        vols = [h[1] for h in hist]
-        for price, qty, ts, tid in zip(rows["price"], rows["quantity"], rows["trade_time_ms"], rows["trade_id"]):
-            prices.append(price)
-            vols.append(qty)
-            prices, vols = prices[-p.wash_frame:], vols[-p.wash_frame:]
-            if len(prices) < p.wash_warmup:
-                continue
-            high, low = max(prices), min(prices)
-            swing = (high - low) / low * 100 if low > 0 else 0.0
-            avg = _naive_mean(vols)
-            ratio = qty / avg if avg > 0 else 0.0
-            if swing >= p.wash_swing_pct and ratio >= p.wash_volume_mult:
-                text = WASH_TEXT.format(swing=swing, high=high, low=low, ratio=ratio, n=len(prices))
-                sev = "HIGH" if swing > p.wash_high_swing else "MEDIUM"
-                out.append((sym, int(tid), int(ts), "WASH_TRADE", sev, low, high, swing, ratio, text))
-        self.wash.put(list(zip(prices, vols)))
-
-    def _spike(self, sym, rows: pd.DataFrame, out: list) -> None:
+        before = _columns(self.wash, (float, float))
+        price, quantity = (Trailing(b, new, p.wash_frame) for b, new in zip(before, (prices, quantities)))
+        self.wash.put(list(zip(price.tail(), quantity.tail())))
+        high, low = price.fold(np.maximum, -np.inf), price.fold(np.minimum, np.inf)
+        swing = ratio(high - low, low) * 100
+        size = ratio(quantities, quantity.fold(np.add, 0.0) / quantity.length)
+        hit = (price.length >= p.wash_warmup) & (swing >= p.wash_swing_pct) & (size >= p.wash_volume_mult)
+        for i in np.flatnonzero(hit):
+            lo, hi, moved, times = (float(x[i]) for x in (low, high, swing, size))
+            text = WASH_TEXT.format(swing=moved, high=hi, low=lo, ratio=times, n=int(price.length[i]))
+            yield i, "WASH_TRADE", _level(moved, p.wash_high_swing), lo, hi, moved, times, text
+
+    def spike_alerts(self, prices: np.ndarray, ts: np.ndarray) -> Iterator[tuple]:
         p = self.p
-        counts = [r[0] for r in self.counts.get()] if self.counts.exists() else []
-        recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        seen = RecentCounts(*_columns(self.recent, (np.int64, np.int64)), p.spike_window_ms)
+        counts = seen.add(ts)
+        history = Trailing(_columns(self.counts, (np.int64,))[0], counts, p.spike_frame)
+        self.recent.put(list(zip(seen.at.tolist(), seen.n.tolist())))
+        self.counts.put([(n,) for n in history.tail()])
+        mean = history.fold(np.add, 0) / history.length
+        times = ratio(counts, mean)
+        candidates = np.flatnonzero((history.length >= p.spike_warmup) & (times >= p.spike_mult))
         last = self.last_alert.get()[0] if self.last_alert.exists() else 0
-        for price, ts, tid in zip(rows["price"], rows["trade_time_ms"], rows["trade_id"]):
-            recent.append(ts)
-            recent = [t for t in recent if ts - t <= p.spike_window_ms]
-            n = len(recent)
-            counts.append(n)
-            counts = counts[-p.spike_frame:]
-            if len(counts) < p.spike_warmup:
-                continue
-            avg = sum(counts) / len(counts)
-            ratio = n / avg if avg > 0 else 0.0
-            if ratio >= p.spike_mult and ts - (last or 0) > p.spike_cooldown_ms:
-                last = ts
-                text = SPIKE_TEXT.format(count=n, avg=avg, ratio=ratio)
-                sev = "HIGH" if ratio > p.spike_high_ratio else "MEDIUM"
-                out.append((sym, int(tid), int(ts), "VOLUME_SPIKE", sev, None, price, None, ratio, text))
-        self.counts.put([(int(c),) for c in counts])
-        self.recent.put([(int(t),) for t in recent])
-        if last:
-            self.last_alert.update((int(last),))
-
-    def _pump(self, sym, rows: pd.DataFrame, out: list) -> None:
-        p = self.p
-        state = tuple(self.pump_state.get()) if self.pump_state.exists() else (None, None, None, None)
-
-        def emit(r):
-            tid, ts, start_price, price, peak, rise, drop, elapsed, text = r
-            sev = "HIGH" if rise + drop > p.pump_high_sum else "MEDIUM"
-            ratio = rise / drop if drop > 0 else 0.0
-            out.append((sym, int(tid), int(ts), "PUMP_AND_DUMP", sev, start_price, price, -drop, ratio, text))
-
-        phase, sp, st, pk = self.pump.step(state, rows, emit)
-        if phase == WATCHING:
-            sp, st, pk = None, None, None
-        self.pump_state.update((phase, sp, st, pk))
+        hits = candidates[cooled(ts[candidates], last, p.spike_cooldown_ms)]
+        if len(hits):
+            self.last_alert.update((int(ts[hits[-1]]),))
+        for i in hits:
+            text = SPIKE_TEXT.format(count=int(counts[i]), avg=float(mean[i]), ratio=float(times[i]))
+            level = _level(times[i], p.spike_high_ratio)
+            yield i, "VOLUME_SPIKE", level, None, float(prices[i]), None, float(times[i]), text
+
+    def pump_alerts(self, batch: pd.DataFrame) -> Iterator[tuple]:
+        fired: list[tuple] = []
+        state = tuple(self.pump_state.get()) if self.pump_state.exists() else self.pump.initial
+        self.pump_state.update(self.pump.step(state, batch.assign(trade_id=np.arange(len(batch))), fired.append))
+        for i, _, start, price, _, rise, drop, _, text in fired:
+            times = rise / drop if drop > 0 else 0.0
+            yield i, "PUMP_AND_DUMP", _level(rise + drop, self.p.pump_high_sum), start, price, -drop, times, text
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values(
             ["trade_time_ms", "trade_id"], kind="stable", na_position="first"
         )
-        sym = key[0]
-        out: list[tuple] = []
-        self._wash(sym, batch, out)
-        self._spike(sym, batch, out)
-        self._pump(sym, batch, out)
+        if batch.empty:
+            return
+        prices, quantities = batch["price"].to_numpy(float), batch["quantity"].to_numpy(float)
+        ts, ids = batch["trade_time_ms"].to_numpy(np.int64), batch["trade_id"]
+        found = [*self.wash_alerts(prices, quantities), *self.spike_alerts(prices, ts), *self.pump_alerts(batch)]
+        out = [(key[0], None if pd.isna(ids.iloc[i]) else int(ids.iloc[i]), int(ts[i]), *fields) for i, *fields in found]
         yield pd.DataFrame.from_records(out, columns=_OUT_COLS)
 
     def close(self) -> None:
         pass
 
 
+def _level(value: float, high: float) -> str:
+    return "HIGH" if value > high else "MEDIUM"
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
