@@ -11,11 +11,10 @@ sorted and scanned by a single core. Instead:
   chunks of about ``chunk_size`` rows (adaptive to data size and cluster
   parallelism). Chunks are time ranges, so time order across chunks is
   chunk order; one millisecond of one symbol is the smallest unit.
-* ``rolling_rows`` evaluates a ROWS frame of ``frame`` rows exactly: every
-  row deeper than ``frame-1`` into its chunk is computed inside the chunk;
-  the first ``frame-1`` rows of each chunk are recomputed on a small side
-  relation holding only chunk heads plus the tails of earlier chunks
-  (at most ``2*(frame-1)`` rows per chunk).
+* ``with_frame_halo`` copies the rows that a chunk's first frames reach back
+  to (known from the unit counts: at least ``frame - 1`` rows, at most one
+  unit more) into that chunk, and ``rolling_rows`` evaluates a ROWS frame
+  there: one shuffle and one sort give exact frames, nothing is written.
 * ``recent_count`` counts trades of the last ``window_ms`` "seen so far";
   earlier chunks contribute per-millisecond counts (a bounded halo).
 
@@ -48,8 +47,7 @@ def chunk_size(grains: DataFrame, p: Params = DEFAULT) -> Column:
 
 
 def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
-    """Unit table ``(key, _grain, _ms, chunk, chunk_start_ms, next_chunk,
-    next_chunk_start_ms, _spec_halo_ms)``.
+    """Unit table ``(key, _grain, _ms)`` and ``CHUNK_COLUMNS``.
 
     A unit is a whole time grain, or — inside a grain holding more rows than
     one chunk — a single millisecond (``_ms`` set). Units are numbered into
@@ -57,6 +55,12 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     unit table, whose size is symbols x grains plus the milliseconds of hot
     grains (independent of the row count otherwise). Only one millisecond of
     one symbol is never split.
+
+    A chunk's *cut* is the start of the latest unit that leaves at least
+    ``frame - 1`` rows between it and the chunk (the longer of the two
+    frames): ``halo_chunks`` names the later chunks that get a copy of a
+    unit's rows (usually none or one), ``next_cut`` the first cut behind the
+    unit and the chunks it belongs to.
     """
     grain = F.floor(F.col(ts) / F.lit(p.grain_ms))
     # the grain table is small; materialised so the checks below are cheap
@@ -77,16 +81,24 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
     units = units.withColumn("_hi", F.col("_lo") + F.when(F.col("_ms").isNull(), F.lit(p.grain_ms)).otherwise(1))
     wk = Window.partitionBy(key).orderBy("_lo")
     before = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    u = units.withColumn("chunk", F.floor(before / size).cast("bigint"))
+    h = max(p.wash_frame, p.spike_frame) - 1
+    u = units.withColumn("_before", before.cast("bigint")).withColumn("chunk", F.floor(F.col("_before") / size).cast("bigint"))
+    reach = Window.partitionBy(key).orderBy("_before").rangeBetween(Window.unboundedPreceding, -h)
+    u = u.withColumn("_cut", F.coalesce(F.max("_lo").over(reach), F.lit(NO_CUT)))
     # one row per chunk; its successor is the next row
     chunks = u.groupBy(key, "chunk").agg(
-        F.min("_lo").alias("chunk_start_ms"), F.max("_hi").alias("_end"), F.sum("_cnt").alias("_rows")
+        F.min("_lo").alias("chunk_start_ms"),
+        F.max("_hi").alias("_end"),
+        F.sum("_cnt").alias("_rows"),
+        F.min("_cut").alias("_chunk_cut"),
     )
     wc = Window.partitionBy(key).orderBy("chunk")
     # speculative look-back for sequential folds: seq_halo_ms, but no more
     # than about seq_halo_rows rows at this chunk's density
     span = F.col("_end") - F.col("chunk_start_ms")
     halo = F.least(F.lit(p.seq_halo_ms), F.greatest(F.lit(1), F.floor(span * F.lit(p.seq_halo_rows) / F.col("_rows"))))
+    # a chunk has a row at least, so only the next h chunks can reach back into one
+    later = F.collect_list(F.struct(F.col("chunk").alias("c"), F.col("_chunk_cut").alias("cut"))).over(wc.rowsBetween(1, max(h, 1)))
     chunks = chunks.select(
         key,
         "chunk",
@@ -94,11 +106,24 @@ def plan_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts:
         F.lead("chunk").over(wc).alias("next_chunk"),
         F.lead("chunk_start_ms").over(wc).alias("next_chunk_start_ms"),
         halo.cast("bigint").alias("_spec_halo_ms"),
+        "_chunk_cut",
+        F.filter(later, lambda x: x["cut"] < F.col("_end")).alias("_later"),
+    )
+    cuts = chunks.where(F.col("_chunk_cut") != NO_CUT).groupBy(key, F.col("_chunk_cut").alias("_lo")).agg(
+        F.sort_array(F.collect_list("chunk")).alias("_of")
+    )
+    after = Window.partitionBy(key).orderBy(F.col("_lo").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    marked = u.select(key, "_grain", "_ms", "_lo", "chunk").join(cuts, [key, "_lo"], "left").withColumn(
+        "next_cut", F.min(F.when(F.col("_of").isNotNull(), F.struct(F.col("_lo").alias("ms"), F.col("_of").alias("chunks")))).over(after)
     )
-    return u.select(key, "_grain", "_ms", "chunk").join(chunks, [key, "chunk"])
+    reached = F.transform(F.filter("_later", lambda x: x["cut"] <= F.col("_lo")), lambda x: x["c"])
+    out = marked.join(chunks, [key, "chunk"]).withColumn("halo_chunks", F.when(F.size(reached) > 0, reached))
+    return out.select(key, "_grain", "_ms", *CHUNK_COLUMNS)
 
 
-CHUNK_COLUMNS = ["chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms", "_spec_halo_ms"]
+#: Cut of a chunk that has fewer than a frame of rows ahead of it: all of them.
+NO_CUT = -(1 << 62)
+CHUNK_COLUMNS = ["chunk", "chunk_start_ms", "next_chunk", "next_chunk_start_ms", "_spec_halo_ms", "halo_chunks", "next_cut"]
 
 
 def assign_chunks(trades: DataFrame, p: Params = DEFAULT, key: str = "symbol", ts: str = "trade_time_ms") -> DataFrame:
@@ -135,71 +160,36 @@ def with_halo_copies(df: DataFrame, is_halo: Column, chunk: str = "chunk") -> Da
 AggBuilder = Callable[[Window], list[Column]]
 
 
+def with_frame_halo(df: DataFrame, chunk: str = "chunk") -> DataFrame:
+    """Every row in its own chunk (``_copy`` false) and once more in each
+    chunk whose frames reach back to it (``_copy`` true, ``halo_chunks``)."""
+    own = F.array(F.col(chunk))
+    everywhere = F.when(F.col("halo_chunks").isNull(), own).otherwise(F.concat(own, "halo_chunks"))
+    out = df.withColumn("_own_chunk", F.col(chunk)).withColumn("_to", F.explode(everywhere))
+    return out.withColumn("_copy", F.col("_to") != F.col("_own_chunk")).withColumn(chunk, F.col("_to")).drop("_to", "_own_chunk")
+
+
 def rolling_rows(
-    df: DataFrame,
+    copies: DataFrame,
     frame: int,
     aggs: AggBuilder,
     key: str = "symbol",
     chunk: str = "chunk",
     order: tuple[str, ...] = ORDER,
 ) -> DataFrame:
-    """Add ``aggs(w)`` evaluated over the last ``frame`` rows (current included)
-    of each key in ``order``, exactly as one window per key would, but with
-    parallelism per (key, chunk). ``df`` must carry a time-ordered ``chunk``.
+    """Add ``aggs(w)`` over the last ``frame`` rows (current included) of each
+    key in ``order``, exactly as one window per key would for every row that
+    is no copy, in parallel per (key, chunk). ``copies`` comes from
+    ``with_frame_halo``: each chunk holds the rows its first frames need, so
+    one shuffle and one sort do; drop the copies when all frames are there.
     """
-    h = frame - 1
-    base_cols = df.columns
-    part = Window.partitionBy(key, chunk)
-    ordered = part.orderBy(*order)
-    # one sort per chunk computes position, chunk size and the frame
-    # aggregates; it is materialised once because both the interior rows and
-    # the (small) edge set are read from it
-    a = cut_lineage(
-        df.select(
-            "*",
-            F.row_number().over(ordered).alias("_rn"),
-            F.count(F.lit(1)).over(part).alias("_n"),
-            *aggs(ordered.rowsBetween(-h, 0)),
-        ),
-        "rolling",
-    )
-    agg_names = [c for c in a.columns if c not in (*base_cols, "_rn", "_n")]
-    # rows at least `frame` deep into their chunk: the chunk window is exact
-    interior = a.where(F.col("_rn") > h).select(*base_cols, *agg_names)
-    if h == 0:
-        return interior
-
-    # chunk heads need rows of earlier chunks; heads and tails are small
-    edges = a.where((F.col("_rn") <= h) | (F.col("_n") - F.col("_rn") < h)).select(*base_cols, "_rn", "_n")
-    sizes = edges.groupBy(key, chunk).agg(F.max("_n").alias("_n"))
-    wk = Window.partitionBy(key).orderBy(chunk)
-    sizes = sizes.withColumn(
-        "_base", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint")
-    ).withColumn("_next", F.collect_list(F.struct(F.col(chunk).alias("c"), F.col("_base").alias("b"))).over(
-        wk.rowsBetween(1, h)
-    ))
-    e = edges.join(sizes.select(key, chunk, "_base", "_next"), [key, chunk]).withColumn(
-        "_seq", F.col("_base") + F.col("_rn") - 1
-    )
-    own = e.select(*base_cols, "_rn", "_seq", F.col(chunk).alias("_target"), F.lit(False).alias("_halo"))
-    halo = e.select(
-        *base_cols,
-        "_rn",
-        "_seq",
-        F.explode(F.filter("_next", lambda x: x["b"] - F.col("_seq") <= h)).alias("_t"),
-    ).select(*base_cols, "_rn", "_seq", F.col("_t.c").alias("_target"), F.lit(True).alias("_halo"))
-    fix_w = Window.partitionBy(key, "_target").orderBy("_seq").rowsBetween(-h, 0)
-    heads = (
-        own.unionByName(halo)
-        .select(*base_cols, "_rn", "_halo", *aggs(fix_w))
-        .where(~F.col("_halo") & (F.col("_rn") <= h))
-        .drop("_rn", "_halo")
-    )
-    return interior.unionByName(heads)
+    w = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(1 - frame, 0)
+    return copies.select("*", *aggs(w))
 
 
 def recent_count(
-    df: DataFrame,
+    copies: DataFrame,
+    trades: DataFrame,
     window_ms: int,
     out: str = "recent_count",
     key: str = "symbol",
@@ -208,42 +198,40 @@ def recent_count(
     order: tuple[str, ...] = ORDER,
 ) -> DataFrame:
     """Trades of the same key with ``ts >= ts_i - window_ms`` that come at or
-    before row i in ``order`` (row i included).
-
-    Inside a chunk: ``running count - rows with ts <= ts_i - window_ms - 1``
-    (a RANGE frame alone would also count later rows with the same ms).
-    Earlier chunks contribute through *per-millisecond counts* of their last
-    ``window_ms``: each later chunk starting within ``window_ms`` receives
-    them, at most ``window_ms`` rows per chunk whatever the trade density
-    (copying raw trades would not be bounded in a dense burst). A
-    millisecond never straddles two chunks, so nothing is counted twice.
+    before row i in ``order`` (row i included), for every row of ``copies``
+    (``with_frame_halo`` of ``trades``).
+
+    Inside a chunk and its copies, which begin at the chunk's cut: ``running
+    count - rows with ts <= ts_i - window_ms - 1`` (a RANGE frame alone would
+    also count later rows with the same ms). What lies before the cut
+    contributes *per-millisecond counts* of the last ``window_ms``: at most
+    ``window_ms`` rows per chunk whatever the trade density (copying raw
+    trades would not be bounded in a dense burst). A millisecond never
+    straddles a cut, so nothing is counted twice.
     """
     w = F.lit(window_ms)
-    base_cols = df.columns
-    tail = df.where(F.col("next_chunk").isNotNull() & (F.col(ts) >= F.col("next_chunk_start_ms") - w))
-    # a millisecond lies in one chunk, so it has one next chunk
-    per_ms = tail.groupBy(key, F.col(ts).alias("_hts"), "next_chunk", "next_chunk_start_ms").agg(
-        F.count(F.lit(1)).alias("_hcnt")
-    )
-    # Every chunk that can receive counts is the next chunk of some tail row
-    # (the last rows before it are within its window), so the chunk starts
-    # come from the small aggregated tail, not from a pass over all rows.
-    starts = per_ms.select(key, F.col("next_chunk").alias(chunk), F.col("next_chunk_start_ms").alias("chunk_start_ms"))
-    starts = starts.distinct().withColumn("_b", F.floor(F.col("chunk_start_ms") / w))
-    # later chunks starting in (ms, ms + window]: equi-join on window-sized buckets
+    base_cols = copies.columns
+    tail = trades.where(F.col("next_cut").isNotNull() & (F.col(ts) >= F.col("next_cut.ms") - w))
+    # a millisecond lies in one unit, so it has one next cut
+    per_ms = tail.groupBy(key, F.col(ts).alias("_hts"), "next_cut").agg(F.count(F.lit(1)).alias("_hcnt"))
+    # Every cut that can receive counts is the next cut of some tail row (the
+    # last rows before it are within its window), so the cuts come from the
+    # small aggregated tail, not from a pass over all rows.
+    cuts = per_ms.select(key, "next_cut").distinct()
+    cuts = cuts.select(key, F.col("next_cut.ms").alias("_cut"), F.explode("next_cut.chunks").alias(chunk))
+    cuts = cuts.withColumn("_b", F.floor(F.col("_cut") / w))
+    # cuts in (ms, ms + window]: equi-join on window-sized buckets
     bucket = F.floor(F.col("_hts") / w)
     per_ms = per_ms.select(key, "_hts", "_hcnt", F.explode(F.array(bucket, bucket + 1)).alias("_b"))
-    halo = per_ms.join(starts, [key, "_b"]).where(
-        (F.col("chunk_start_ms") > F.col("_hts")) & (F.col("chunk_start_ms") <= F.col("_hts") + w)
-    )
+    halo = per_ms.join(cuts, [key, "_b"]).where((F.col("_cut") > F.col("_hts")) & (F.col("_cut") <= F.col("_hts") + w))
     halo = halo.select(key, chunk, F.col("_hts").alias(ts), "_hcnt", F.lit(0).alias("_own"))
-    own = df.select("*", F.lit(0).cast("bigint").alias("_hcnt"), F.lit(1).alias("_own"))
+    own = copies.select("*", F.lit(0).cast("bigint").alias("_hcnt"), F.lit(1).alias("_own"))
     both = own.unionByName(halo, allowMissingColumns=True)
     rows_w = Window.partitionBy(key, chunk).orderBy(*order)
     range_w = Window.partitionBy(key, chunk).orderBy(ts)
     running = F.sum("_own").over(rows_w.rowsBetween(Window.unboundedPreceding, 0))
     older = F.coalesce(F.sum("_own").over(range_w.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))), F.lit(0))
-    # halo rows all lie before the chunk: those still inside the window are all but the older ones
+    # halo rows all lie before the cut: those still inside the window are all but the older ones
     halo_total = F.sum("_hcnt").over(Window.partitionBy(key, chunk))
     halo_older = F.coalesce(F.sum("_hcnt").over(range_w.rangeBetween(Window.unboundedPreceding, -(window_ms + 1))), F.lit(0))
     carried = halo_total - halo_older

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import guarded_div, pct_of
-from candlewick.operators.chunks import assign_chunks, recent_count, rolling_rows
+from candlewick.operators.chunks import assign_chunks, recent_count, rolling_rows, with_frame_halo
 from candlewick.params import DEFAULT, Params
 
 
@@ -42,16 +42,21 @@ def _spike_derived(f: DataFrame) -> DataFrame:
     return f.withColumn("spike_ratio", guarded_div(F.col("recent_count").cast("double"), F.col("avg_count")))
 
 
+def _counted(trades: DataFrame, p: Params) -> DataFrame:
+    """The rows of every chunk and its halo with their 10 s counts."""
+    t = with_chunks(trades, p)
+    return recent_count(with_frame_halo(t), t, p.spike_window_ms)
+
+
+def _no_copies(f: DataFrame) -> DataFrame:
+    return f.where(~F.col("_copy")).drop("_copy", "halo_chunks", "next_cut")
+
+
 def all_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Wash and spike features in one pass: the 10 s count needs its own
-    window, then one sort per chunk evaluates both 60-trade frames (two
-    chained passes when the frame lengths differ)."""
-    c = recent_count(with_chunks(trades, p), p.spike_window_ms)
-    if p.wash_frame == p.spike_frame:
-        f = rolling_rows(c, p.wash_frame, lambda w: _wash_aggs(w) + _spike_aggs(w))
-    else:
-        f = rolling_rows(rolling_rows(c, p.wash_frame, _wash_aggs), p.spike_frame, _spike_aggs)
-    return _spike_derived(_wash_derived(f))
+    window, and the same sort per chunk evaluates both 60-trade frames."""
+    f = rolling_rows(rolling_rows(_counted(trades, p), p.wash_frame, _wash_aggs), p.spike_frame, _spike_aggs)
+    return _spike_derived(_wash_derived(_no_copies(f)))
 
 
 def wash_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -61,7 +66,8 @@ def wash_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     ``low``, ``avg_quantity``, ``swing_pct`` ((high-low)/low*100, 0 if
     low <= 0) and ``quantity_ratio`` (quantity/avg, 0 if avg <= 0).
     """
-    return _wash_derived(rolling_rows(with_chunks(trades, p), p.wash_frame, _wash_aggs))
+    copies = with_frame_halo(with_chunks(trades, p))
+    return _wash_derived(_no_copies(rolling_rows(copies, p.wash_frame, _wash_aggs)))
 
 
 def spike_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -72,5 +78,4 @@ def spike_features(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     ``spike_frame``), ``avg_count`` (mean of the last ``spike_frame``
     snapshots) and ``spike_ratio`` (recent/avg, 0 if avg <= 0).
     """
-    c = recent_count(with_chunks(trades, p), p.spike_window_ms)
-    return _spike_derived(rolling_rows(c, p.spike_frame, _spike_aggs))
+    return _spike_derived(_no_copies(rolling_rows(_counted(trades, p), p.spike_frame, _spike_aggs)))

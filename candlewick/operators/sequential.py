@@ -170,6 +170,8 @@ def run_sequential(
             break
         log.info("%s: round %d re-folds chunks whose assumed incoming state was wrong", rule.name, rnd + 1)
         rnd += 1
+        if rnd == 2:  # more than a single correction: later rounds read the rows instead of computing them again
+            own_rows = cut_lineage(own_rows, rule.name + "-rows")
         # re-fold only the wrong chunks, from their true incoming state
         starts = bad.select(key, "chunk", *[F.col("exp_" + n).alias("in_" + n) for n in names])
         rerun = own_rows.join(starts, [key, "chunk"])

@@ -3,11 +3,9 @@
 import datetime as dt
 import re
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
+import pytest
 
 from candlewick.operators import candles as C
-from candlewick.operators import chunks as CH
 from candlewick.operators import features as FE
 from candlewick.operators import ingest as I
 from candlewick.plans import serving as SV
@@ -33,19 +31,28 @@ def test_scan_reads_only_needed_columns(spark):
     assert "user_id" not in plan.split("ReadSchema")[1].split("\n")[0]
 
 
-def test_feature_pass_is_one_exchange_one_sort(spark):
-    t = CH.assign_chunks(load_trades(spark, SF_SMALL))
-    c = CH.recent_count(t, 10_000)
-    o = Window.partitionBy("symbol", "chunk").orderBy("trade_time_ms", "trade_id")
-    fr = o.rowsBetween(-59, 0)
-    df = c.select("*", *(FE._wash_aggs(fr) + FE._spike_aggs(fr)))
-    plan = plan_of(df)
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_feature_pass_is_one_exchange_one_sort(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        plan = plan_of(FE.all_features(load_trades(spark, SF_SMALL)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     full = re.findall(r"Exchange hashpartitioning\(symbol#\d+, chunk#\d+L, \d+\)", plan)
-    assert len(full) == 1  # the only full-data shuffle; the count halo side is per-millisecond aggregates
+    assert len(full) == 1  # rows, copies and 10 s counts of a chunk meet once
     # one sort of the rows; the small per-millisecond halo side may add its own
     assert len(re.findall(r"Sort \[symbol#\d+ ASC NULLS FIRST, chunk#\d+L ASC NULLS FIRST, trade_time_ms", plan)) == 1
 
 
+def test_features_write_no_rows(spark):
+    from candlewick import session
+
+    session.release_scratch(spark)
+    FE.all_features(load_trades(spark, SF_SMALL))
+    assert {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session._SCRATCH} <= {"grains", "chunk-plan"}
+
+
 def test_per_symbol_top_k_is_a_group_limit(spark):
     alerts = read_table(spark, SF_SMALL, "events").selectExpr(
         "event_type AS symbol", "event_id AS trade_id", "ts AS detected_at", "'WASH_TRADE' AS pattern_type",
