@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import NOT_PLAIN, PLAIN_LETTERS, pick
-from candlewick.session import ensure_checkpoint_dir, ship_package
+from candlewick.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
 END_ID = 1
 CACHE_WORDS = 300_000
@@ -191,7 +191,8 @@ def read_documents(spark: SparkSession, path: str, doc_ids: list | None = None)
     rows = spark.read.orc(path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     line = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    bases = totals.select("part", F.coalesce(F.sum("total").over(line), F.lit(0)).alias("base"))
+    # written once, so Spark knows its size and moves no ids to it while it is under the broadcast threshold
+    bases = cut_lineage(totals.select("part", F.coalesce(F.sum("total").over(line), F.lit(0)).alias("base")), "orc-bases")
     if doc_ids is not None:
         rows = rows.where(F.col("doc_id").isin(doc_ids))
     return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
