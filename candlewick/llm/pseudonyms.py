@@ -21,7 +21,10 @@ invert them.
   its two-digit notation)
 * e-mail addresses: letters and digits in place; the top-level domain stays
 
-A value that its format's check rejects is left alone.
+Numbers, codes or dates beside a value do not hide it: each start and each
+end at a separator is checked, the longest first. A value that its format's
+check rejects is left alone. A pseudonym that would be read together with its
+neighbours is walked on to one that is not; only such a value need not link.
 """
 
 from __future__ import annotations
@@ -45,16 +48,25 @@ KINDS = ("email", "iban", "date", "ssn", "ip", "phone", "card")
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to 2099-12-31
 
 #: Shapes to check; digits that continue a longer number are not taken.
-SHAPES = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<date>(?<![0-9./-])(?:[0-9]{4}([-/])[0-9]{2}\4[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\5[0-9]{4})(?![0-9]|[./-][0-9]))"
-    r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))"
-    r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))"
-    r"|(?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9]))"
-    r"|(?P<card>(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"
+FORMS = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}(?P<ymd>[-/])[0-9]{2}(?P=ymd)[0-9]{2}|[0-9]{1,2}(?P<dmy>[./])[0-9]{1,2}(?P=dmy)[0-9]{4})(?![0-9]|[./-][0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
+    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+}
+SHAPES = re.compile("|".join(f"(?:{FORMS[k]})" for k in KINDS))
+FORM = {k: re.compile(v) for k, v in FORMS.items()}
+#: Kinds whose shape may take in the words or numbers that follow.
+OPEN_ENDED = ("iban", "phone", "card")
+#: The groupings that cards are printed in.
+PRINTED_CARD = re.compile(
+    r"(?<![0-9+])(?:[0-9]{13,19}|[0-9]{4}(?P<four>[ -])[0-9]{4}(?P=four)[0-9]{4}(?P=four)[0-9]{4}(?:(?P=four)[0-9]{1,3})?|[0-9]{4}(?P<six>[ -])[0-9]{6}(?P=six)[0-9]{4,5})(?![0-9])"
 )
-
+REACH = 150  # longer than any candidate but an e-mail address, whose shape has no further check
+LONGEST = 700  # longer than any candidate
 
 def luhn_total(digits: str) -> int:
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits))))
@@ -218,22 +230,115 @@ class Pseudonymiser:
         shape = re.sub("[0-9]", "0", re.sub("[A-Za-z]", "a", head))
         return _refill(head, _unmixed(self.net.permute(value, size, "email" + shape, back), plain)) + "." + top
 
+    def _ends(self, kind: str, text: str, start: int) -> Iterator[int]:
+        """Where a candidate of this shape may end: the longest first, then
+        before each separator inside it."""
+        m = FORM[kind].match(text, start)
+        if m is None:
+            return
+        yield m.end()
+        if kind in OPEN_ENDED:
+            for end in range(m.end() - 1, start, -1):
+                if text[end] in " .-(" and text[end - 1] not in " .-(" and FORM[kind].fullmatch(text, start, end):
+                    yield end
+
+    def _inside(self, kind: str, text: str, start: int, longest: int, back: bool) -> list[tuple[int, int]]:
+        """Valid dates (and cards as printed, unless this is one) that start
+        inside a candidate."""
+        own = kind == "card" and PRINTED_CARD.match(text, start)
+        out = []
+        for p in range(start + 1, longest):
+            if text[p - 1] not in " .-)" or not text[p].isdigit():
+                continue
+            m = FORM["date"].match(text, p)
+            if m and self.cached("date", m.group(), back) is not None:
+                out.append((p, m.end()))
+            elif not own and (m := PRINTED_CARD.match(text, p)):
+                ends = [e for e in self._ends("card", text, p) if e <= m.end()]
+                out += [(p, e) for e in ends if PRINTED_CARD.fullmatch(text, p, e) and self.cached("card", text[p:e], back) is not None][:1]
+        return out
+
+    def _candidates(self, kind: str, text: str, start: int, back: bool) -> Iterator[int]:
+        """Ends in the order they are tried. A phone or card cuts through no
+        date or card that starts inside it; a phone that holds a whole one
+        comes last, a card that holds one is none."""
+        ends = list(self._ends(kind, text, start))
+        if kind not in ("phone", "card") or not ends:
+            yield from ends
+            return
+        inside = self._inside(kind, text, start, ends[0], back)
+        whole = []
+        for end in ends:
+            held = [q for p, q in inside if p < end]
+            if not held:
+                yield end
+            elif kind == "phone" and max(held) <= end:
+                whole.append(end)
+        yield from whole
+
+    def _next(self, text: str, at: int, back: bool) -> tuple[str, int, int] | None:
+        """The first valid value from ``at`` on: kind, start and end. After a
+        start without one the search goes on at the next token."""
+        while m := SHAPES.search(text, at):
+            start = m.start()
+            for kind in KINDS:
+                for end in self._candidates(kind, text, start, back):
+                    if self.cached(kind, text[start:end], back) is not None:
+                        return kind, start, end
+            at = start + 1
+        return None
+
+    def _same_reading(self, parts: list[str], kinds: list[str], n: int, back: bool) -> bool:
+        """Whether value ``n`` and those just before it are found again as
+        they are. ``parts`` are the gaps and values in turn."""
+        left = 2 * n
+        size = len(parts[left])
+        while left and size < REACH:
+            left -= 2
+            size += len(parts[left]) + len(parts[left + 1])
+        gap, before = parts[left], parts[left - 1][-1:] if left else ""
+        if len(gap) > REACH:
+            gap, before = gap[-REACH:], gap[-REACH - 1]
+        right, size = [], 0
+        for part in parts[2 * n + 2 :]:
+            right.append(part[:LONGEST])
+            size += len(right[-1])
+            if size >= LONGEST:
+                break
+        text = "".join([before, gap, *parts[left + 1 : 2 * n + 2], *right])
+        at = len(before)
+        start = at + len(gap)
+        for i in range(left // 2, n + 1):
+            end = start + len(parts[2 * i + 1])
+            if self._next(text, at, back) != (kinds[i], start, end):
+                return False
+            at, start = end, end + len(parts[2 * i + 2])
+        return True
+
     def rewrite(self, text: str, back: bool = False) -> tuple[str, dict[str, int]]:
         """The text with every valid value replaced, and how many by kind.
-        Invalid candidates stay; a failed e-mail or IBAN shape is not searched
-        again inside."""
-        counts: dict[str, int] = {}
+        Invalid candidates stay.
 
-        def swap(m: re.Match) -> str:
-            kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m.group(k) is not None)
-            new = self.cached(kind, m.group(), back)
-            if new is None:
-                return m.group()
+        A pseudonym beside other digits or capitals could be read with them as
+        another value; it is walked on to one that is read alone, so the
+        values found in the new text are those replaced and can be inverted
+        (last one first).
+        """
+        counts: dict[str, int] = {}
+        parts, kinds, at = [], [], 0
+        while found := self._next(text, at, back):
+            kind, start, end = found
+            parts += [text[at:start], text[start:end]]
+            kinds.append(kind)
             counts[kind] = counts.get(kind, 0) + 1
-            return new
-
-        return SHAPES.sub(swap, text), counts
-
+            at = end
+        parts.append(text[at:])
+        for n in reversed(range(len(kinds))) if back else range(len(kinds)):
+            while True:
+                parts[2 * n + 1] = self.cached(kinds[n], parts[2 * n + 1], back)
+                if self._same_reading(parts, kinds, n, back):
+                    break
+        return "".join(parts), counts
 
 @lru_cache(maxsize=2)
 def _tool(key: str) -> Pseudonymiser:

@@ -361,6 +361,43 @@ def test_pseudonyms(spark):
     assert pseudonyms.Pseudonymiser("other").rewrite(TEXTS[0])[0] != new[0][0]
 
 
+BESIDE = [
+    ("4111 1111 1111 1111", "4111 1111 1111 1111 12/25", {"card": 1}),
+    ("4111 1111 1111 1111", "4111 1111 1111 1111 123", {"card": 1}),
+    ("4111 1111 1111 1111", "7 4111 1111 1111 1111", {"card": 1}),
+    ("4111-1111-1111-1111", "no 12-4111-1111-1111-1111-12", {"card": 1}),
+    ("3782 822463 10005", "3782 822463 10005 1234", {"card": 1}),
+    ("4111 1111 1111 1111", "+1 4111 1111 1111 1111", {"card": 1}),
+    ("ES91 2100 0418 4502 0005 1332", "ES91 2100 0418 4502 0005 1332 BIC", {"iban": 1}),
+    ("AT61 1904 3002 3457 3201", "AT61 1904 3002 3457 3201 BIC", {"iban": 1}),
+    ("AT61 1904 3002 3457 3201", "XX12 AT61 1904 3002 3457 3201 BIC ABCD", {"iban": 1}),
+    ("+1 212 555 0123", "+1 212 555 0123 2024-01-05", {"phone": 1, "date": 1}),
+    ("2024-01-05", "+1 212 555 0123 2024-01-05", {"phone": 1, "date": 1}),
+    ("2024-01-05", "+49 30 123456 2024-01-05", {"phone": 1, "date": 1}),
+    ("+1 212 555 0123", "+1 212 555 0123 4111 1111 1111 1111", {"phone": 1, "card": 1}),
+    ("4111 1111 1111 1111", "+1 212 555 0123 4111 1111 1111 1111", {"phone": 1, "card": 1}),
+    ("+1 212 555 0123", "+1 212 555 0123 12345 items", {"phone": 1}),
+]
+
+
+@pytest.mark.parametrize("key", [f"k{i}" for i in range(40)])
+def test_pseudonyms_of_values_beside_others(key):
+    tool = pseudonyms.Pseudonymiser(key)
+    for value, text, kinds in BESIDE:
+        new, counts = tool.rewrite(text)
+        assert counts == kinds and value not in new, text
+        assert tool.rewrite(new)[1] == kinds and tool.rewrite(new, back=True) == (text, kinds), text
+
+
+def test_pseudonyms_of_dense_texts_invert():
+    rng, tool = random.Random(11), pseudonyms.Pseudonymiser("dense")
+    some = [v for v, _, _ in BESIDE] + ["12", "2024", "7", "BIC", "ABCD", "XX12", "38.20.168.16", "a.b@c.org", "123-45-6789", "x", "12/25", "4111", "+49"]
+    for _ in range(300):
+        text = "".join(rng.choice(some) + rng.choice("    -.\n,") for _ in range(rng.randrange(1, 14)))
+        new, counts = tool.rewrite(text)
+        assert tool.rewrite(new, back=True) == (text, counts), text
+
+
 def test_date_pseudonyms_invert_and_stay_distinct():
     import datetime
 
