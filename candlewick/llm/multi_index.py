@@ -12,8 +12,10 @@ and the entries of those cells are ranked again by the exact inner product.
   found by brute force over all entries, and the number of entries to visit is
   the smallest that finds ``recall`` of them. On data without structure this
   is a large share of all entries; on clustered data it is small.
-* Work is dealt by (first codeword group, entry block); a block holds a bounded
-  number of entries whatever the cell sizes, and returns each query's best.
+* Work is dealt by (entry block, query block), both of a bounded size: cells in
+  order are cut into blocks of entries (a large cell into several), a query
+  goes, with its cells there, only to blocks that hold entries of its cells,
+  and each block returns each query's best.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from candlewick.llm.common import pick
 from candlewick.session import cut_lineage, ship_package
 
 CODEWORDS, SAMPLE, PROBES, RECALL = 64, 8192, 64, 0.95
-SHARDS, BLOCK_ENTRIES, QUERY_STEP = 8, 20_000, 256
+SHARDS, BLOCK_ENTRIES, BLOCK_QUERIES, QUERY_STEP = 8, 20_000, 20_000, 256
+PLAN_ROWS = 2048  # rows of a query's vector and cells sent on at a time
 NEAR = 1e-9  # scores this close are computed again row by row before ranking
 
 
@@ -138,8 +141,7 @@ def nearest_neighbours(
     fine, width = usable_vectors(vectors, id_col, vector_col)
     wanted = fine.where(F.pmod("vec_id", F.lit(every)) == 0) if queries is None else usable_vectors(queries, id_col, vector_col)[0].where(F.size("v") == width)
     wanted = wanted.dropDuplicates(["vec_id"])
-    by_hash = F.xxhash64("vec_id")
-    fit = fine.orderBy(by_hash, "vec_id").limit(sample).collect()  # a bounded top-k, not a sort
+    fit = fine.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()  # a bounded top-k, not a sort
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     if not fit:
         return spark.createDataFrame([], schema).withColumn("rank", F.row_number().over(ranked)).select("query_id", "rank", "vec_id", "score")
@@ -155,37 +157,9 @@ def nearest_neighbours(
 
     entries = cut_lineage(fine.mapInArrow(index, "vec_id long, v array<double>, one int, two int"), "multi-index")
     sizes = {(r["one"], r["two"]): r["n"] for r in entries.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).collect()}  # codewords^2
-    total = sum(sizes.values())
+    wanted = cut_lineage(wanted, "multi-index-queries")
     enough = calibrated(entries, wanted, book.value, sizes, width, k, recall, probes)
-    shared = spark.sparkContext.broadcast((sizes, enough))
-    shard = F.pmod(F.col("one"), F.lit(SHARDS))
-    blocks = max(1, -(-total // (SHARDS * BLOCK_ENTRIES)))
-
-    def plan(batches):
-        held, visit = shared.value
-        for batch in batches:
-            points = _matrix(batch.column("v"), width)
-            ids, shards, masks, rows = [], [], [], []
-            for n, (q, point) in enumerate(zip(batch.column("vec_id").to_pylist(), points)):
-                seen, left = {}, visit
-                for one, two in book.value.traverse(point):
-                    size = held.get((one, two), 0)
-                    if size:
-                        seen.setdefault(one % SHARDS, []).append(one << 16 | two)
-                        left -= size
-                        if left <= 0:
-                            break
-                for s, cells in seen.items():
-                    ids.append(q), shards.append(s), masks.append(cells), rows.append(n)
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(shards, pa.int32()), pa.array(masks, pa.list_(pa.int32())), batch.column("v").take(pa.array(rows))],
-                    names=["query_id", "shard", "cells", "q"],
-                )
-
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    asked = wanted.mapInArrow(plan, "query_id long, shard int, cells array<int>, q array<double>").withColumn("block", every_block)
-    dealt = entries.select("vec_id", "v", F.shiftleft("one", 16).bitwiseOR(F.col("two")).alias("cell"), shard.alias("shard"), F.pmod(by_hash, F.lit(blocks)).cast("int").alias("block"))
+    dealt, asked = deal(entries, wanted, book, sizes, enough, width)
 
     def rerank(own: pa.Table, queries_: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
@@ -193,22 +167,81 @@ def nearest_neighbours(
             ids, cell = own.column("vec_id").to_numpy(), own.column("cell").to_numpy()
             points = _matrix(own.column("v"), width)
             kinds, of = np.unique(cell, return_inverse=True)
-            asked_ids, lists = queries_.column("query_id").to_numpy(), queries_.column("cells").to_pylist()
+            asked_ids, lists = queries_.column("query_id").to_numpy(), queries_.column("cells").combine_chunks()
+            cells, cuts = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             asked_points = _matrix(queries_.column("q"), width)
             for start in range(0, len(asked_ids), QUERY_STEP):
                 some = slice(start, start + QUERY_STEP)
                 rough = asked_points[some] @ points.T
-                for n, (q, cells) in enumerate(zip(asked_ids[some].tolist(), lists[some])):
-                    rough[n][~np.isin(kinds, cells)[of]] = -np.inf
+                for n, q in enumerate(asked_ids[some].tolist()):
+                    own_cells = cells[cuts[start + n] : cuts[start + n + 1]]
+                    rough[n][~np.isin(kinds, own_cells)[of]] = -np.inf
                     got, score = top_rows(points, ids, asked_points[start + n], rough[n], k, q)
                     out_q.append(np.full(len(got), q)), out_v.append(got), out_s.append(score)
         flat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
         return pa.table({"query_id": flat(out_q, np.int64), "vec_id": flat(out_v, np.int64), "score": flat(out_s, float)})
 
-    found = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(rerank, schema)
+    both = ("block", "query_block")
+    found = dealt.groupBy(*both).cogroup(asked.groupBy(*both)).applyInArrow(rerank, schema)
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def deal(entries: DataFrame, wanted: DataFrame, book, sizes: dict, enough: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Entries (``block, query_block, vec_id, v, cell``) and queries (``block,
+    query_block, query_id, cells, q``) of each group of work: about
+    ``BLOCK_ENTRIES`` entries and ``BLOCK_QUERIES`` queries at most. Cells lie
+    in order on a line of all entries that is cut into blocks of equal length;
+    a cell's entries are spread over its part of the line by their id's hash."""
+    spark = entries.sparkSession
+    total, plan_rows = sum(sizes.values()), PLAN_ROWS
+    length = -(-total // (SHARDS * max(1, -(-total // (SHARDS * BLOCK_ENTRIES)))))
+    query_blocks = max(1, -(-wanted.count() // BLOCK_QUERIES))
+    line, before = {}, 0
+    for cell, n in sorted(sizes.items()):
+        line[cell] = (before, n)
+        before += n
+    shared = spark.sparkContext.broadcast((line, enough))
+
+    def plan(batches):
+        held, visit = shared.value
+        for batch in batches:
+            points = _matrix(batch.column("v"), width)
+            ids, blocks, groups, masks, rows = [], [], [], [], []
+
+            def sent():
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(blocks, pa.int32()), pa.array(groups, pa.int32()), pa.array(masks, pa.list_(pa.int32())), batch.column("v").take(pa.array(rows))],
+                    names=["query_id", "block", "query_block", "cells", "q"],
+                )
+
+            for n, (q, group, point) in enumerate(zip(batch.column("vec_id").to_pylist(), batch.column("query_block").to_pylist(), points)):
+                seen, left = {}, visit
+                for one, two in book.value.traverse(point):
+                    start, size = held.get((one, two), (0, 0))
+                    if size:
+                        for block in range(start // length, (start + size - 1) // length + 1):
+                            seen.setdefault(block, []).append(one << 16 | two)
+                        left -= size
+                        if left <= 0:
+                            break
+                for block, cells in seen.items():
+                    ids.append(q), blocks.append(block), groups.append(group), masks.append(cells), rows.append(n)
+                    if len(ids) == plan_rows:
+                        yield sent()
+                        ids, blocks, groups, masks, rows = [], [], [], [], []
+            if ids:
+                yield sent()
+
+    by_hash = F.xxhash64("vec_id")
+    some = wanted.select("vec_id", "v", F.pmod(by_hash, F.lit(query_blocks)).cast("int").alias("query_block"))
+    asked = some.mapInArrow(plan, "query_id long, block int, query_block int, cells array<int>, q array<double>")
+    lines = spark.createDataFrame([(one << 16 | two, start, n) for (one, two), (start, n) in line.items()], "cell int, start long, n long")
+    block = F.floor((F.col("start") + F.pmod(by_hash, F.col("n"))) / F.lit(length)).cast("int")
+    placed = entries.withColumn("cell", F.shiftleft("one", 16).bitwiseOR(F.col("two"))).join(F.broadcast(lines), "cell")  # codewords^2 rows
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    return placed.select("vec_id", "v", "cell", block.alias("block"), every_group.alias("query_block")), asked
+
+
 def brute_force(entries: DataFrame, points: list[tuple[int, np.ndarray]], width: int, k: int) -> DataFrame:
     """``query_id, vec_id, score, one, two``: the exact ``k`` best of a few
     queries over all entries, block by block."""

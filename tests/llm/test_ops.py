@@ -318,6 +318,35 @@ def test_multi_index_exact_on_small_tables(spark):
     assert multi_index.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_multi_index_work_is_bounded_on_both_sides(spark, monkeypatch):
+    """More queries and entries than a block holds, half of them in one cell:
+    no group of work holds many times a block, queries go only to blocks with
+    entries of their cells, and the result is that of brute force."""
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)] if i % 2 else [1.0, 2.0, 3.0, 4.0]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    groups, true_cogroup = [], type(df.groupBy()).cogroup
+
+    def cogroup(own, asked):
+        groups.append((own._df, asked._df))
+        return true_cogroup(own, asked)
+
+    monkeypatch.setattr(type(df.groupBy()), "cogroup", cogroup)
+    monkeypatch.setattr(multi_index, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(multi_index, "BLOCK_QUERIES", 50, raising=False)
+    monkeypatch.setattr(multi_index, "PLAN_ROWS", 7, raising=False)
+    out = multi_index.nearest_neighbours(df, k=5, every=4, recall=1.0, codewords=8)
+    got = sorted(tuple(r)[:3] for r in out.collect())
+    assert got == [w[:3] for w in sorted(neighbours(rows, 5, every=4))]
+    entries, asked = groups[0]
+    by = [c for c in asked.columns if c in ("shard", "block", "query_block")]
+    assert asked.groupBy(*by).count().agg(F.max("count")).first()[0] <= 100
+    assert entries.groupBy(*by).count().agg(F.max("count")).first()[0] <= 100
+    held = entries.select(*by, "cell").distinct()
+    sent = asked.select(*by, F.explode("cells").alias("cell")).distinct()
+    assert sent.join(held, [*by, "cell"], "left_anti").count() <= sent.count() // 20  # a rim of a cell may get no entry
+
+
 def test_multi_index_recall(spark):
     import numpy as np
 
