@@ -59,7 +59,8 @@ class WordEncoder:
     drops white space, and its words never cross white space. A plain text
     (``common.NOT_PLAIN`` finds nothing) is already composed, so it is lower-cased and
     split here and unknown words go to the library's BPE model together; any
-    other text goes through the library whole.
+    other text, and any that holds the content of an added token (such as
+    ``<|endoftext|>``, one id of its own), goes through the library whole.
     """
 
     def __init__(self, path: str):
@@ -67,7 +68,9 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = self.whole.get_added_tokens_decoder().values()
+        forms = [f"(?i:{re.escape(t.content)})" if t.normalized else re.escape(t.content) for t in added]
+        self.holds_added = re.compile("|".join(forms) or "(?!)").search
         self.words = Tokenizer(self.whole.model)
         self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.words.get_vocab()
@@ -93,7 +96,7 @@ class WordEncoder:
 
     def encode_many(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        plain = [None if self.not_plain(t) else self.split(t.lower()) for t in texts]
+        plain = [None if self.not_plain(t) or self.holds_added(t) else self.split(t.lower()) for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         new = set().union(*(w for w in plain if w is not None)) - self.known.keys()

@@ -198,6 +198,26 @@ def test_token_orc(docs, empty, spark):
     assert token_orc.read_documents(spark, path).count() == 0
 
 
+def test_token_orc_added_tokens(spark):
+    """Added tokens of the vocabulary's file keep their ids, as the library
+    has it by default, and the documents after them their starts."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(token_orc.default_tokenizer())
+    assert t.encode("end of file <|endoftext|> next", add_special_tokens=False).ids == [806, 539, 4512, 49407, 1131]
+    texts = ["end of file <|endoftext|> next", "after", "a<|ENDOFTEXT|>b <|end\noftext|> <|endoftext|", "é中<|startoftext|>x", "<|endoftext|><|endoftext|>'s", None]
+    texts += [r[1] for r in ROWS if r[0] != 6]
+    path = token_orc.scratch_path(spark)
+    token_orc.write_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, files=3)
+    got = sorted(map(tuple, token_orc.id_checksums(token_orc.read_documents(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()))
+    want, at = [], 0
+    for d, x in enumerate(texts):
+        ids = [*t.encode(x or "", add_special_tokens=False).ids, 1]
+        want.append((d, at, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        at += len(ids)
+    assert got == want
+
+
 def test_word_encoder_equals_library(spark):
     rng = random.Random(1)
     tool = token_orc.WordEncoder(token_orc.default_tokenizer())
