@@ -187,6 +187,20 @@ def predict_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id
     return raw.mapInArrow(run, schema)
 
 
+def learn(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    folds: int = 4,
+    held_fold: int = 2,
+    top: int = TOP,
+) -> Profiles:
+    """Profiles of the rows of ``docs`` with a language that are not held out."""
+    train = pick(docs, id_col, text_col, lang_col).toDF("doc_id", "text", "lang").where(fold(F.col("doc_id"), folds) != held_fold)
+    return collect_profiles(train_profiles(train, top=top), top)
+
+
 def identify(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -204,15 +218,33 @@ def identify(
     is ``und``; an empty table gives an empty result; a null id is in fold 0.
     """
     _, names = hidden(docs)
-    train = pick(docs, id_col, text_col, lang_col).toDF("doc_id", "text", "lang").where(fold(F.col("doc_id"), folds) != held_fold)
-    profiles = collect_profiles(train_profiles(train, top=top), top)
+    profiles = learn(docs, id_col, text_col, lang_col, folds, held_fold, top)
     return predict_languages(docs, profiles, id_col, text_col).withColumn(
         "held_out", fold(F.col(position(names, id_col)), folds) == held_fold
     )
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (hidden names ``_inN``) whose text has a letter."""
+    ship_package(docs.sparkSession)
+    raw, names = hidden(docs)
+    text = position(names, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([len(letters_only(t.as_py() or "")) > 0 for t in batch.column(text)], pa.bool_()))
+
+    return raw.mapInArrow(run, raw.schema)
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose language could be told (not ``und``) with a
-    score of at least ``min_score``, with the columns of ``docs``."""
-    out = identify(docs, **options).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    score of at least ``min_score``, with the columns of ``docs``. Where no
+    language was learned there is nothing to tell by, and only the rows
+    without a letter go."""
+    profiles = learn(docs, id_col, text_col, **options)
+    if profiles.langs:
+        out = predict_languages(docs, profiles, id_col, text_col).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    else:
+        out = with_letters(docs, text_col)
     return out.select(*[f"_in{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)

@@ -163,6 +163,19 @@ def test_language_id(docs, empty, spark):
     assert language_id.keep_identified(docs).columns == docs.columns
 
 
+def test_keep_identified_without_learned_languages(docs, spark):
+    """Labels all null, or only on held-out rows: texts with letters stay."""
+    lettered = sorted((r[:2] for r in ROWS if any(c.isalpha() for c in r[1] or "")), key=repr)
+    assert 0 < len(lettered) < len(ROWS)
+    held = next(i for i in range(100, 200) if brute.fold(i, 4) == 2)
+    none = [(*r[:2], None, r[3]) for r in ROWS]
+    no_label, one = docs.withColumn("lang", F.lit(None).cast("string")), (held, ROWS[7][1], "de", "c")
+    for table, more in ((no_label, []), (spark.createDataFrame([*none, one], SCHEMA), [one[:2]])):
+        kept = language_id.keep_identified(table)
+        assert kept.columns == table.columns
+        assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted(lettered + more, key=repr)
+
+
 def test_language_id_brute_force_and_accuracy(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
     got = {r[0]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).select("_in0", "lang_pred", "score").collect()}
