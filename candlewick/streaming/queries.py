@@ -72,7 +72,8 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str])
 
 
 def trades_from_raw(raw: DataFrame) -> DataFrame:
-    """Raw exchange messages -> engine trades (works on streams)."""
+    """Raw exchange messages -> engine trades (works on streams). Other
+    messages are dropped here; ``RawIngestSink`` keeps them with a reason."""
     from candlewick.operators.ingest import serialize_trades
 
     return parse_trades(serialize_trades(normalize_trades(raw)))
@@ -137,6 +138,25 @@ def run_of(df: DataFrame) -> str:
     return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
+class RawIngestSink:
+    """``foreachBatch`` sink of raw exchange messages: the trades go to the sink
+    ``trades``, every other message with its reason (``value, reason``) to
+    ``path/run=<query>/batch_id=b``. Replaying a batch rewrites the same rows."""
+
+    def __init__(self, path: str, trades):
+        self.path, self.trades = path.rstrip("/"), trades
+
+    def __call__(self, raw: DataFrame, batch_id: int) -> None:
+        from candlewick.operators.ingest import rejected_trades
+
+        own_cache = not raw.is_cached  # the batch is read for both sides
+        src = raw.persist() if own_cache else raw
+        rejected_trades(src).write.mode("overwrite").parquet(f"{self.path}/run={run_of(raw)}/batch_id={batch_id}")
+        self.trades(trades_from_raw(src), batch_id)
+        if own_cache:
+            src.unpersist()
+
+
 class BatchParquetSink:
     """Idempotent append: micro-batch ``b`` of a query is written (overwrite) to
     ``path/run=<query>/batch_id=b``, partitioned by ``partition_cols`` and

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators import candles as C
 from candlewick.operators import detect as D
+from candlewick.operators import ingest as I
 from candlewick.params import Params
 from candlewick.sources.raw import raw_messages
 from candlewick.sources.tables import read_table
@@ -253,3 +254,17 @@ def test_ticker_upsert_keeps_latest_and_prunes_versions(spark, tmp):
     versions = sorted(n for n in os.listdir(f"{tmp}/ticker") if n.startswith("version="))
     assert versions == ["version=3", "version=4", "version=5"]
 
+
+def test_raw_ingest_keeps_rejected_messages(spark, tmp):
+    raw = raw_messages(read_table(spark, SF_SMALL, "events"))
+    raw.select("value").unionByName(spark.createDataFrame([("no json",), ("{}",)], "value string")).coalesce(2).write.text(f"{tmp}/raw")
+    values = Q.read_text_values(spark, f"{tmp}/raw", max_files_per_trigger=1)
+    sink = Q.RawIngestSink(f"{tmp}/rejected", Q.BatchParquetSink(f"{tmp}/trades"))
+    q = values.writeStream.option("checkpointLocation", f"{tmp}/ck_raw").foreachBatch(sink).trigger(availableNow=True).start()
+    q.awaitTermination()
+    lines = spark.read.text(f"{tmp}/raw")
+    got = spark.read.parquet(f"{tmp}/rejected").select("value", "reason")
+    want = I.rejected_trades(lines)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.where("value = 'no json'").count() == 1
+    assert spark.read.parquet(f"{tmp}/trades").count() + got.count() == lines.count()
