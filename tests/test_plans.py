@@ -72,4 +72,3 @@ def test_kafka_options():
                    "groupIdPrefix": "cw"}
     sink = Q.kafka_sink_options("b:9092", "raw-trades", "/ck")
     assert sink["kafka.acks"] == "1" and sink["kafka.compression.type"] == "lz4" and sink["checkpointLocation"] == "/ck"
-    assert F is not None
