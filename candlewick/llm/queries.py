@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe_pieces, ctw, exact_dedup, language_id, mixing, multi_index, pseudonyms, simhash, token_orc, url_filter
+from candlewick.llm import bpe_pieces, ctw, exact_dedup, language_id, mixing, multi_index, prefix_trie, pseudonyms, simhash, token_orc, url_filter
 from candlewick.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,33 @@ def op9(spark, sf):
 @register("op10_bpe_pieces")
 def op10(spark, sf):
     return bpe_pieces.encode_documents(table(spark, sf, "documents"), ids=False)
+
+
+#: crc32 of a decimal id: bytes are folded in one after the other, eight shifts each.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
+ lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+TRIE_SQL = f"""WITH r AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS txt, row_number() OVER
+      (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, c - c % {prefix_trie.FAMILY} AS base, {CRC32.format("c")} % {prefix_trie.HEADS} AS h FROM (SELECT DISTINCT c FROM r)),
+q AS (SELECT v.c, 0 AS own, r.pos, role, txt FROM v JOIN r ON r.c = v.base AND r.pos <= v.h
+      UNION ALL SELECT v.c, 1, r.pos, role, txt FROM v JOIN r ON r.c = v.c AND r.pos > v.h),
+s AS (SELECT c, row_number() OVER w AS d, txt, list({{'r': role, 't': txt}}) OVER (w ROWS UNBOUNDED PRECEDING) AS seq
+      FROM q WINDOW w AS (PARTITION BY c ORDER BY own, pos)),
+m AS (SELECT c, d, txt, md5(CAST(to_json(seq) AS VARCHAR)) AS k, md5(CAST(to_json(seq[:-2]) AS VARCHAR)) AS up FROM s
+      UNION ALL SELECT c, 0, '', md5('[]'), NULL FROM v),
+t AS (SELECT c, max(d) AS total FROM m GROUP BY c),
+n AS (SELECT d, k, min(up) AS up, min(c) AS conv_id, count(*) AS n_convs, count(*) * 0 + (count(*) - 1) * min(strlen(txt)) AS saved FROM m GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, k)),
+roll AS (SELECT m.d, m.k, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(f.saved) AS saved_tokens
+         FROM f JOIN m ON m.c = f.conv_id AND m.d <= f.d GROUP BY m.d, m.k),
+ends AS (SELECT m.d, m.k, sha256(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c)) AS sha FROM m JOIN t ON t.c = m.c AND t.total = m.d GROUP BY m.d, m.k)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(roll.n_leaves AS BIGINT) AS n_leaves,
+       CAST(roll.saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends.sha, sha256('')) AS ends_sha256
+FROM f JOIN roll USING (d, k) LEFT JOIN ends USING (d, k) LEFT JOIN n p ON p.d = f.d - 1 AND p.k = f.up"""
+
+
+@register("op12_prefix_trie", TRIE_SQL)
+def op12(spark, sf):
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
