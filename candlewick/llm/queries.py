@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe_pieces, ctw, exact_dedup, language_id, mixing, multi_index, prefix_trie, pseudonyms, simhash, token_orc, url_filter
+from candlewick.llm import ball_codes, bpe_pieces, ctw, exact_dedup, language_id, mixing, multi_index, prefix_trie, pseudonyms, simhash, suffix_dedup, token_orc, url_filter
 from candlewick.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,6 +164,35 @@ def op10(spark, sf):
     return bpe_pieces.encode_documents(table(spark, sf, "documents"), ids=False)
 
 
+def _ball_sql(parts: int = ball_codes.PARTS, entries: int = ball_codes.ENTRIES, rounds: int = ball_codes.ROUNDS) -> str:
+    """Lloyd rounds with every part compared with every entry."""
+    ctes = [
+        f"""k AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor({ball_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"p AS MATERIALIZED (SELECT rid, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS a FROM k, range({parts}) r(part))",
+        f"""b0 AS MATERIALIZED (SELECT part, e, a FROM (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM k) JOIN p USING (rid) WHERE e < {entries})""",
+    ]
+    for r in range(rounds + 1):
+        if r:
+            ctes.append(f"""m{r} AS (SELECT part, e, i, sum(a[i]) AS s, count(*) AS n FROM (SELECT p.part, c.e, a, unnest(range(1, len(a) + 1)) AS i
+ FROM p JOIN c{r - 1} c USING (rid, part)) GROUP BY part, e, i)""")
+            ctes.append(f"""b{r} AS MATERIALIZED (SELECT b.part, b.e, coalesce(m.a, b.a) AS a FROM b{r - 1} b LEFT JOIN
+ (SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS a FROM m{r} GROUP BY part, e) m USING (part, e))""")
+        ctes.append(f"""c{r} AS MATERIALIZED (SELECT rid, part, x.e AS e, x.d AS d FROM (SELECT rid, p.part, min({{'d': CAST(list_sum(list_transform(range(1, len(p.a) + 1),
+ lambda i: (p.a[i] - b.a[i]) * (p.a[i] - b.a[i]))) AS BIGINT), 'e': b.e}}) AS x FROM p JOIN b{r} b ON b.part = p.part GROUP BY rid, p.part))""")
+    return f"""WITH {", ".join(ctes)},
+o AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM k JOIN c{rounds} USING (rid) GROUP BY rid, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(a, ','), ',' ORDER BY part, e)) FROM b{rounds}) AS codebooks_sha256 FROM o"""
+
+
+@register("op11_ball_codes", _ball_sql())
+def op11(spark, sf):
+    coded, books = ball_codes.encode_vectors(table(spark, sf, "embeddings"))
+    digest = F.lit(ball_codes.books_digest(books)).alias("codebooks_sha256")
+    return ball_codes.label_errors(coded).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", digest)
+
+
 #: crc32 of a decimal id: bytes are folded in one after the other, eight shifts each.
 CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
@@ -192,3 +221,9 @@ FROM f JOIN roll USING (d, k) LEFT JOIN ends USING (d, k) LEFT JOIN n p ON p.d =
 @register("op12_prefix_trie", TRIE_SQL)
 def op12(spark, sf):
     return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+@register("op13_suffix_dedup")
+def op13(spark, sf):
+    out = suffix_dedup.remove_repeats(table(spark, sf, "documents"), carry=["doc_id"])
+    return out.select(F.col("_in0").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
