@@ -100,13 +100,18 @@ def release_scratch(spark: SparkSession) -> int:
     return n
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder that ``release_scratch`` deletes."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/candlewick/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as parquet under the shared checkpoint folder and
     read it back: one computation (a reliable ``checkpoint()`` of an
     unpersisted plan computes it twice), durable across executor loss, and
     later reads get column pruning and filter pushdown."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/candlewick/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    _SCRATCH.append(path)
     return df.sparkSession.read.parquet(path)
