@@ -28,6 +28,7 @@ from candlewick.session import ship_package
 TOP = 300
 UNDETERMINED = "und"
 MAX_LANGUAGES = 1000
+QUANTILE, MARGIN = 0.001, 0.75  # see calibrated_score
 CHUNK_CHARS, FLUSH_GRAMS = 1 << 18, 1 << 19
 _SPACE = 32
 
@@ -216,6 +217,8 @@ def identify(
 
     The label is no input of a prediction. Without labelled rows everything
     is ``und``; an empty table gives an empty result; a null id is in fold 0.
+    Whole texts are ranked however long they are; repeated rows are learned
+    from each and get equal predictions.
     """
     _, names = hidden(docs)
     profiles = learn(docs, id_col, text_col, lang_col, folds, held_fold, top)
@@ -237,13 +240,45 @@ def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return raw.mapInArrow(run, raw.schema)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose language could be told (not ``und``) with a
-    score of at least ``min_score``, with the columns of ``docs``. Where no
-    language was learned there is nothing to tell by, and only the rows
-    without a letter go."""
-    profiles = learn(docs, id_col, text_col, **options)
+def calibrated_score(scored: DataFrame, lang: str, quantile: float = QUANTILE, margin: float = MARGIN) -> float:
+    """The least score of a text in a learned language: ``margin`` times the
+    ``quantile`` of the scores of ``scored`` (texts that were not learned from,
+    with ``lang_pred, score`` and their label in column ``lang``) whose
+    language was told rightly; 0 if there is none to calibrate by. Texts in
+    other languages and random letters share few frequent n-grams with any
+    profile and score well below."""
+    right = scored.where(F.col("lang_pred") == F.col(lang))
+    least = right.agg(F.percentile_approx("score", quantile, 10_000)).first()[0]
+    return margin * least if least is not None else 0.0
+
+
+def keep_identified(
+    docs: DataFrame,
+    min_score: float | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    folds: int = 4,
+    held_fold: int = 2,
+    top: int = TOP,
+) -> DataFrame:
+    """The rows of ``docs`` in one of the learned languages, with the columns of
+    ``docs``: their language could be told (not ``und``) with a score of at
+    least ``min_score``. By default that is calibrated on the held-out labelled
+    rows (``calibrated_score``).
+
+    A null text or one without a letter goes. Where no language was learned
+    there is nothing to tell by, and only the rows without a letter go. Whole
+    texts are ranked however long they are; repeated rows are judged alike; an
+    empty table gives an empty result; extra columns stay, whatever their names.
+    """
+    _, names = hidden(docs)
+    profiles = learn(docs, id_col, text_col, lang_col, folds, held_fold, top)
     if profiles.langs:
+        if min_score is None:
+            lang = position(names, lang_col)
+            unseen = hidden(docs)[0].where((fold(F.col(position(names, id_col)), folds) == held_fold) & F.col(lang).isNotNull())
+            min_score = calibrated_score(predict_languages(unseen, profiles, position(names, id_col), position(names, text_col)), lang)
         out = predict_languages(docs, profiles, id_col, text_col).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
     else:
         out = with_letters(docs, text_col)

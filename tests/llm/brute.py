@@ -216,7 +216,9 @@ def bpe_row(tool, text):
 def pipeline(rows):
     """rows: (doc_id, text, lang, source)."""
     langs = rank_order([(d, t, lang) for d, t, lang, _ in rows])
-    rows = [r for r, (lang, _) in zip(rows, langs) if lang != "und"]
+    unseen = sorted(score for r, (lang, score) in zip(rows, langs) if fold(r[0], 4) == 2 and lang == r[2])
+    bar = 0.75 * unseen[max(0, math.ceil(0.001 * len(unseen)) - 1)] if unseen else 0.0
+    rows = [r for r, (lang, score) in zip(rows, langs) if lang != "und" and score >= bar]
     top = {}
     for d, t, *_ in rows:
         top[t or ""] = max(d, top.get(t or "", d))
