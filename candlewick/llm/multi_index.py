@@ -34,6 +34,7 @@ from candlewick.session import cut_lineage, ship_package
 
 CODEWORDS, SAMPLE, PROBES, RECALL = 64, 8192, 64, 0.95
 SHARDS, BLOCK_ENTRIES, BLOCK_QUERIES, QUERY_STEP = 8, 20_000, 20_000, 256
+TRAVERSALS = 2_000  # queries a task traverses
 PLAN_ROWS = 2048  # rows of a query's vector and cells sent on at a time
 NEAR = 1e-9  # scores this close are computed again row by row before ranking
 
@@ -97,20 +98,50 @@ def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return raw.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """``vec_id, v`` (doubles) of the rows that take part, and their width:
-    rows with a null id or vector, null or non-finite components, only zeros,
-    or another than the most common width (the smaller on a tie) do not."""
+def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """``vec_id, v`` (doubles) of the rows that take part: rows with a null id or
+    vector, null or non-finite components, or only zeros do not."""
     rows = pick(vectors, id_col, vector_col).toDF("vec_id", "v").select(F.col("vec_id").cast("long"), F.col("v").cast("array<double>").alias("v"))
-    fine = rows.where(
+    return rows.where(
         F.col("vec_id").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     )
-    widths = fine.groupBy(F.size("v").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    most = widths.orderBy(F.col("n").desc(), "w").first()
-    width = most["w"] if most else 0
-    return fine.where(F.size("v") == width), width
+
+
+def search_block(
+    points: np.ndarray, ids: np.ndarray, cell: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, cells: np.ndarray, cuts: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Each query's best ``k`` entries of a block among its cells (query n has
+    ``cells[cuts[n]:cuts[n + 1]]``): query ids, entry ids, exact scores; and the
+    number of entries that were multiplied, which are those of visited cells."""
+    order = np.argsort(cell, kind="stable")
+    points, ids, cell = points[order], ids[order], cell[order]
+    kinds, begin = np.unique(cell, return_index=True)
+    end, scored = np.append(begin[1:], len(cell)), 0
+    out: list[tuple[np.ndarray, ...]] = []
+    for start in range(0, len(query_ids), QUERY_STEP):
+        some = slice(start, min(start + QUERY_STEP, len(query_ids)))
+        n = some.stop - start
+        asked = cells[cuts[start] : cuts[some.stop]]
+        who = np.repeat(np.arange(n), np.diff(cuts[start : some.stop + 1]))
+        place = np.searchsorted(kinds, asked)
+        held = (place < len(kinds)) & (kinds[np.minimum(place, len(kinds) - 1)] == asked)
+        who, place = who[held], place[held]
+        by_cell = np.argsort(place, kind="stable")
+        who, place = who[by_cell], place[by_cell]
+        rough = np.full((n, len(ids)), -np.inf)
+        each, at = np.unique(place, return_index=True)
+        for c, low, high in zip(each.tolist(), at.tolist(), np.append(at[1:], len(place)).tolist()):
+            rows = who[low:high]
+            rough[rows, begin[c] : end[c]] = queries[start + rows] @ points[begin[c] : end[c]].T
+            scored += len(rows) * int(end[c] - begin[c])
+        for i in range(n):
+            q = query_ids[start + i]
+            got, score = top_rows(points, ids, queries[start + i], rough[i], k, q)
+            out.append((np.full(len(got), q), got, score))
+    parts = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    return *parts, scored
 
 
 def nearest_neighbours(
@@ -126,25 +157,38 @@ def nearest_neighbours(
     probes: int = PROBES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` entries with the
-    largest inner product among those visited. ``queries`` (same columns)
-    defaults to the rows whose id is divisible by ``every``.
+    largest inner product among those visited, ties to the smaller id.
+    ``queries`` (same columns) defaults to the rows whose id is divisible by
+    ``every``.
 
     An entry with the query's own id is no candidate; fewer than ``k``
-    candidates are all returned. Repeated rows of an id are entries each, and
-    a repeated query id is searched once. Vectors that are null, zero or hold
-    null or non-finite components take no part; an empty table gives an empty
-    result.
+    candidates are all returned. Repeated rows of an id are entries each; a
+    repeated query id is searched once, by its smallest vector. Vectors that are
+    null, zero or hold null or non-finite components take no part. Vectors of
+    another width have no inner product with a query: each width is indexed
+    and searched by itself. Extra columns are ignored, whatever their names. An
+    empty table gives an empty result.
     """
-    spark = vectors.sparkSession
+    fine = usable_vectors(vectors, id_col, vector_col)
+    wanted = fine.where(F.pmod("vec_id", F.lit(every)) == 0) if queries is None else usable_vectors(queries, id_col, vector_col)
+    wanted = wanted.groupBy("vec_id").agg(F.min("v").alias("v"))
+    widths = sorted(r["w"] for r in fine.select(F.size("v").alias("w")).distinct().collect())  # one, as a rule
+    parts = [_search(fine.where(F.size("v") == w), wanted.where(F.size("v") == w), w, k, recall, codewords, sample, probes) for w in widths]
+    if not parts:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def _search(fine: DataFrame, wanted: DataFrame, width: int, k: int, recall: float, codewords: int, sample: int, probes: int) -> DataFrame:
+    """``nearest_neighbours`` of ``wanted`` among the vectors of one width."""
+    spark = fine.sparkSession
     ship_package(spark)
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
-    fine, width = usable_vectors(vectors, id_col, vector_col)
-    wanted = fine.where(F.pmod("vec_id", F.lit(every)) == 0) if queries is None else usable_vectors(queries, id_col, vector_col)[0].where(F.size("v") == width)
-    wanted = wanted.dropDuplicates(["vec_id"])
-    fit = fine.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()  # a bounded top-k, not a sort
+    fit = fine.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).collect()  # a bounded top-k, not a sort
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    if not fit:
-        return spark.createDataFrame([], schema).withColumn("rank", F.row_number().over(ranked)).select("query_id", "rank", "vec_id", "score")
     book = spark.sparkContext.broadcast(Codebook(np.array([r["v"] for r in fit]), codewords))
 
     def index(batches):
@@ -162,24 +206,15 @@ def nearest_neighbours(
     dealt, asked = deal(entries, wanted, book, sizes, enough, width)
 
     def rerank(own: pa.Table, queries_: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
-        if own.num_rows and queries_.num_rows:
-            ids, cell = own.column("vec_id").to_numpy(), own.column("cell").to_numpy()
-            points = _matrix(own.column("v"), width)
-            kinds, of = np.unique(cell, return_inverse=True)
-            asked_ids, lists = queries_.column("query_id").to_numpy(), queries_.column("cells").combine_chunks()
-            cells, cuts = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-            asked_points = _matrix(queries_.column("q"), width)
-            for start in range(0, len(asked_ids), QUERY_STEP):
-                some = slice(start, start + QUERY_STEP)
-                rough = asked_points[some] @ points.T
-                for n, q in enumerate(asked_ids[some].tolist()):
-                    own_cells = cells[cuts[start + n] : cuts[start + n + 1]]
-                    rough[n][~np.isin(kinds, own_cells)[of]] = -np.inf
-                    got, score = top_rows(points, ids, asked_points[start + n], rough[n], k, q)
-                    out_q.append(np.full(len(got), q)), out_v.append(got), out_s.append(score)
-        flat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
-        return pa.table({"query_id": flat(out_q, np.int64), "vec_id": flat(out_v, np.int64), "score": flat(out_s, float)})
+        if not own.num_rows or not queries_.num_rows:
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        lists = queries_.column("cells").combine_chunks()
+        asked, cuts = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        got = search_block(
+            _matrix(own.column("v"), width), own.column("vec_id").to_numpy(), own.column("cell").to_numpy(),
+            _matrix(queries_.column("q"), width), queries_.column("query_id").to_numpy(), asked, cuts, k,
+        )
+        return pa.table({"query_id": got[0], "vec_id": got[1], "score": got[2]})
 
     both = ("block", "query_block")
     found = dealt.groupBy(*both).cogroup(asked.groupBy(*both)).applyInArrow(rerank, schema)
@@ -233,7 +268,9 @@ def deal(entries: DataFrame, wanted: DataFrame, book, sizes: dict, enough: int,
                 yield sent()
 
     by_hash = F.xxhash64("vec_id")
-    some = wanted.select("vec_id", "v", F.pmod(by_hash, F.lit(query_blocks)).cast("int").alias("query_block"))
+    # the traversals are dealt out: the queries' table may be one small file
+    spread = max(spark.sparkContext.defaultParallelism, query_blocks * max(1, BLOCK_QUERIES // TRAVERSALS))
+    some = wanted.select("vec_id", "v", F.pmod(by_hash, F.lit(query_blocks)).cast("int").alias("query_block")).repartition(spread, "vec_id")
     asked = some.mapInArrow(plan, "query_id long, block int, query_block int, cells array<int>, q array<double>")
     lines = spark.createDataFrame([(one << 16 | two, start, n) for (one, two), (start, n) in line.items()], "cell int, start long, n long")
     block = F.floor((F.col("start") + F.pmod(by_hash, F.col("n"))) / F.lit(length)).cast("int")

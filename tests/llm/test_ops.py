@@ -176,6 +176,22 @@ def test_keep_identified_without_learned_languages(docs, spark):
         assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted(lettered + more, key=repr)
 
 
+def test_keep_identified_rejects_unlearned_languages(spark):
+    """Planted texts in languages and alphabets that no label names go, also
+    under a wrong label; of the given documents all with letters stay."""
+    given = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()]
+    letters = random.Random(4)
+    odd = ["中文文本在这里没有被学过，因此应该离开。" * 5, "Съешь же ещё этих мягких французских булок", "Zażółć gęślą jaźń, wszystko co kochałem odeszło w dal",
+           "Hän käveli hitaasti järven rantaa pitkin ja katseli aaltoja", "".join(letters.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)),
+           "Bugün hava çok güzel olduğu için parkta yürüyüş yaptık"]
+    planted = [(10**6 + i, t, "en" if i % 2 else None) for i, t in enumerate(odd)]
+    table = spark.createDataFrame(given + planted, "doc_id long, text string, lang string")
+    kept = {r[0] for r in language_id.keep_identified(table).select("doc_id").collect()}
+    assert kept == {d for d, t, _ in given if any(c.isalpha() for c in t or "")}
+    none = language_id.keep_identified(table, min_score=0.99).count()
+    assert none < len(given) // 10
+
+
 def test_language_id_brute_force_and_accuracy(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
     got = {r[0]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).select("_in0", "lang_pred", "score").collect()}
@@ -191,7 +207,6 @@ def test_token_orc(docs, empty, spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     for table in (docs, real):
         rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", F.col("text") if table is real else docs["text"]).collect()] if table is real else [r[:2] for r in ROWS]
@@ -380,6 +395,43 @@ def test_multi_index_work_is_bounded_on_both_sides(spark, monkeypatch):
     assert sent.join(held, [*by, "cell"], "left_anti").count() <= sent.count() // 20  # a rim of a cell may get no entry
 
 
+def test_multi_index_scores_visited_entries_only():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    points, ids, cell = rng.normal(size=(500, 6)), np.arange(500), rng.integers(0, 40, 500)
+    queries, query_ids = rng.normal(size=(300, 6)), np.arange(0, 600, 2)
+    visits = [np.sort(rng.choice(45, rng.integers(0, 9), replace=False)) for _ in query_ids]
+    cuts = np.append(0, np.cumsum([len(v) for v in visits]))
+    got = multi_index.search_block(points, ids, cell, queries, query_ids, np.concatenate(visits), cuts, 3)
+    want, visited = [], 0
+    for q, vector, own in zip(query_ids.tolist(), queries, visits):
+        seen = np.flatnonzero(np.isin(cell, own))
+        visited += len(seen)
+        want += sorted(((q, int(i), float((points[i] * vector).sum())) for i in seen if i != q), key=lambda r: (-r[2], r[1]))[:3]
+    assert got[3] == visited > 0
+    assert list(zip(got[0].tolist(), got[1].tolist())) == [w[:2] for w in want]
+    assert got[2].tolist() == pytest.approx([w[2] for w in want])
+
+
+def test_multi_index_repeated_ids_and_widths(spark):
+    """Rows of one id in any order, and vectors of two widths, each with answers."""
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4 if i < 60 else 6)]) for i in range(100)]
+    rows += [(20, [rng.gauss(0, 1) for _ in range(4)]) for _ in range(3)] + [(80, [rng.gauss(0, 1) for _ in range(6)]), (33, rows[33][1])]
+    first = {}
+    for i, v in sorted(rows):
+        first.setdefault(i, v)
+    want = []
+    for q in range(0, 100, 20):
+        scores = sorted((-sum(a * b for a, b in zip(first[q], v)), i) for i, v in rows if i != q and len(v) == len(first[q]))
+        want += [(q, r + 1, i) for r, (_, i) in enumerate(scores[:5])]
+    for seed in (0, 1):
+        random.Random(seed).shuffle(rows)
+        got = multi_index.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, recall=1.0)
+        assert sorted(tuple(r)[:3] for r in got.collect()) == want
+
+
 def test_multi_index_recall(spark):
     import numpy as np
 
