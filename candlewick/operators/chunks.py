@@ -196,10 +196,12 @@ def recent_count(
     chunk: str = "chunk",
     ts: str = "trade_time_ms",
     order: tuple[str, ...] = ORDER,
+    older: DataFrame | None = None,
 ) -> DataFrame:
     """Trades of the same key with ``ts >= ts_i - window_ms`` that come at or
     before row i in ``order`` (row i included), for every row of ``copies``
-    (``with_frame_halo`` of ``trades``).
+    (``with_frame_halo`` of ``trades``). ``older`` (``key, ts, n``): counts per
+    millisecond of trades that come before all of ``trades``.
 
     Inside a chunk and its copies, which begin at the chunk's cut: ``running
     count - rows with ts <= ts_i - window_ms - 1`` (a RANGE frame alone would
@@ -222,8 +224,17 @@ def recent_count(
     cuts = cuts.withColumn("_b", F.floor(F.col("_cut") / w))
     # cuts in (ms, ms + window]: equi-join on window-sized buckets
     bucket = F.floor(F.col("_hts") / w)
+    if older is not None:
+        ahead = older.select(key, F.col("ts").alias("_hts"), F.col("n").alias("_hcnt"))
+        per_ms = per_ms.select(*ahead.columns).unionByName(ahead)
     per_ms = per_ms.select(key, "_hts", "_hcnt", F.explode(F.array(bucket, bucket + 1)).alias("_b"))
     halo = per_ms.join(cuts, [key, "_b"]).where((F.col("_cut") > F.col("_hts")) & (F.col("_cut") <= F.col("_hts") + w))
+    if older is not None:  # the chunks that reach back to a key's first rows have all of them ahead
+        first = trades.where(F.col(chunk) == 0).groupBy(key).agg(F.min_by("halo_chunks", ts).alias("_more"))
+        none = F.array().cast("array<bigint>")
+        reaching = first.select(key, F.explode(F.concat(F.array(F.lit(0).cast("bigint")), F.coalesce("_more", none))).alias(chunk))
+        others = halo.select(key, chunk, "_hts", "_hcnt").join(reaching, [key, chunk], "left_anti")
+        halo = others.unionByName(ahead.join(reaching, key).select(key, chunk, "_hts", "_hcnt"))
     halo = halo.select(key, chunk, F.col("_hts").alias(ts), "_hcnt", F.lit(0).alias("_own"))
     own = copies.select("*", F.lit(0).cast("bigint").alias("_hcnt"), F.lit(1).alias("_own"))
     both = own.unionByName(halo, allowMissingColumns=True)

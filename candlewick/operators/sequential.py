@@ -17,11 +17,13 @@ every chunk is folded independently:
    after one re-run, so the loop ends; in practice one speculative pass and
    a few re-runs of single chunks.
 
+A fold may start from given states (``initial``, one row per key) and return
+the states it ends in, so a later run continues where this one stopped.
+
 Each pass is checkpointed into the shared checkpoint folder so a lost
-executor recomputes only the current pass. The fold itself is a Python
-loop inside ``applyInPandas`` (one chunk per call, bounded by the planner),
-which is the one place where per-row control flow cannot be expressed as
-column expressions.
+executor recomputes only the current pass. The fold itself runs inside
+``applyInPandas`` (one chunk per call, bounded by the planner): array searches
+from event to event, which column expressions cannot state.
 """
 
 from __future__ import annotations
@@ -125,10 +127,25 @@ def run_sequential(
     rule: SequentialRule,
     halo_ms: int,
     key: str = "symbol",
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Fold ``rule`` over ``rows`` (which carry ``chunk``, ``next_chunk`` and
     ``next_chunk_start_ms``) and return the emitted rows (``out_fields`` plus
-    ``key``), exactly as one sequential pass per key would."""
+    ``key``), exactly as one sequential pass per key would. ``initial``: the
+    states (``key`` and the state fields) that keys start from; keys without a
+    row start from the rule's own."""
+    return fold_with_states(rows, rule, halo_ms, key, initial)[0]
+
+
+def fold_with_states(
+    rows: DataFrame,
+    rule: SequentialRule,
+    halo_ms: int,
+    key: str = "symbol",
+    initial: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``run_sequential``, and the state that each key of ``rows`` ends in
+    (``key`` and the state fields)."""
     ship_package(rows.sparkSession)
     schema = _schema(rule, key)
     cols = list(dict.fromkeys([key, "chunk", "trade_time_ms", "trade_id", *rule.input_cols]))
@@ -155,10 +172,14 @@ def run_sequential(
         w = Window.partitionBy(key).orderBy("chunk")
         prev = [F.lag(F.col("out_" + n)).over(w) for n in names]
         is_first = F.lag(F.col("chunk")).over(w).isNull()
-        init = [F.lit(v) for v in rule.initial]
+        init, known = [F.lit(v) for v in rule.initial], states
+        if initial is not None:  # one row per key, as a key has one first chunk
+            given = initial.select(key, F.lit(True).alias("_given"), *[F.col(n).alias("start_" + n) for n in names])
+            known = states.join(given, key, "left")
+            init = [F.when(F.col("_given"), F.col("start_" + n)).otherwise(i) for n, i in zip(names, init)]
         raw = [F.when(is_first, i).otherwise(pv) for i, pv in zip(init, prev)]
         expected = rule.normalize_cols(raw, F.col("_first_ts"))
-        checked = states.select(
+        checked = known.select(
             "*", *[e.alias("exp_" + n) for e, n in zip(expected, names)]
         ).withColumn(
             "_ok", _null_safe_equal([F.col("in_" + n) for n in names], [F.col("exp_" + n) for n in names])
@@ -188,7 +209,8 @@ def run_sequential(
     for r in results[1:]:
         out = out.unionByName(r)
     out = out.join(final_round, [key, "chunk", "_round"], "left_semi")
-    return out.select(key, *[f.name for f in rule.out_fields])
+    ended = states.groupBy(key).agg(F.max_by(F.struct(*[F.col("out_" + n).alias(n) for n in names]), "chunk").alias("s")).select(key, "s.*")
+    return out.select(key, *[f.name for f in rule.out_fields]), ended
 
 
 def combine_rules(rules: Sequence[tuple[SequentialRule, str | None]], name: str = "combined") -> SequentialRule:

@@ -155,6 +155,24 @@ ISO_TIME = """strftime(epoch_ms(trade_time_ms), '%Y-%m-%dT%H:%M:%S')
   || CASE WHEN trade_time_ms % 1000 = 0 THEN '' ELSE '.' || lpad(CAST(trade_time_ms % 1000 AS VARCHAR), 3, '0') || '000' END
   || '+00:00'"""
 
+#: the messages themselves, as text (see ``candlewick.sources.raw``)
+FEED_TEXT = """
+text AS (
+  SELECT *, '{"e":"trade","s":"' || symbol || '","t":' || trade_id || ',"p":' AS a, ',"q":"' || quantity || '"' AS b,
+         ',"T":' || trade_time_ms AS c, ',"m":' || is_buyer_mm || '}' AS d, '{"stream":"' || lower(symbol) || '@trade","data":' AS w FROM feed
+)"""
+
+FEED_REJECTED = """
+SELECT CASE event_type
+         WHEN 'click' THEN substr(w || a || '"' || price || '"' || b || c || d || '}', 1, 40)
+         WHEN 'signup' THEN w || a || '"n/a"' || b || c || d || '}'
+         WHEN 'purchase' THEN w || a || '"' || price || '"' || b || d || '}'
+         WHEN 'view' THEN '{"result":null,"id":' || trade_id || '}'
+         ELSE w || a || 'null' || b || c || d || '}' END AS value,
+       CASE event_type WHEN 'click' THEN 'not_json' WHEN 'signup' THEN 'bad_number'
+                       WHEN 'purchase' THEN 'missing_field' WHEN 'view' THEN 'not_trade' ELSE 'null_field' END AS reason
+FROM text WHERE value < 2.0"""
+
 FEED_REJECTS = """
 SELECT reason, count(*) AS messages FROM (
   SELECT CASE event_type WHEN 'click' THEN 'not_json' WHEN 'signup' THEN 'bad_number'

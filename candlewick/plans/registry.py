@@ -148,6 +148,11 @@ def q_rejected_trades(spark, sf):
     return I.rejected_trades(_feed(spark, sf)).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@register("rejected_messages", f"WITH {O.FEED_TRADES}, {O.FEED_TEXT} {O.FEED_REJECTED}")
+def q_rejected_messages(spark, sf):
+    return I.rejected_trades(_feed(spark, sf))
+
+
 @register("parse_trades", f"WITH {O.FEED_TRADES} SELECT symbol, trade_id, price, quantity, trade_time_ms FROM feed")
 def q_parse_trades(spark, sf):
     msgs = I.serialize_trades(I.normalize_trades(_feed(spark, sf)))
@@ -164,6 +169,18 @@ def q_routing(spark, sf):
     return I.route_trades(I.normalize_trades(_feed(spark, sf)), FEED_PARTITIONS).select("symbol", "trade_id", "partition")
 
 
+@register(
+    "routed_messages",
+    f"""WITH {O.FEED_TRADES} SELECT symbol AS key, '{{"symbol":"' || symbol || '","trade_id":' || trade_id || ',"price":' || price
+  || ',"quantity":' || quantity || ',"trade_time_ms":' || trade_time_ms || ',"trade_time":"' || {O.ISO_TIME} || '","is_buyer_mm":' || is_buyer_mm || '}}' AS value,
+  CAST(CASE symbol WHEN 'CLICKUSDT' THEN 1 WHEN 'VIEWUSDT' THEN 2 WHEN 'PURCHASEUSDT' THEN 3
+                   WHEN 'SIGNUPUSDT' THEN 4 ELSE 0 END AS INTEGER) AS partition FROM feed""",
+)
+def q_routed_messages(spark, sf):
+    routed = I.route_trades(I.normalize_trades(_feed(spark, sf)), FEED_PARTITIONS)
+    return routed.select(F.col("key").cast("string").alias("key"), "value", "partition")
+
+
 @register(
     "trade_preview",
     f"""WITH {O.FEED_TRADES} SELECT symbol, trade_id,
@@ -301,6 +318,61 @@ def q_recent_alerts(spark, sf):
     return SV.recent_alerts(r["alerts"], r["as_of"], 20)
 
 
+# -------------------------------------------------- from stored result tables
+# The same answers from catalog tables (bucketed by symbol, partitioned by
+# date), which are written once per session and table folder.
+import datetime as dt  # noqa: E402
+import uuid  # noqa: E402
+
+from candlewick.plans import periods as PD  # noqa: E402
+from candlewick.plans import store as ST  # noqa: E402
+from candlewick.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
+
+_STORES: dict[tuple[str, str], ST.Store] = {}
+
+
+def stored(spark, sf) -> ST.Store:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/candlewick/store-{uuid.uuid4().hex}"
+        _STORES[key] = ST.build(load_trades(spark, sf), root)
+    return _STORES[key]
+
+
+def _register_stored(name: str, query: Callable[[ST.Store], DataFrame]) -> None:
+    register(f"stored_{name}", ORACLE[name])(lambda spark, sf: query(stored(spark, sf)))
+
+
+for _name, _query in {
+    "ticker_panel": lambda s: s.ticker_panel(),
+    "ticker_snapshot": lambda s: s.ticker_snapshot(),
+    "candles_last_hour": lambda s: s.candles_last_hour(),
+    "volume_series": lambda s: s.volume_series(None, "5min", s.as_of - dt.timedelta(hours=6), s.as_of),
+    "symbols": lambda s: s.symbols(),
+    "latest_candles": lambda s: s.latest_candles(),
+    "anomaly_counts": lambda s: s.anomaly_counts(),
+    "anomaly_count_bands": lambda s: s.anomaly_count_bands(),
+    "alert_table": lambda s: s.alert_table(),
+    "recent_alerts": lambda s: s.recent_alerts(),
+}.items():
+    _register_stored(_name, _query)
+
+
+# ----------------------------------------- period by period from saved states
+PERIOD_MS = 6 * 3_600_000  # the adapted feed spans a good half day
+
+
+@register("backfill_alerts", ORACLE["anomaly_events"])
+def q_backfill_alerts(spark, sf):
+    base = scratch_folder(spark, "periods")
+    PD.write_trades(load_trades(spark, sf), f"{base}/trades", PERIOD_MS)
+    periods = PD.periods_of(spark, f"{base}/trades")
+    if not periods:
+        return D.anomaly_events(load_trades(spark, sf)).select(*_ALERT_COLS)
+    alerts = PD.run_periods(spark, f"{base}/trades", f"{base}/out", periods[0], periods[-1] + PERIOD_MS, period_ms=PERIOD_MS)
+    return alerts.select(*_ALERT_COLS)
+
+
 # ------------------------------------------- the same results across chunk edges
 # chunks of about 200 trades: ten or more per symbol at sf0.01, so halos, chunk
 # heads and (without a look-back) re-folds all take part

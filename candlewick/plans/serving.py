@@ -23,6 +23,7 @@ from candlewick.params import DEFAULT, Params
 # yellow >= 1, red >= 5; candle direction up when close >= open.
 SEVERITY_COLOURS = (("HIGH", "red", 0), ("MEDIUM", "orange", 1), ("LOW", "yellow", 2))
 BAND_YELLOW_AT, BAND_RED_AT = 1, 5
+DISPLAY_RATIO = "vol_ratio (×avg)"
 PATTERNS = ("VOLUME_SPIKE", "WASH_TRADE", "PUMP_AND_DUMP")
 
 
@@ -136,11 +137,11 @@ def latest_candles(candles: DataFrame, limit: int = 10) -> DataFrame:
 
 
 # ------------------------------------------------------------------ alerts
-def anomaly_counts(alerts: DataFrame, symbol: str | None = None, as_of=None) -> DataFrame:
+def anomaly_counts(alerts: DataFrame, symbol: str | None = None, as_of=None, symbols: DataFrame | None = None) -> DataFrame:
     """Alerts per pattern in the last hour, one pass of conditional counts.
 
     With a symbol: exactly one row (zeros when nothing fired). Without: one
-    row per symbol present in ``alerts``.
+    row per symbol of ``symbols`` (by default those present in ``alerts``).
     """
     recent = F.col("detected_at") >= _as_of(as_of) - _one_hour()
     counts = [
@@ -150,7 +151,8 @@ def anomaly_counts(alerts: DataFrame, symbol: str | None = None, as_of=None) ->
     if symbol is not None:
         return _for_symbol(alerts, symbol).where(recent).agg(*counts).select(F.lit(symbol).alias("symbol"), "*")
     counted = alerts.where(recent).groupBy("symbol").agg(*counts)  # the time filter reaches the scan
-    return alerts.select("symbol").distinct().join(counted, "symbol", "left").na.fill(0)
+    every = alerts.select("symbol").distinct() if symbols is None else symbols.select("symbol")
+    return every.join(counted, "symbol", "left").na.fill(0)
 
 
 def count_band(n: Column) -> Column:
@@ -208,6 +210,12 @@ def alert_table(
     return top.select(*cols).orderBy("symbol", *order)
 
 
+def alert_display(table: DataFrame) -> DataFrame:
+    """``alert_table`` under the names and with the units that a panel shows."""
+    percent = F.concat(F.format_number("price_change_pct", 2), F.lit("%"))
+    return table.withColumn("price_change_pct", percent).withColumnRenamed("vol_ratio", DISPLAY_RATIO)
+
+
 def recent_alerts(alerts: DataFrame, as_of=None, limit: int = 20, with_description: bool = True) -> DataFrame:
     """Newest alerts of all symbols in the last hour (top ``limit``)."""
     recent = alerts.where(F.col("detected_at") >= _as_of(as_of) - _one_hour())

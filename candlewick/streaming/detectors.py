@@ -107,6 +107,25 @@ class DetectorProcessor(StatefulProcessor):
         self.last_alert = handle.getValueState("spike_last_alert", "ts long")
         self.pump_state = handle.getValueState("pump", "base_price double, base_ms long, peak_price double, expired boolean")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Start a symbol from a saved state (``operators.resume``)."""
+        row, p = initialState.iloc[0], self.p
+        tail = list(row["tail"])
+        wash, counts = tail[max(0, len(tail) - p.wash_frame + 1) :], tail[max(0, len(tail) - p.spike_frame + 1) :]
+        self.wash.put([(float(t["price"]), float(t["quantity"])) for t in wash])
+        self.counts.put([(int(t["recent_count"]),) for t in counts])
+        # the tail's own trades belong to the last window's counts too; RecentCounts drops what is too old
+        per_ms: dict[int, int] = {int(x["ts"]): int(x["n"]) for x in row["older"]}
+        for t in tail:
+            per_ms[int(t["trade_time_ms"])] = per_ms.get(int(t["trade_time_ms"]), 0) + 1
+        self.recent.put(sorted(per_ms.items()))
+        if not pd.isna(row["last_alert_ms"]):
+            self.last_alert.update((int(row["last_alert_ms"]),))
+        if not pd.isna(row["base_ms"]):
+            self.pump_state.update((float(row["base_price"]), int(row["base_ms"]), float(row["peak_price"]), bool(row["expired"])))
+        elif not pd.isna(row["expired"]) and row["expired"]:
+            self.pump_state.update((None, None, None, True))
+
     def wash_alerts(self, prices: np.ndarray, quantities: np.ndarray) -> Iterator[tuple]:
         """(row, fields of the alert)"""
         p = self.p
@@ -179,11 +198,14 @@ def require_rocksdb(spark) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def stream_alerts(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def stream_alerts(trades: DataFrame, p: Params = DEFAULT, initial: DataFrame | None = None) -> DataFrame:
     """Streaming trades -> alert rows in the ``anomaly_events`` schema, via
     the stateful processor. No watermark: late trades count. A micro-batch's
     rows of one symbol are sorted together, so bound batch size with the
-    source's ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``."""
+    source's ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``.
+
+    ``initial``: states (``operators.resume``) that a query without a checkpoint
+    starts from, so a stream goes on where a batch run over the history ended."""
     require_rocksdb(trades.sparkSession)
     ship_package(trades.sparkSession)
     t = trades.select("symbol", "trade_id", "price", "quantity", "trade_time_ms")
@@ -192,5 +214,6 @@ def stream_alerts(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
         outputStructType=ALERT_SCHEMA,
         outputMode="Append",
         timeMode="None",
+        initialState=None if initial is None else initial.groupBy("symbol"),
     )
     return out.withColumn("detected_at", ms_to_ts("trade_time_ms")).select(*ANOMALY_COLUMNS)
