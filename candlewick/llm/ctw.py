@@ -21,7 +21,6 @@ by joins and come back to the block, so no model is broadcast.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import fold, pick
+from candlewick.llm.workers import release_memory
 from candlewick.session import cut_lineage, ship_package
 
 DEPTH = 5
-BLOCK_BYTES = 22 << 20
+BLOCK_BYTES = 18 << 20
 CHUNK_BYTES = 1 << 20
+STEP_BYTES, GRAM_BYTES, MERGE_GRAMS = 2 << 20, 2 << 20, 2_000_000
+_NO_CODE = np.uint64((1 << 64) - 1)  # grams have 56 bits
 END = b"\n"
 GRAMS_PER_TASK = 100_000
 _LN2 = math.log(2.0)
@@ -134,10 +136,6 @@ class TopNodes:
         return p
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
-
-
 def gram_chunks(bodies: Iterator[tuple[int, bytes]], depth: int, limit: int = CHUNK_BYTES):
     """Gram codes of the bodies (index, bytes with the end byte) in chunks of
     about ``limit`` bytes, a longer body in several pieces: yields codes (0 at
@@ -167,62 +165,154 @@ def gram_chunks(bodies: Iterator[tuple[int, bytes]], depth: int, limit: int = CH
         yield emit(pieces)
 
 
-def _body(words: list[bytes]) -> bytes:
-    return b" ".join(words) + END
-
-
-def block_dictionary(table: pa.Table, depth: int) -> tuple[Counter, np.ndarray, np.ndarray]:
+def _is_space(raw: np.ndarray) -> np.ndarray:
+    return (raw == 32) | ((raw - np.uint8(9)) < 5)
+
+
+class Texts:
+    """Some texts of a block, as arrays: their bodies end to end (see the
+    module's head) and their words."""
+
+    def __init__(self, texts: pa.Array):
+        n = len(texts)
+        texts = texts.fill_null("") if texts.null_count else texts
+        cuts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        text = np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]] if data is not None else np.empty(0, np.uint8)
+        cuts -= cuts[0]
+        # every text with an end byte behind it
+        ends = cuts[1:] + np.arange(n)
+        raw = np.insert(text, cuts[1:], END[0])
+        raw += ((raw - np.uint8(65)) < 26).view(np.uint8) << 5
+        space = _is_space(raw)
+        # of white space one byte stays behind each word; of a text without words its end byte
+        begins = np.append(0, ends[:-1] + 1)
+        stay = ~space
+        stay[1:] |= space[1:] & ~space[:-1]
+        stay[begins] &= ~space[begins]
+        where = np.cumsum(stay, dtype=np.int32)
+        bare = where[ends] == np.append(0, where[ends[:-1]])
+        if bare.any():
+            stay[ends[bare]] = True
+            where = np.cumsum(stay, dtype=np.int32)
+        self.cuts = np.append(0, where[ends]).astype(np.int64)  # where bodies end
+        self.body = np.where(space, np.uint8(32), raw)[stay]
+        sign = ~space[stay]
+        self.body[self.cuts[1:] - 1] = END[0]
+        self.lengths = np.diff(self.cuts)
+        first = sign.copy()
+        first[1:] &= ~sign[:-1]
+        begin = np.flatnonzero(first)
+        letters = np.cumsum(sign, dtype=np.int32)
+        offsets = np.append(letters[begin] - 1, letters[-1:]).astype(np.int32)
+        self.words = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(self.body[sign])])
+        self.text_of = np.searchsorted(self.cuts, begin, side="right") - 1  # each word's text
+
+    @staticmethod
+    def steps(column: pa.ChunkedArray, limit: int = 0) -> Iterator[tuple[int, int, Texts]]:
+        """Texts of ``column`` in steps of about ``limit`` bytes, whole texts each:
+        first and last row, and the texts."""
+        texts = pa.concat_arrays(column.chunks) if column.num_chunks != 1 else column.chunk(0)
+        cuts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        begin = 0
+        while begin < len(texts):
+            end = max(begin + 1, int(np.searchsorted(cuts, int(cuts[begin]) + (limit or STEP_BYTES), side="right")) - 1)
+            yield begin, end, Texts(texts.slice(begin, end - begin))
+            begin = end
+
+    def bodies(self, only: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+        for i in range(len(self.lengths)) if only is None else np.flatnonzero(only).tolist():
+            yield i, self.body[self.cuts[i] : self.cuts[i + 1]].tobytes()
+
+
+def _gram_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and their summed counts."""
+    codes, n = np.concatenate([c for c, _ in parts]), np.concatenate([k for _, k in parts])
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.diff(codes, prepend=codes[:1] + np.uint64(1)))
+    return codes[first], np.add.reduceat(n, first)
+
+
+def _word_counts(tokens: pa.Table) -> pa.Table:
+    return tokens.group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["word", "n"])
+
+
+def block_dictionary(table: pa.Table, depth: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     """Of one block (``text, held_out``): training counts of its words (0 for
-    words of held-out texts only) and of its grams."""
-    counts: Counter = Counter()
-    other: set[bytes] = set()
+    words of held-out texts only) as a table ``word, n``, and of its grams."""
+    held = table.column("held_out").to_numpy()
+    counts = [pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([int((~held).sum())], pa.int64())})]
     grams: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(new: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        codes, _, n = merge(np.concatenate([g for g, _ in new]), np.concatenate([c for _, c in new]))
-        grams[:] = [(codes, n)]
-
-    def bodies(held: bool) -> Iterator[tuple[int, bytes]]:
-        for text, h in zip(table.column("text"), table.column("held_out")):
-            if h.as_py() == held:
-                words = words_of(text.as_py())
-                if held:
-                    other.update(words)
-                    other.add(END)
-                else:
-                    counts.update(words)
-                    counts[END] += 1
-                yield 0, _body(words)
-
-    for held in (False, True):
-        for codes, valid, _, _ in gram_chunks(bodies(held), depth):
-            found, n = np.unique(codes[valid], return_counts=True)
-            add(grams + [(found, n * (0.0 if held else 1.0))])
-    for word in other - counts.keys():
-        counts[word] = 0
-    return (counts, *(grams[0] if grams else (np.empty(0, np.uint64), np.empty(0))))
-
-
-def score_block(docs: pa.Table, words: dict[bytes, float], codes: np.ndarray, logp: np.ndarray, depth: int):
+    for begin, end, texts in Texts.steps(table.column("text")):
+        out = held[begin:end]
+        tokens = pa.table({"word": texts.words, "n": pa.array((~out[texts.text_of]).astype(np.int64))})
+        counts.append(_word_counts(tokens))
+        for side in (False, True):
+            for codes, valid, _, _ in gram_chunks(texts.bodies(out == side), depth, GRAM_BYTES):
+                found, n = np.unique(codes[valid], return_counts=True)
+                grams.append((found, n * (0 if side else 1)))
+                if sum(len(c) for c, _ in grams[1:]) > MERGE_GRAMS:
+                    grams = [_gram_counts(grams)]
+    words = _word_counts(pa.concat_tables(counts))
+    return (words, *(_gram_counts(grams) if grams else (np.empty(0, np.uint64), np.empty(0, np.int64))))
+
+
+class CodeTable:
+    """Values by distinct 64-bit codes: open addressing in arrays, so a lookup
+    is a few array operations (about a fifth of the time of a binary search)."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(codes)).bit_length())
+        self.codes, self.values = np.full(1 << self.bits, _NO_CODE, np.uint64), np.zeros(1 << self.bits)
+        left, slot = np.arange(len(codes)), self._slot(codes)
+        while len(left):
+            free = self.codes[slot] == _NO_CODE
+            self.codes[slot[free]] = codes[left[free]]  # one of those at a slot wins
+            won = self.codes[slot] == codes[left]
+            self.values[slot[won]] = values[left[won]]
+            left, slot = left[~won], (slot[~won] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        mixed = (codes ^ (codes >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        """Values of ``codes``, all of which are known."""
+        slot = self._slot(codes)
+        left = np.flatnonzero(self.codes[slot] != codes)
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            left = left[self.codes[slot[left]] != codes[left]]
+        return self.values[slot]
+
+
+def score_block(column: pa.ChunkedArray, words: pa.Array, values: np.ndarray, codes: np.ndarray, logp: np.ndarray, depth: int):
     """Per text of the block: number of tokens, known tokens, sum of
-    log10(c + 1) and the model's log10 probability."""
-    n = docs.num_rows
-    tokens, known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-
-    def bodies() -> Iterator[tuple[int, bytes]]:
-        for i, text in enumerate(docs.column("text")):
-            own = words_of(text.as_py())
-            own.append(END)
-            each = np.fromiter(map(words.__getitem__, own), float, len(own))
-            tokens[i], known[i], base[i] = len(own), np.count_nonzero(each), each.sum()
-            own.pop()
-            yield i, _body(own)
-
-    for found, valid, starts, index in gram_chunks(bodies(), depth):
-        values = np.zeros(len(found))
-        values[valid] = logp[np.searchsorted(codes, found[valid])]
-        np.add.at(score, index, np.add.reduceat(values, starts))
-    return tokens, known, base, score / math.log(10.0)
+    log10(c + 1), the model's log10 probability and the body's length.
+    ``words`` and ``values``: log10(c + 1) of each word."""
+    look, end_value = CodeTable(codes, logp), values[pa.compute.index(words, END).as_py()]
+    kinds, tokens, scores, lengths = [], [], [], []
+    for _, _, texts in Texts.steps(column):
+        kinds.append(texts.words.dictionary_encode())
+        tokens.append(np.bincount(texts.text_of, minlength=len(texts.lengths)))
+        score = np.zeros(len(texts.lengths))
+        for found, valid, starts, index in gram_chunks(texts.bodies(), depth):
+            each = np.zeros(len(found))
+            each[valid] = look(found[valid])
+            np.add.at(score, index, np.add.reduceat(each, starts))
+        scores.append(score / math.log(10.0))
+        lengths.append(texts.lengths)
+    # the steps' distinct words are looked up together
+    value = values[pa.compute.index_in(pa.concat_arrays([k.dictionary for k in kinds]), value_set=words).to_numpy()]
+    known, base, at = [], [], 0
+    for k, n in zip(kinds, tokens):
+        each = value[at : at + len(k.dictionary)][k.indices.to_numpy()]
+        text_of = np.repeat(np.arange(len(n)), n)
+        known.append(np.bincount(text_of, each > 0, len(n)).astype(np.int64) + int(end_value > 0))
+        base.append(np.bincount(text_of, each, len(n)) + end_value)
+        at += len(k.dictionary)
+    return np.concatenate(tokens) + 1, *(np.concatenate(c) for c in (known, base, scores, lengths))
 
 
 def train_model(grams: DataFrame, depth: int) -> DataFrame:
@@ -288,8 +378,10 @@ def score_documents(
     Rows whose id's fold (crc32 of the id as text, modulo ``folds``) is
     ``held_fold`` are not learned from. A null or empty text is the end token
     alone. Repeated rows are learned from and scored each. With no training
-    text every byte costs 8 bits. An empty table gives an empty result. A
-    block holds about ``block_bytes`` of whole texts.
+    text every byte costs 8 bits. An empty table gives an empty result. Extra
+    columns are ignored, whatever their names. A block holds about
+    ``block_bytes`` of whole texts (or one longer text); texts are dealt to
+    blocks by id and text, so many rows of one id, or without any, are spread.
     """
     if not 2 <= depth <= 6:
         raise ValueError("depth: 2 to 6 bytes (a gram is a 56-bit number at most)")
@@ -298,19 +390,20 @@ def score_documents(
     small = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("held_out", fold(F.col("doc_id"), folds) == held_fold)
     size = small.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    small = small.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    small = small.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
-    def dictionary(key, batches_or_table):
-        counts, codes, n = block_dictionary(batches_or_table, depth)
-        block = key[0].as_py()
-        return pa.table(
+    def dictionary(key, table):
+        words, codes, n = block_dictionary(table, depth)
+        out = pa.table(
             {
-                "block": pa.array(np.full(len(counts) + len(codes), block, np.int32)),
-                "word": pa.array([*counts.keys(), *[None] * len(codes)], pa.binary()),
-                "gram": pa.array(np.concatenate([np.zeros(len(counts), np.int64), codes.astype(np.int64)])),
-                "n": pa.array(np.concatenate([np.fromiter(counts.values(), np.int64, len(counts)), n.astype(np.int64)])),
+                "block": pa.array(np.full(len(words) + len(codes), key[0].as_py(), np.int32)),
+                "word": pa.chunked_array([*words.column("word").chunks, pa.nulls(len(codes), pa.binary())]),
+                "gram": pa.array(np.concatenate([np.zeros(len(words), np.int64), codes.astype(np.int64)])),
+                "n": pa.array(np.concatenate([words.column("n").to_numpy(), n])),
             }
         )
+        release_memory()  # the worker lives on
+        return out
 
     entries = cut_lineage(
         small.select("block", "text", "held_out").groupBy("block").applyInArrow(dictionary, "block int, word binary, gram long, n long"),
@@ -350,13 +443,12 @@ def score_documents(
             return pa.table({f.name: [] for f in schema.fields}, schema=pa.schema([("doc_id", texts.schema.field("doc_id").type), ("held_out", pa.bool_()), *((f.name, pa.int64()) for f in schema.fields[2:5]), *((f.name, pa.float64()) for f in schema.fields[5:])]))
         is_word = found.column("word").is_valid()
         word_rows, gram_rows = found.filter(is_word), found.filter(pa.compute.invert(is_word))
-        words = dict(zip(word_rows.column("word").to_pylist(), word_rows.column("value").to_pylist()))
+        del found
+        words, values = word_rows.column("word").combine_chunks(), word_rows.column("value").to_numpy()
         codes, logp = gram_rows.column("gram").to_numpy().astype(np.uint64), gram_rows.column("value").to_numpy()
-        order = np.argsort(codes)
-        tokens, known, base, score = score_block(texts, words, codes[order], logp[order], depth)
-        del words, codes, logp, found, word_rows, gram_rows
-        pa.default_memory_pool().release_unused()  # the worker lives on
-        lengths = np.array([len(_body(words_of(t.as_py()))) for t in texts.column("text")])
+        tokens, known, base, total, lengths = score_block(texts.column("text"), words, values, codes, logp, depth)
+        del words, values, codes, logp, word_rows, gram_rows
+        release_memory()  # the worker lives on
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
@@ -365,8 +457,8 @@ def score_documents(
                 "n_known": known,
                 "train_tokens": np.full(len(tokens), n_train, np.int64),
                 "base_score": base - tokens * norm,
-                "score": score,
-                "bits_per_byte": -score / math.log10(2.0) / lengths,
+                "score": total,
+                "bits_per_byte": -total / math.log10(2.0) / lengths,
             }
         )
 
