@@ -8,7 +8,7 @@ so a micro-batch replayed after a failure leaves the tables unchanged.
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from candlewick.functions.exprs import ms_to_ts, order_key
 from candlewick.operators.candles import CANDLE_COLUMNS, price_ticker
-from candlewick.operators.ingest import normalize_trades, parse_trades
+from candlewick.operators.ingest import TRADE_MESSAGE_COLUMNS, classify_raw, normalize_trades, parse_trades, route_trades
 from candlewick.params import DEFAULT, Params
 from candlewick.streaming.detectors import stream_alerts
 
@@ -36,6 +36,12 @@ PRODUCER_OPTIONS = {
 }
 
 
+# Bounds of a micro-batch unless the caller sets others: a batch's rows of one
+# symbol are sorted together by the detectors.
+MAX_RECORDS, MAX_FILES = 1_000_000, 100
+REJECT_REASONS = ("not_json", "not_trade", "missing_field", "null_field", "bad_number")
+
+
 def kafka_source_options(
     bootstrap: str, topic: str = TOPIC, starting_offsets: str = "latest", group_id_prefix: str | None = None
 ) -> dict[str, str]:
@@ -48,16 +54,17 @@ def kafka_source_options(
 
 
 def read_kafka_values(spark: SparkSession, options: dict[str, str], stream: bool = True) -> DataFrame:
-    """``value STRING`` from the log (needs the Kafka connector on the classpath)."""
-    reader = spark.readStream if stream else spark.read
+    """``value STRING`` from the log (needs the Kafka connector on the classpath);
+    a stream takes ``MAX_RECORDS`` a micro-batch at most unless ``options`` say
+    otherwise."""
+    reader = spark.readStream.option("maxOffsetsPerTrigger", str(MAX_RECORDS)) if stream else spark.read
     return reader.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
 def read_text_values(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """File twin of the log: one JSON message per line."""
-    reader = spark.readStream.schema("value STRING")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    """File twin of the log: one JSON message per line, ``MAX_FILES`` files a
+    micro-batch at most by default."""
+    reader = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES))
     return reader.text(path)
 
 
@@ -72,11 +79,25 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str])
 
 
 def trades_from_raw(raw: DataFrame) -> DataFrame:
-    """Raw exchange messages -> engine trades (works on streams). Other
-    messages are dropped here; ``RawIngestSink`` keeps them with a reason."""
-    from candlewick.operators.ingest import serialize_trades
+    """Raw exchange messages -> engine trades (works on streams), typed once:
+    no JSON is written and read again on the way. Other messages are dropped
+    here; ``RawIngestSink`` keeps them with a reason."""
+    return engine_trades(normalize_trades(raw))
+
+
+def engine_trades(messages: DataFrame) -> DataFrame:
+    """Trade messages as the engine's trades."""
+    columns = ["symbol", "trade_id", "price", "quantity", "trade_time_ms"]
+    return messages.select(*columns, ms_to_ts("trade_time_ms").alias("event_ts"))
 
-    return parse_trades(serialize_trades(normalize_trades(raw)))
+
+def observed_messages(raw: DataFrame, name: str = "ingest") -> DataFrame:
+    """``classify_raw`` of a stream that counts as it goes: messages, trades and
+    rejects by reason of every micro-batch, reported in the query's progress
+    under ``name`` (see ``ThroughputListener``)."""
+    one = F.col("reason")
+    counts = [F.count(F.lit(1)).alias("messages"), F.count_if(one.isNull()).alias("trades")]
+    return classify_raw(raw).observe(name, *counts, *[F.count_if(one == r).alias(r) for r in REJECT_REASONS])
 
 
 # ------------------------------------------------------------------ candles
@@ -139,22 +160,43 @@ def run_of(df: DataFrame) -> str:
 
 
 class RawIngestSink:
-    """``foreachBatch`` sink of raw exchange messages: the trades go to the sink
-    ``trades``, every other message with its reason (``value, reason``) to
-    ``path/run=<query>/batch_id=b``. Replaying a batch rewrites the same rows."""
+    """``foreachBatch`` sink of raw exchange messages (or of classified ones): the
+    trades go to the sink ``trades``, every other message with its reason
+    (``value, reason``) to ``path/run=<query>/batch_id=b``. A message is parsed
+    once for both. Replaying a batch rewrites the same rows."""
 
     def __init__(self, path: str, trades):
         self.path, self.trades = path.rstrip("/"), trades
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
-        from candlewick.operators.ingest import rejected_trades
+        src = (raw if "reason" in raw.columns else classify_raw(raw)).persist()
+        rejects = src.where(F.col("reason").isNotNull()).select("value", "reason")
+        rejects.write.mode("overwrite").parquet(f"{self.path}/run={run_of(raw)}/batch_id={batch_id}")
+        self.trades(engine_trades(src.where(F.col("reason").isNull())), batch_id)
+        src.unpersist()
+
+
+class RoutedSink:
+    """``foreachBatch`` sink of the keyed, explicitly partitioned log: records
+    (``key, value, partition``) of trade messages. With ``kafka`` options they
+    go to the log's connector, else to its file twin, JSON lines under
+    ``path/run=<query>/batch_id=b/partition=N``, where a replayed batch rewrites
+    its own records."""
+
+    def __init__(self, path: str = "", kafka: dict[str, str] | None = None, p: Params = DEFAULT):
+        self.path, self.kafka, self.p = path.rstrip("/"), kafka, p
+
+    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        routed = route_trades(messages, self.p).select("key", "value", "partition")
+        if self.kafka is not None:
+            options = {k: v for k, v in self.kafka.items() if k != "checkpointLocation"}
+            routed.write.format("kafka").options(**options).save()
+            return
+        out = routed.withColumn("key", F.col("key").cast("string")).write.mode("overwrite").partitionBy("partition")
+        out.json(f"{self.path}/run={run_of(messages)}/batch_id={batch_id}")
 
-        own_cache = not raw.is_cached  # the batch is read for both sides
-        src = raw.persist() if own_cache else raw
-        rejected_trades(src).write.mode("overwrite").parquet(f"{self.path}/run={run_of(raw)}/batch_id={batch_id}")
-        self.trades(trades_from_raw(src), batch_id)
-        if own_cache:
-            src.unpersist()
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("key string, value string, partition int").json(self.path).select("key", "value", "partition")
 
 
 class BatchParquetSink:
@@ -297,9 +339,28 @@ def start_alert_query(
     return w.foreachBatch(sink).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+def start_ingest_query(
+    raw: DataFrame, log: RoutedSink, quarantine_path: str, checkpoint: str, trigger: dict | None = None, name: str = "ingest"
+) -> StreamingQuery:
+    """The producer as one query: raw messages are classified once, trades go to
+    the routed log, rejects with their reason to the quarantine, and their
+    counts into the query's progress."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        src = batch.persist()
+        rejects = src.where(F.col("reason").isNotNull()).select("value", "reason")
+        rejects.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/run={run_of(batch)}/batch_id={batch_id}")
+        log(src.where(F.col("reason").isNull()).select(*TRADE_MESSAGE_COLUMNS), batch_id)
+        src.unpersist()
+
+    w = observed_messages(raw, name).writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
+    return w.foreachBatch(write).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 class ThroughputListener(StreamingQueryListener):
     """Rows/s and batch sizes of running queries: the last ``keep`` progress
-    lines and failures, and running totals."""
+    lines and failures, running totals, and the sums of observed counts (by
+    observation and name: messages, trades, rejects by reason)."""
 
     def __init__(self, keep: int = 1000):
         self.progress: deque[dict] = deque(maxlen=keep)
@@ -307,6 +368,7 @@ class ThroughputListener(StreamingQueryListener):
         self.rows = 0
         self.batches = 0
         self.failures = 0
+        self.counts: dict[str, Counter] = {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -315,6 +377,8 @@ class ThroughputListener(StreamingQueryListener):
         pr = event.progress
         self.rows += pr.numInputRows
         self.batches += 1
+        for name, row in (pr.observedMetrics or {}).items():
+            self.counts.setdefault(name, Counter()).update({k: v for k, v in row.asDict().items() if v is not None})
         self.progress.append(
             {
                 "name": pr.name,
