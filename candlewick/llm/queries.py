@@ -80,6 +80,11 @@ def op1(spark, sf):
     return url_filter.judge_urls(table(spark, sf, "pages"))
 
 
+#: crc32 of a decimal id: bytes are folded in one after the other, eight shifts each.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
+ lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
 PSEUDONYM_KEY = "corpus-key-1"  # a secret in production: a parameter of the operator
 
 
@@ -101,7 +106,22 @@ def op4(spark, sf):
     return ctw.score_documents(table(spark, sf, "documents"))
 
 
-@register("op5_language_id")
+RANK_SQL = rf"""WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lower(text) AS text, lang,
+      coalesce({CRC32.format("doc_id")}, 0) % 4 = 2 AS held_out FROM documents),
+w AS (SELECT rid, ' ' || unnest(regexp_extract_all(text, '\p{{L}}+')) || ' ' AS word FROM t),
+p AS (SELECT rid, word, unnest(range(1, length(word) + 1)) AS i FROM w),
+g AS (SELECT rid, gram, count(*) AS n FROM (SELECT rid, substr(word, i, k) AS gram, i + k - 1 <= length(word) AS fits FROM p, (VALUES (1), (2), (3)) v(k))
+      WHERE fits AND gram <> ' ' GROUP BY rid, gram),
+d AS (SELECT rid, gram, row_number() OVER (PARTITION BY rid ORDER BY n DESC, length(gram), gram) - 1 AS r FROM g QUALIFY r < {language_id.TOP}),
+l AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, length(gram), gram) - 1 AS r
+      FROM g JOIN t USING (rid) WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, gram QUALIFY r < {language_id.TOP}),
+x AS (SELECT d.rid, a.lang, sum(coalesce(abs(l.r - d.r), {language_id.TOP})) AS far, count(*) AS n
+      FROM d CROSS JOIN (SELECT DISTINCT lang FROM l) a LEFT JOIN l ON l.lang = a.lang AND l.gram = d.gram GROUP BY d.rid, a.lang),
+y AS (SELECT rid, lang, 1.0::DOUBLE - far::DOUBLE / ({language_id.TOP} * n) AS score FROM x QUALIFY row_number() OVER (PARTITION BY rid ORDER BY far, lang) = 1)
+SELECT doc_id, held_out, coalesce(y.lang, 'und') AS lang_pred, coalesce(score, 0.0::DOUBLE) AS score FROM t LEFT JOIN y USING (rid)"""
+
+
+@register("op5_language_id", RANK_SQL)
 def op5(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select(F.col("_in0").alias("doc_id"), "held_out", "lang_pred", "score")
@@ -193,10 +213,6 @@ def op11(spark, sf):
     return ball_codes.label_errors(coded).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", digest)
 
 
-#: crc32 of a decimal id: bytes are folded in one after the other, eight shifts each.
-CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
- lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
-
 TRIE_SQL = f"""WITH r AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS txt, row_number() OVER
       (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
 v AS (SELECT c, c - c % {prefix_trie.FAMILY} AS base, {CRC32.format("c")} % {prefix_trie.HEADS} AS h FROM (SELECT DISTINCT c FROM r)),
