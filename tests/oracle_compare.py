@@ -9,10 +9,11 @@ import math
 import sys
 import time
 
-import duckdb
-
 import os
 
+import duckdb
+import pandas as pd
+
 EXACT = bool(os.environ.get("ORACLE_EXACT"))
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -40,7 +41,7 @@ def rows_of(pdf):
     cols = sorted(pdf.columns)
     out = []
     for rec in pdf[cols].itertuples(index=False):
-        out.append(tuple(_norm(None if (x is None or (isinstance(x, float) and math.isnan(x))) else x) for x in rec))
+        out.append(tuple(_norm(None if (x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x))) else x) for x in rec))
     return cols, sorted(out, key=repr)
 
 
