@@ -321,9 +321,11 @@ def repeated_windows(
     often = listed.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor")
     some = cut_lineage(listed.join(often, "anchor", "left_semi"), "suffix-candidates")
     one = some.groupBy("anchor", "region").agg(F.sum("copies").alias("copies"), F.min(F.struct("key", "low", "high", "at")).alias("one"))
-    one = one.select("anchor", "region", "copies", "one.*")
-    size = one.groupBy("anchor").agg((F.count(F.lit(1)) > hot_regions).alias("hot"))
-    by_text = one.join(size, "anchor").groupBy("key").agg(F.collect_list(F.struct("low", "high", "at", "anchor", "region", "copies", "hot")).alias("regions"))
+    one = cut_lineage(one.select("anchor", "region", "copies", "one.*"), "suffix-distinct")
+    # written, so its size is known: at most one row per hot_regions rows
+    hot = cut_lineage(one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_regions).select("anchor"), "suffix-hot")
+    flagged = one.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    by_text = flagged.groupBy("key").agg(F.collect_list(F.struct("low", "high", "at", "anchor", "region", "copies", "hot")).alias("regions"))
     whole = texts.join(by_text.select("key"), "key", "left_semi").dropDuplicates(["key"])
     found = whole.select("key", F.col("text").cast("binary").alias("text")).join(by_text, "key").select("text", "regions")
     pieces = cut_lineage(cut_regions(found, window, piece), "suffix-pieces")
