@@ -53,7 +53,8 @@ def mark_duplicates(
     that repeat an id with the same text share one verdict. A null id loses
     to any other; in a group of null ids only, all rows are kept (they cannot
     be told apart), with a null ``keep_id``. An empty table gives an empty
-    result.
+    result. Very long texts are compared whole; extra columns are passed
+    through, whatever their names.
     """
     raw, names = hidden(docs)
     doc_id, text = F.col(position(names, id_col)), F.coalesce(F.col(position(names, text_col)), F.lit(""))

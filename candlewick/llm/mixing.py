@@ -134,6 +134,8 @@ def mix(
     A null text has size 0; a null source is a source of its own, last in
     order; rows that repeat an id share a hash and are taken together. An
     empty table gives an empty result; a corpus without words takes nothing.
+    Very long texts count all their words; rows of one hash (ties) are taken or
+    left together; extra columns are passed through, whatever their names.
     The table of sources is written once, so Spark broadcasts it only while
     its measured size is under the session's threshold.
     """

@@ -350,7 +350,10 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     plus ``n_values`` and one count per kind. ``back=True`` inverts.
 
     A null text stays null, with counts 0; rows are independent, so the map
-    needs no shuffle. Texts without a digit or ``@`` pass as they are.
+    needs no shuffle. Texts without a digit or ``@`` pass as they are; very long
+    ones are rewritten whole, repeated rows alike, an empty table gives an empty
+    result, and extra columns are passed through, whatever their names. Of
+    values that overlap, the one that starts first is replaced.
     """
     ship_package(docs.sparkSession)
     raw, names = hidden(docs)

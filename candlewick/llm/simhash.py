@@ -187,7 +187,9 @@ def near_duplicates(
     Texts without words share the fingerprint 0 and are linked like any
     others. Null ids take part in links but name no component (a component
     of null ids only has a null id). Repeated rows give repeated rows; an
-    empty table gives an empty result.
+    empty table gives an empty result. Very long texts are hashed whole; a bit
+    set in exactly half the shingles is 0; extra columns are ignored, whatever
+    their names.
     """
     marks = cut_lineage(fingerprints(docs, id_col, text_col, words), "simhash-fp")
     classes = cut_lineage(marks.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")

@@ -134,6 +134,8 @@ def judge_urls(
     0.  Without any rejected (or accepted) example the models say nothing: the
     ratio is then one-sided, the threshold 0. Repeated rows are judged once
     and returned as often as they came; an empty table gives an empty result.
+    A very long URL is one text of as many characters; of scores equal to the
+    threshold all are allowed; extra columns are ignored, whatever their names.
     """
     base = pick(pages, id_col, url_col).toDF("page_id", "url").groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("copies"))
     host, path = host_and_path(F.col("url"))
