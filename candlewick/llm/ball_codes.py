@@ -206,7 +206,7 @@ def encode_vectors(
         return cut_lineage(table.mapInArrow(run, schema), "balls-codes")
 
     names = [f"s{i}" for i in range(step)]
-    stats_schema = ", ".join(f"{c} bigint" for c in ("part", "entry", "n", "radius", *names))
+    stats_schema = ", ".join(f"{c} bigint" for c in ("part", "entry", "n", *names))
 
     def statistics(table: DataFrame) -> list[np.ndarray]:
         """Per part position: rows (entry, count, sums...) of the entries in use."""
@@ -229,7 +229,7 @@ def encode_vectors(
                 [pa.array(part), pa.array(entry), *(pa.array(np.ascontiguousarray(found[:, i])) for i in range(1 + step))], names=["part", "entry", "n", *names]
             )
 
-        partial = table.select("v", "code").mapInArrow(run, stats_schema.replace("radius bigint, ", ""))
+        partial = table.select("v", "code").mapInArrow(run, stats_schema)
         # at most parts x entries rows; sums of sums as decimals cannot overflow
         sums = partial.groupBy("part", "entry").agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in names]).collect()
         out = [book.copy() for book in books]
