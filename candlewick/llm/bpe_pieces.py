@@ -172,7 +172,8 @@ def encode_documents(
     leaves the arrays out.
 
     A null text counts as empty: no ids, and both digests are those of nothing.
-    Rows are independent (repeated rows give repeated results, a null id stays
+    Whole texts are encoded however long they are; extra columns are ignored,
+    whatever their names; an empty table gives an empty result. Rows are independent (repeated rows give repeated results, a null id stays
     null); the map needs no shuffle. The vocabulary file must exist at the
     same path on every executor (as the installed package of public
     tokenizers does).
@@ -195,13 +196,12 @@ def encode_documents(
         for batch in batches:
             for start in range(0, batch.num_rows, STEP_ROWS):  # bounds what a step holds
                 part = batch.slice(start, STEP_ROWS)
-                n, told, plain, lists = [], [], [], []
-                for got, as_text in tool.encode_many([t or "" for t in part.column("text").to_pylist()]):
-                    n.append(len(got))
-                    told.append(hashlib.sha256(as_text.encode()).hexdigest())
-                    plain.append(hashlib.sha256(tool.decode(got)).hexdigest())
-                    if ids:
-                        lists.append(got)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                done = {}  # equal texts near each other (copies that a mix takes) are encoded once
+                kinds = list(dict.fromkeys(texts))
+                for text, (got, as_text) in zip(kinds, tool.encode_many(kinds)):
+                    done[text] = (len(got), hashlib.sha256(as_text.encode()).hexdigest(), hashlib.sha256(tool.decode(got)).hexdigest(), got if ids else None)
+                n, told, plain, lists = zip(*map(done.__getitem__, texts))
                 cols = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(told, pa.string()), pa.array(plain, pa.string())]
                 if ids:
                     cols.append(pa.array(lists, pa.list_(pa.int32())))
