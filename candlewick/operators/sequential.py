@@ -11,30 +11,35 @@ every chunk is folded independently:
    incoming state and its outgoing state.
 2. **Verification.** The true incoming state of a chunk is the outgoing
    state of the previous non-empty chunk of the same key. This is a small
-   table (one row per chunk). Chunks whose assumption was wrong are folded
-   again from the true state; that may change their outgoing state, so the
-   check repeats until nothing changes. The earliest wrong chunk is right
-   after one re-run, so the loop ends; in practice one speculative pass and
-   a few re-runs of single chunks.
+   table (one row per chunk). Where the assumption was wrong, the chunk is
+   folded again from the true state; that may change its outgoing state, so
+   the re-fold goes on through the next chunks until one was entered with
+   the right state, at most to the end of its block (consecutive chunks of a
+   key). Blocks are checked against each other the same way, and grow from
+   round to round, so the number of rounds does not grow with the number of
+   chunks that a wrong state runs through. The earliest wrong chunk is right
+   after one round, so the loop ends.
 
 A fold may start from given states (``initial``, one row per key) and return
 the states it ends in, so a later run continues where this one stopped.
 
 Each pass is checkpointed into the shared checkpoint folder so a lost
 executor recomputes only the current pass. The fold itself runs inside
-``applyInPandas`` (one chunk per call, bounded by the planner): array searches
-from event to event, which column expressions cannot state.
+``mapInArrow`` over sorted rows (one chunk in memory, bounded by the planner):
+array searches from event to event, which column expressions cannot state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 import logging
 
@@ -44,6 +49,11 @@ from candlewick.session import cut_lineage, ship_package
 
 log = logging.getLogger("candlewick.sequential")
 
+#: Rows of consecutive chunks that a re-fold runs through in a row: at first,
+#: growth from round to round, and at most. Only one chunk is in memory at a time.
+BLOCK_ROWS, BLOCK_GROWTH, MAX_BLOCK_ROWS = 20_000, 8, 2_000_000
+OUT_ROWS = 10_000  # rows of a fold's results per Arrow batch
+
 
 @dataclass
 class SequentialRule:
@@ -68,14 +78,12 @@ class SequentialRule:
 
 
 def _schema(rule: SequentialRule, key: str) -> StructType:
-    from pyspark.sql.types import BooleanType, LongType, StringType
-
     fields = [
         StructField(key, StringType()),
         StructField("chunk", LongType()),
         StructField("_kind", StringType()),
         StructField("_first_ts", LongType()),
-        StructField("_spec", BooleanType()),
+        StructField("_rows", LongType()),
     ]
     fields += [StructField(f.name, f.dataType, True) for f in rule.out_fields]
     fields += [StructField("in_" + f.name, f.dataType, True) for f in rule.state_fields]
@@ -83,38 +91,100 @@ def _schema(rule: SequentialRule, key: str) -> StructType:
     return StructType(fields)
 
 
+_ARROW = {LongType: pa.int64(), IntegerType: pa.int32(), DoubleType: pa.float64(), BooleanType: pa.bool_(), StringType: pa.string()}
+
+
+def _chunks_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pd.DataFrame]:
+    """The rows of one chunk after the other; ``batches`` are sorted by key and
+    chunk, and a chunk may run over several of them."""
+    pieces: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, chunks = batch.column(key).to_pandas().to_numpy(), batch.column("chunk").to_numpy()
+        starts = np.flatnonzero((chunks[1:] != chunks[:-1]) | (keys[1:] != keys[:-1])) + 1
+        for a, b in zip([0, *starts.tolist()], [*starts.tolist(), batch.num_rows]):
+            here = (keys[a], chunks[a])
+            if pieces and here != last:
+                yield pa.Table.from_batches(pieces).to_pandas()
+                pieces = []
+            pieces.append(batch.slice(a, b - a))
+            last = here
+    if pieces:
+        yield pa.Table.from_batches(pieces).to_pandas()
+
+
 def _fold_fn(rule: SequentialRule, key: str, speculative: bool):
+    """Folds the chunks of a partition (sorted by key, chunk, time and id), one
+    in memory at a time."""
+    schema = _schema(rule, key)
     n_out = len(rule.out_fields)
     n_state = len(rule.state_fields)
     state_names = [f.name for f in rule.state_fields]
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf[~pdf["_halo"]] if speculative else pdf
-        if own.empty:
-            return pd.DataFrame(columns=[f.name for f in _schema(rule, key).fields])
-        pdf = pdf.sort_values(["trade_time_ms", "trade_id"], kind="stable", na_position="first")
-        k = own[key].iloc[0]
-        chunk = int(own["chunk"].iloc[0])
-        if speculative:
-            halo = pdf[pdf["_halo"]]
-            mine = pdf[~pdf["_halo"]]
-            state = rule.step(rule.initial, halo, None) if len(halo) else rule.initial
-        else:
-            mine = pdf
+    def given(first, prefix: str) -> tuple:
+        return tuple(None if pd.isna(first[prefix + s]) else first[prefix + s] for s in state_names)
+
+    def folds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pd.DataFrame, tuple]]:
+        """Rows to fold and the state ahead of them."""
+        block = state = None
+        for pdf in _chunks_of(batches, key):
+            if speculative:
+                mine = pdf[~pdf["_halo"]]
+                if len(mine):
+                    halo = pdf[pdf["_halo"]]
+                    state = rule.step(rule.initial, halo, None) if len(halo) else rule.initial
+                    yield mine, rule.normalize(state, int(mine["trade_time_ms"].iloc[0]))
+                continue
             first = pdf.iloc[0]
-            state = tuple(None if pd.isna(first["in_" + s]) else first["in_" + s] for s in state_names)
-        first_ts = int(mine["trade_time_ms"].iloc[0])
-        state = rule.normalize(state, first_ts)
-        in_state = state
-        rows: list[tuple] = []
-        state = rule.step(state, mine, rows.append)
-        recs = [(k, chunk, "out", first_ts, speculative) + r + (None,) * (2 * n_state) for r in rows]
-        recs.append((k, chunk, "state", first_ts, speculative) + (None,) * n_out + tuple(in_state) + tuple(state))
-        return pd.DataFrame.from_records(recs, columns=[f.name for f in _schema(rule, key).fields])
+            if block != (first[key], first["_block"]):
+                block, state = (first[key], first["_block"]), None
+            if state is None:  # the chunk before stays as it was
+                if first["_ok"]:
+                    continue
+                start = rule.normalize(given(first, "exp_"), int(first["trade_time_ms"]))
+            else:
+                start = rule.normalize(state, int(first["trade_time_ms"]))
+                if all(a == b for a, b in zip(start, given(first, "in_"))):
+                    state = None
+                    continue
+            state = yield pdf, start
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recs: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            arrays = [pa.array(c, _ARROW[type(f.dataType)], from_pandas=True) for c, f in zip(zip(*recs), schema.fields)]
+            return pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+        todo, ended = folds(batches), None
+        while True:
+            try:
+                mine, state = todo.send(ended)
+            except StopIteration:
+                break
+            k, chunk, first_ts = mine[key].iloc[0], int(mine["chunk"].iloc[0]), int(mine["trade_time_ms"].iloc[0])
+            rows: list[tuple] = []
+            ended = rule.step(state, mine, rows.append)
+            recs += [(k, chunk, "out", first_ts, len(mine)) + r + (None,) * (2 * n_state) for r in rows]
+            recs.append((k, chunk, "state", first_ts, len(mine)) + (None,) * n_out + tuple(state) + tuple(ended))
+            if len(recs) >= OUT_ROWS:
+                yield batch()
+                recs.clear()
+        if recs:
+            yield batch()
 
     return fn
 
 
+def _folded(rows: DataFrame, rule: SequentialRule, key: str, speculative: bool) -> DataFrame:
+    """``rows`` folded chunk by chunk; re-folds keep the chunks of a block together."""
+    spread = rows.repartition(key, "chunk" if speculative else "_block")
+    ordered = spread.sortWithinPartitions(key, "chunk", "trade_time_ms", "trade_id")
+    return cut_lineage(ordered.mapInArrow(_fold_fn(rule, key, speculative), _schema(rule, key)), rule.name)
+
+
 def _null_safe_equal(a: Sequence[Column], b: Sequence[Column]) -> Column:
     cond = F.lit(True)
     for x, y in zip(a, b):
@@ -157,13 +227,11 @@ def fold_with_states(
     both = with_halo_copies(base, F.col("trade_time_ms") >= F.col("next_chunk_start_ms") - F.col("_look_back")).select(
         *cols, "_halo"
     )
-    spec = cut_lineage(
-        both.groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, True), schema), rule.name
-    )
+    spec = _folded(both, rule, key, True)
 
     results = [spec.where(F.col("_kind") == "out").withColumn("_round", F.lit(0))]
     states = spec.where(F.col("_kind") == "state").select(
-        key, "chunk", "_first_ts", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
+        key, "chunk", "_first_ts", "_rows", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
     ).withColumn("_round", F.lit(0))
     names = [f.name for f in rule.state_fields]
     own_rows = rows.select(*cols)
@@ -193,15 +261,20 @@ def fold_with_states(
         rnd += 1
         if rnd == 2:  # more than a single correction: later rounds read the rows instead of computing them again
             own_rows = cut_lineage(own_rows, rule.name + "-rows")
-        # re-fold only the wrong chunks, from their true incoming state
-        starts = bad.select(key, "chunk", *[F.col("exp_" + n).alias("in_" + n) for n in names])
-        rerun = own_rows.join(starts, [key, "chunk"])
-        redo = cut_lineage(rerun.groupBy(key, "chunk").applyInPandas(_fold_fn(rule, key, False), schema), rule.name)
+        # re-fold from each block's first wrong chunk on, from its true incoming state
+        size = min(BLOCK_ROWS * BLOCK_GROWTH ** (rnd - 1), MAX_BLOCK_ROWS)
+        before = F.coalesce(F.sum("_rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        dealt = checked.withColumn("_block", F.floor(before / F.lit(size)).cast("bigint"))
+        first_bad = F.min(F.when(~F.col("_ok"), F.col("chunk"))).over(Window.partitionBy(key, "_block"))
+        starts = dealt.withColumn("_from", first_bad).where(F.col("chunk") >= F.col("_from")).select(
+            key, "chunk", "_block", "_ok", *[F.col(x + n) for n in names for x in ("in_", "exp_")]
+        )
+        redo = _folded(own_rows.join(starts, [key, "chunk"]), rule, key, False)
         results.append(redo.where(F.col("_kind") == "out").withColumn("_round", F.lit(rnd)))
         new_states = redo.where(F.col("_kind") == "state").select(
-            key, "chunk", "_first_ts", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
+            key, "chunk", "_first_ts", "_rows", *[F.col(c) for c in schema.fieldNames() if c.startswith(("in_", "out_"))]
         ).withColumn("_round", F.lit(rnd))
-        keep = checked.where(F.col("_ok")).select(*states.columns)
+        keep = states.join(new_states.select(key, "chunk"), [key, "chunk"], "left_anti").select(*states.columns)
         states = cut_lineage(keep.unionByName(new_states), rule.name + "-states")
 
     final_round = states.select(key, "chunk", "_round")
@@ -221,8 +294,6 @@ def combine_rules(rules: Sequence[tuple[SequentialRule, str | None]], name: str
     states; output rows carry ``_rule`` (index) and the rule's fields
     prefixed ``<rule name>__`` (other rules' fields NULL).
     """
-    from pyspark.sql.types import IntegerType
-
     sizes = [len(r.state_fields) for r, _ in rules]
     offsets = [sum(sizes[:i]) for i in range(len(sizes))]
     outs = [[StructField(f"{r.name}__{f.name}", f.dataType, True) for f in r.out_fields] for r, _ in rules]
