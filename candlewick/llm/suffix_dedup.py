@@ -45,6 +45,7 @@ from candlewick.session import cut_lineage, ship_package
 WINDOW = 400
 GRAM = 128  # a power of two of at least 8
 STEP_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20  # of texts that a task works on at once
 PIECE = 16
 HOT_REGIONS = 256
 SHARD_BYTES = 2 << 20
@@ -116,6 +117,18 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """``batches`` cut where ``column`` (string or binary) passes ``SLICE_BYTES``; a row stays whole."""
+    for batch in batches:
+        ends = _binary(batch.column(column))[1][1:]
+        at = 0
+        while at < batch.num_rows:
+            begin = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, begin + SLICE_BYTES, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def list_regions(texts: DataFrame, window: int, gram: int, step: int) -> DataFrame:
     """``key, low, high, at, anchor, region, copies`` of ``texts`` (``key, text``):
     each document's distinct regions (first and last window start, the anchor's
@@ -126,7 +139,7 @@ def list_regions(texts: DataFrame, window: int, gram: int, step: int) -> DataFra
     names = ["key", "low", "high", "at", "anchor", "region", "copies"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             raw, offsets = _binary(batch.column("text"))
             keys = batch.column("key").to_pylist()
             memory = memoryview(np.ascontiguousarray(raw))
@@ -195,10 +208,10 @@ def cut_regions(found: DataFrame, window: int, piece: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         size = 0
-        for batch in batches:
-            for text, regions in zip(batch.column("text"), batch.column("regions").to_pylist()):
+        for batch in slices(batches, "text"):
+            for text, regions in zip(batch.column("text"), batch.column("regions")):
                 raw = memoryview(text.as_buffer())
-                for r in regions:
+                for r in regions.as_py():
                     for place, off, last in parts(r, raw):
                         body = bytes(raw[r["low"] + off : r["low"] + last + window])
                         out.append((place, r["anchor"], r["region"], r["copies"], off, body))
@@ -365,7 +378,7 @@ def remove_repeats(
     extra = "n_bytes long, n_removed long, n_spans long, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_body"):
             n_bytes, n_removed, n_spans, kept = [], [], [], []
             for body, spans in zip(batch.column("_body").to_pylist(), batch.column("_spans").to_pylist()):
                 runs: list[list[int]] = []

@@ -112,3 +112,15 @@ def test_repeats_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, queries.QUERIES["op13_suffix_dedup"](spark, sf).collect()), key=repr)
     assert got == brute(rows, 400) and any(r[2] for r in got) and not all(r[2] for r in got)
+
+
+def test_tasks_work_on_slices_of_their_batches():
+    import pyarrow as pa
+
+    from candlewick.llm import suffix_dedup as SD
+
+    texts = ["a" * 300_000] * 10 + ["", "b" * (3 * SD.SLICE_BYTES), "c"]
+    batch = pa.record_batch({"text": pa.array(texts, pa.large_string())}).slice(1)
+    parts = list(SD.slices([batch], "text"))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts[1:]
+    assert all(p.num_rows == 1 or sum(map(len, p.column("text").to_pylist())) <= SD.SLICE_BYTES for p in parts)
