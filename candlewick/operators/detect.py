@@ -26,6 +26,7 @@ from candlewick.functions.exprs import guarded_div, ms_to_ts, render, severity
 from candlewick.operators.features import all_features, spike_features, wash_features, with_chunks
 from candlewick.operators.sequential import SequentialRule, combine_rules, run_sequential
 from candlewick.params import DEFAULT, PUMP_TEXT, SPIKE_TEXT, WASH_TEXT, Params
+from candlewick.session import cut_lineage
 
 ANOMALY_COLUMNS = [
     "symbol",
@@ -126,6 +127,7 @@ def cooldown_rule(p: Params = DEFAULT) -> SequentialRule:
         step=step,
         normalize=normalize,
         normalize_cols=normalize_cols,
+        ties=["recent_count"],  # a repeated trade counts itself after the first
     )
 
 
@@ -284,10 +286,11 @@ def anomaly_events(trades: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """One alert relation for all patterns (``unionByName``).
 
     Trades are chunked once; wash and spike features come from one sort per
-    chunk, and the two sequential rules (pump state machine over all trades,
-    spike cooldown over candidates) are folded in one pass.
+    chunk, written once for the rules that read them, and the two sequential
+    rules (pump state machine over all trades, spike cooldown over candidates)
+    are folded in one pass.
     """
-    f = all_features(trades, p)
+    f = cut_lineage(all_features(trades, p), "features")
     rule = combine_rules([(pump_rule(p), None), (cooldown_rule(p), "_spike_candidate")], "alerts")
     folded = run_sequential(f.withColumn("_spike_candidate", spike_test(p)), rule, p.seq_halo_ms)
 

@@ -27,6 +27,7 @@ from candlewick.operators import features as FE
 from candlewick.operators.chunks import recent_count, rolling_rows, with_frame_halo
 from candlewick.operators.sequential import SequentialRule, combine_rules, fold_with_states
 from candlewick.params import DEFAULT, Params
+from candlewick.session import cut_lineage
 
 FOLD_FIELDS = ["base_price", "base_ms", "peak_price", "expired", "last_alert_ms"]
 TAIL = "tail array<struct<trade_id:bigint,trade_time_ms:bigint,price:double,quantity:double,recent_count:bigint>>"
@@ -89,7 +90,7 @@ def detect_from(trades: DataFrame, state: DataFrame | None, end_ms: int, p: Para
     """Alerts (``detect.ANOMALY_COLUMNS``) of ``trades``, all of them before
     ``end_ms`` and behind the trades of ``state``, and the state at ``end_ms``."""
     state = empty_state(trades.sparkSession) if state is None else state
-    f = continued_features(trades, state, p)
+    f = cut_lineage(continued_features(trades, state, p), "features")  # read by the wash rule and every pass of the folds
     parts = [D.pump_rule(p), D.cooldown_rule(p), tail_rule(reach(p))]
     rule = combine_rules([(parts[0], None), (parts[1], "_spike_candidate"), (parts[2], None)], "resumed")
     start = state.select("symbol", *[F.col(c).alias(n) for c, n in zip(FOLD_FIELDS, _COMBINED)])

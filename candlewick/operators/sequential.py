@@ -64,7 +64,7 @@ class SequentialRule:
     tuples matching ``out_fields``. ``normalize(state, first_ts)`` maps a
     state to a canonical form given the first row it will meet (states that
     act the same compare equal); ``normalize_cols`` is the same as column
-    expressions.
+    expressions. ``ties``: input columns that order rows of equal time and id.
     """
 
     name: str
@@ -75,6 +75,7 @@ class SequentialRule:
     step: Callable
     normalize: Callable[[tuple, int], tuple]
     normalize_cols: Callable[[list[Column], Column], list[Column]]
+    ties: Sequence[str] = ()
 
 
 def _schema(rule: SequentialRule, key: str) -> StructType:
@@ -181,7 +182,7 @@ def _fold_fn(rule: SequentialRule, key: str, speculative: bool):
 def _folded(rows: DataFrame, rule: SequentialRule, key: str, speculative: bool) -> DataFrame:
     """``rows`` folded chunk by chunk; re-folds keep the chunks of a block together."""
     spread = rows.repartition(key, "chunk" if speculative else "_block")
-    ordered = spread.sortWithinPartitions(key, "chunk", "trade_time_ms", "trade_id")
+    ordered = spread.sortWithinPartitions(key, "chunk", "trade_time_ms", "trade_id", *rule.ties)
     return cut_lineage(ordered.mapInArrow(_fold_fn(rule, key, speculative), _schema(rule, key)), rule.name)
 
 
@@ -344,4 +345,5 @@ def combine_rules(rules: Sequence[tuple[SequentialRule, str | None]], name: str
         step=step,
         normalize=normalize,
         normalize_cols=normalize_cols,
+        ties=list(dict.fromkeys(c for rule, _ in rules for c in rule.ties)),
     )

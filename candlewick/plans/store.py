@@ -20,6 +20,7 @@ from candlewick.operators import candles as C
 from candlewick.operators import detect as D
 from candlewick.params import DEFAULT, Params
 from candlewick.plans import serving as SV
+from candlewick.session import cut_lineage
 
 BUCKETS = 8
 #: table -> (partition columns, time column)
@@ -118,6 +119,7 @@ class Store:
 def build(trades: DataFrame, root: str, p: Params = DEFAULT, buckets: int = BUCKETS) -> Store:
     """Compute the result relations of ``trades`` once and store them under ``root``."""
     spark, prefix = trades.sparkSession, f"candlewick_{uuid.uuid4().hex[:12]}"
+    trades = cut_lineage(trades, "store-trades")  # each step reads them again: parsed once
     write_table(C.candles(trades, p=p), f"{prefix}_ohlc_candles", root, "ohlc_candles", buckets)
     write_table(D.anomaly_events(trades, p), f"{prefix}_anomaly_events", root, "anomaly_events", buckets)
     stored = spark.table(f"{prefix}_ohlc_candles").drop("event_date")
