@@ -39,6 +39,15 @@ def spill_folder() -> str:
     return tempfile.mkdtemp(prefix="induced-", dir=top if top and os.path.isdir(top) else None)
 
 
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """Stable order of values that are not negative; they are sorted together
+    with their places while both fit one integer, which is faster."""
+    bits = len(values).bit_length()
+    if len(values) and int(values.max()) >> (63 - bits) == 0:
+        return np.sort((values << bits) | np.arange(len(values))) & ((1 << bits) - 1)
+    return np.argsort(values, kind="stable")
+
+
 class Run:
     """Sorted tuples: columns key, position, common prefix; ``at`` is the first not taken."""
 
@@ -211,7 +220,7 @@ def induce(text: np.ndarray, flip: int | None, change: np.ndarray, queue: TupleQ
         at = np.flatnonzero(moves)
         if len(at):
             to = before[at]
-            order = np.argsort(to, kind="stable")
+            order = np.argsort(to.astype(np.uint16) if kinds <= 1 << 16 else to, kind="stable")
             at, to = at[order], to[order]
             again = np.zeros(len(at), bool)
             again[1:] = to[1:] == to[:-1]
@@ -256,7 +265,7 @@ def name_pieces(text: np.ndarray, s_type: np.ndarray, star: np.ndarray) -> np.nd
             symbol = (text[where].astype(np.int64) << 1) | s_type[where]
             word = (word << bits) | np.where(k < length[open_], symbol, 0)
         at += pack
-        order = np.lexsort((word, name[open_]))
+        order = np.lexsort((word, name[open_])) if at > pack else np.argsort(word)  # at first all names are equal
         rows = open_[order]
         group, word = name[rows], word[order]
         starts = np.ones(len(rows), bool)
@@ -270,7 +279,9 @@ def name_pieces(text: np.ndarray, s_type: np.ndarray, star: np.ndarray) -> np.nd
         size = np.diff(np.append(np.flatnonzero(differs), len(rows)))
         alone = np.repeat(size, size) == 1
         open_ = rows[~alone & (length[rows] > at)]
-    return np.unique(name, return_inverse=True)[1]
+    used = np.zeros(len(star), bool)
+    used[name] = True
+    return (np.cumsum(used) - 1)[name]
 
 
 def doubling(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,12 +293,12 @@ def doubling(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
         later = np.zeros(len(rank), np.int64)
         later[:-step] = rank[step:] + 1
         pair = rank * (int(rank.max()) + 2) + later
-        order = np.argsort(pair, kind="stable")
+        order = stable_order(pair)
         new = np.empty(len(rank), np.int64)
         new[order] = np.concatenate(([0], np.cumsum(np.diff(pair[order]) != 0)))
         rank = new
         levels.append(rank)
-    order = np.argsort(rank, kind="stable")
+    order = stable_order(rank)
     i, j, lcp = order[:-1].copy(), order[1:].copy(), np.zeros(len(order), np.int64)
     for k in range(len(levels) - 1, -1, -1):
         level = np.append(levels[k], -1)

@@ -13,9 +13,11 @@ with the same anchor: *regions*. So:
 
 1. all regions of the corpus are listed (places and hashes, no text);
 2. regions whose anchor occurs once hold no repeated window and are left;
-3. equal regions are combined, one of them stands for all;
-4. texts of the remaining distinct regions go to shards by anchor, suffixes are
-   sorted, and windows met twice (or of regions that occur twice) are marked;
+3. equal regions are combined, one of them stands for all; where that is the
+   only one of its anchor, all its windows are known to repeat;
+4. texts of the remaining distinct regions go to shards by anchor, suffixes of
+   those that share enough bytes around the anchor with another are sorted, and
+   windows met twice (or of regions that occur twice) are marked;
 5. marked windows go back to every copy of their region, and the bytes they
    cover are cut out.
 
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import shutil
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,7 @@ WINDOW = 400
 GRAM = 128  # a power of two of at least 8
 STEP_BYTES = 1 << 20
 SLICE_BYTES = 1 << 20  # of texts that a task works on at once
+BLOCK_WINDOWS = 1 << 15  # whose hashes stay in a core's cache
 PIECE = 16
 HOT_REGIONS = 256
 SHARD_BYTES = 2 << 20
@@ -79,6 +83,20 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+def anchors_of(raw: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the anchors of all windows of ``raw``."""
+    n = len(raw) - window + 1
+    hashes, places = np.empty(n, np.uint64), np.empty(n, np.int64)
+    low = np.uint64(0xFFFFFF)
+    for begin in range(0, n, BLOCK_WINDOWS):
+        h = gram_hashes(raw[begin : begin + BLOCK_WINDOWS + window - 1], gram)
+        least = sliding_min((h & ~low) | np.arange(len(h), dtype=np.uint64), window - gram + 1)
+        at = (least & low).astype(np.int64)
+        hashes[begin : begin + len(at)] = h[at]
+        places[begin : begin + len(at)] = at + begin
+    return hashes, places
+
+
 def regions_of(raw: np.ndarray, ends: np.ndarray, window: int, gram: int, step: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Runs of windows with one anchor in texts laid end to end (``ends``: where
     each ends): anchor hashes and places, first and last window starts."""
@@ -86,10 +104,7 @@ def regions_of(raw: np.ndarray, ends: np.ndarray, window: int, gram: int, step:
         chunk = raw[begin : begin + step + window - 1]
         if len(chunk) < window:
             return
-        h = gram_hashes(chunk, gram)
-        places = np.arange(len(h), dtype=np.uint64)
-        least = sliding_min((h & ~np.uint64(0xFFFFFF)) | places, window - gram + 1)
-        anchor = (least & np.uint64(0xFFFFFF)).astype(np.int64)
+        h, anchor = anchors_of(chunk, window, gram)
         n = len(chunk) - window + 1  # windows that start here
         valid = np.ones(n, bool)
         first = int(np.searchsorted(ends, begin, side="right"))
@@ -102,7 +117,7 @@ def regions_of(raw: np.ndarray, ends: np.ndarray, window: int, gram: int, step:
             continue
         cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(anchor[at]) != 0))
         low, high = at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)]
-        yield h[anchor[low]], anchor[low] + begin, low + begin, high + begin
+        yield h[low], anchor[low] + begin, low + begin, high + begin
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -182,13 +197,13 @@ def list_regions(texts: DataFrame, window: int, gram: int, step: int) -> DataFra
 
 def cut_regions(found: DataFrame, window: int, piece: int) -> DataFrame:
     """Texts of regions. ``found``: ``text, regions`` (with ``low, high, anchor,
-    region, copies, at, hot``). Returns ``place, anchor, region, copies, off,
-    body``: a whole region is dealt by its anchor; one of a hot anchor in pieces, by
+    region, copies, at, hot``). Returns ``place, anchor, region, copies, off, at,
+    body`` (``at``: the anchor's place in the body): a whole region is dealt by its anchor; one of a hot anchor in pieces, by
     the bytes that the windows of a piece share. ``at`` is the anchor's offset
     from ``low``: pieces are cut at fixed distances from it, so that equal
     windows of different regions lie in pieces of equal shared bytes."""
     ship_package(found.sparkSession)
-    names = ["place", "anchor", "region", "copies", "off", "body"]
+    names = ["place", "anchor", "region", "copies", "off", "at", "body"]
 
     def parts(r: dict, raw: memoryview) -> Iterator[tuple[int, int, int]]:
         """Place, first and last window (from ``low``) of each piece."""
@@ -214,7 +229,7 @@ def cut_regions(found: DataFrame, window: int, piece: int) -> DataFrame:
                 for r in regions.as_py():
                     for place, off, last in parts(r, raw):
                         body = bytes(raw[r["low"] + off : r["low"] + last + window])
-                        out.append((place, r["anchor"], r["region"], r["copies"], off, body))
+                        out.append((place, r["anchor"], r["region"], r["copies"], off, r["at"] - off, body))
                         size += len(body)
                         if size >= STEP_BYTES:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -222,8 +237,23 @@ def cut_regions(found: DataFrame, window: int, piece: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return found.mapInArrow(run, "place long, anchor long, region long, copies long, off int, body binary")
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return found.mapInArrow(run, "place long, anchor long, region long, copies long, off int, at int, body binary")
+
+
+def sharing(bodies: list[bytes], at: list[int], window: int, gram: int) -> np.ndarray:
+    """Which bodies may share a window with another. A window reaches over its
+    anchor by half of the other bytes at least, to the left or to the right, and
+    equal windows hold equal anchors at equal offsets: so bodies that share one
+    share the anchor with that many bytes before it, or behind it."""
+    side = -(-(window - gram) // 2)
+    left = [b[a - side : a + gram] if a >= side else b"" for b, a in zip(bodies, at)]
+    right = [b[a : a + gram + side] for b, a in zip(bodies, at)]  # shorter at the body's end: no window there needs it
+    found = np.zeros(len(bodies), bool)
+    for ends, least in ((left, gram + side), (right, gram + side)):
+        times = Counter(ends)
+        found |= np.array([len(e) == least and times[e] > 1 for e in ends], bool)
+    return found
 
 
 def repeated_starts(bodies: list[bytes], copies: list[int], window: int, folder: str, **limits) -> list[np.ndarray]:
@@ -257,21 +287,27 @@ def _runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)]
 
 
-def mark_shards(pieces: DataFrame, window: int, shards: int, **limits) -> DataFrame:
+def mark_shards(pieces: DataFrame, window: int, gram: int, shards: int, **limits) -> DataFrame:
     """``anchor, region, low, high``: runs of repeated windows (starts within
-    their region) of ``pieces``, dealt to ``shards`` by place."""
+    their region) of ``pieces``, dealt to ``shards`` by place. Only bodies that
+    may share a window with another (``sharing``) are sorted."""
     names = ["anchor", "region", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = {name: [] for name in ("anchor", "region", "copies", "off", "body")}
+        rows = {name: [] for name in ("anchor", "region", "copies", "off", "at", "body")}
         for batch in batches:
             for name, column in rows.items():
                 column.extend(batch.column(name).to_pylist())
         if not rows["body"]:
             return
+        bodies, copies = rows["body"], rows["copies"]
+        some = np.flatnonzero(sharing(bodies, rows["at"], window, gram)).tolist()
+        found = [np.arange(len(b) - window + 1 if c > 1 else 0) for b, c in zip(bodies, copies)]
         folder = spill_folder()
         try:
-            found = repeated_starts(rows["body"], rows["copies"], window, folder, **limits)
+            if some:
+                for i, starts in zip(some, repeated_starts([bodies[i] for i in some], [copies[i] for i in some], window, folder, **limits)):
+                    found[i] = starts
         finally:
             shutil.rmtree(folder)
             release_memory()
@@ -335,9 +371,14 @@ def repeated_windows(
     some = cut_lineage(listed.join(often, "anchor", "left_semi"), "suffix-candidates")
     one = some.groupBy("anchor", "region").agg(F.sum("copies").alias("copies"), F.min(F.struct("key", "low", "high", "at")).alias("one"))
     one = cut_lineage(one.select("anchor", "region", "copies", "one.*"), "suffix-distinct")
+    anchors = one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("region", "low", "high")).alias("one"))
+    anchors = cut_lineage(anchors.where((F.col("n") == 1) | (F.col("n") > hot_regions)).select("anchor", "n", "one.*"), "suffix-anchors")
+    # the only region of its anchor occurs more than once: its windows all repeat, and none starts elsewhere
+    alone = anchors.where("n = 1")
     # written, so its size is known: at most one row per hot_regions rows
-    hot = cut_lineage(one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_regions).select("anchor"), "suffix-hot")
-    flagged = one.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    hot = cut_lineage(anchors.where(F.col("n") > hot_regions).select("anchor"), "suffix-hot")
+    rest = one.join(alone.select("anchor", "region"), ["anchor", "region"], "left_anti")
+    flagged = rest.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     by_text = flagged.groupBy("key").agg(F.collect_list(F.struct("low", "high", "at", "anchor", "region", "copies", "hot")).alias("regions"))
     whole = texts.join(by_text.select("key"), "key", "left_semi").dropDuplicates(["key"])
     found = whole.select("key", F.col("text").cast("binary").alias("text")).join(by_text, "key").select("text", "regions")
@@ -347,9 +388,10 @@ def repeated_windows(
     total = per_place.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     crowd = cut_lineage(crowded.select("place"), "suffix-crowded")
-    marks = mark_shards(pieces.join(crowd, "place", "left_anti"), window, shards, **limits)
+    marks = mark_shards(pieces.join(crowd, "place", "left_anti"), window, gram, shards, **limits)
     if not crowd.isEmpty():
         marks = marks.unionByName(count_windows(pieces.join(crowd, "place", "left_semi"), window))
+    marks = marks.unionByName(alone.select("anchor", "region", F.lit(0).alias("low"), (F.col("high") - F.col("low")).alias("high")))
     marks = cut_lineage(marks.withColumnsRenamed({"low": "from", "high": "to"}), "suffix-marks")
     back = some.select("key", "low", "anchor", "region").join(marks, ["anchor", "region"])
     return back.select("key", (F.col("low") + F.col("from")).alias("low"), (F.col("low") + F.col("to")).alias("high")).unionByName(known)

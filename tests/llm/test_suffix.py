@@ -124,3 +124,76 @@ def test_tasks_work_on_slices_of_their_batches():
     parts = list(SD.slices([batch], "text"))
     assert [t for p in parts for t in p.column("text").to_pylist()] == texts[1:]
     assert all(p.num_rows == 1 or sum(map(len, p.column("text").to_pylist())) <= SD.SLICE_BYTES for p in parts)
+
+
+def test_only_regions_that_may_share_windows_are_sorted(spark, monkeypatch):
+    """Texts that occur as whole copies only need no sorting: their regions are
+    the only ones of their anchors."""
+    written, write = {}, suffix_dedup.cut_lineage
+
+    def record(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(suffix_dedup, "cut_lineage", record)
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    copied, passage = [text(900) for _ in range(4)], text(300)
+    rows = [(10 * i + k, t) for i, t in enumerate(copied) for k in range(3)] + [(90, text(500))]
+
+    def check(rows):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA), window=60, gram=16)
+        assert sorted(map(tuple, got.select("_in0", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()), key=repr) == brute(rows, 60)
+
+    check(rows)
+    assert written["suffix-distinct"].count() > 0 and written["suffix-pieces"].count() == 0
+    # a copied text that another shares in part is sorted as far as it is shared
+    check(rows + [(91, text(200) + passage + text(200)), (92, passage + text(50)), (93, copied[0][:400] + text(90))])
+    assert 0 < written["suffix-pieces"].count() < written["suffix-distinct"].count()
+
+
+@pytest.mark.parametrize("window,gram", [(60, 16), (45, 16), (61, 32)])
+def test_bodies_that_share_a_window_are_sorted(window, gram):
+    rng = random.Random(window)
+    text = lambda n: bytes(rng.choice(b"abc") for _ in range(n))
+    anchor, bodies, at = text(gram), [], []
+    ends = [(text(window), text(window)) for _ in range(3)]
+    for _ in range(300):
+        left, right = rng.choice(ends)[0], rng.choice(ends)[1]
+        a, b = rng.randrange(window - gram + 1), rng.randrange(window - gram + 1)
+        if rng.random() < 0.8:  # some bytes that no other body has
+            left, right = text(window)[rng.randrange(window) :] + left[len(left) - rng.randrange(1, a + 2) :], right[: rng.randrange(b + 2)] + text(window)
+        body = left[max(0, len(left) - a) :] + anchor + right[:b]
+        if len(body) >= window:
+            bodies.append(body)
+            at.append(len(left[max(0, len(left) - a) :]))
+    windows = [{(b[i : i + window], p - i) for i in range(len(b) - window + 1)} for b, p in zip(bodies, at)]
+    holders = {}
+    for i, found in enumerate(windows):
+        for w in found:
+            holders.setdefault(w, set()).add(i)
+    shares = {i for some in holders.values() if len(some) > 1 for i in some}
+    kept = set(np.flatnonzero(suffix_dedup.sharing(bodies, at, window, gram)).tolist())
+    assert shares and shares <= kept and len(kept) < len(bodies)
+
+
+def test_hash_blocks_join(monkeypatch):
+    """Anchors of windows across blocks are those of the windows by themselves."""
+    raw = np.random.default_rng(3).integers(97, 100, 3000).astype(np.uint8)
+    raw[1000:1400] = 97
+    hashes, places = suffix_dedup.anchors_of(raw, 60, 16)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_WINDOWS", 37)
+    cut = suffix_dedup.anchors_of(raw, 60, 16)
+    assert (hashes == cut[0]).all() and (places == cut[1]).all()
+    for i in (0, 36, 37, 999, 1100, 2940):
+        one = suffix_dedup.anchors_of(raw[i : i + 60], 60, 16)
+        assert one[0][0] == hashes[i] and one[1][0] + i == places[i]
+        assert suffix_dedup.gram_hashes(raw[places[i] : places[i] + 16], 16)[0] == hashes[i]
+
+
+def test_stable_order():
+    rng = np.random.default_rng(5)
+    for top in (1, 7, 1 << 40, (1 << 63) - 1):
+        values = rng.integers(0, top, 500)
+        assert (induced.stable_order(values) == np.argsort(values, kind="stable")).all()
+    assert len(induced.stable_order(np.empty(0, np.int64))) == 0
